@@ -195,10 +195,12 @@ def matches(spec: TableSpec, main: DataFrame, daily: DataFrame) -> DataFrame:
     Never more rows than the batch. No join hint: Spark broadcasts the batch when its size allows and
     otherwise sorts both sides by key.
     """
-    held = main.filter("is_valid") if spec.history else main
+    if spec.history:
+        held = main.filter("is_valid").select(*_kept_row(spec))
+    else:
+        held = main.select(*spec.names, *spec.carried_names)
     return (
-        held.select(*_kept_row(spec))
-        .join(_renamed(spec, daily), list(spec.key), "inner")
+        held.join(_renamed(spec, daily), list(spec.key), "inner")
         .withColumn("changed", _differs(spec))
     )
 
@@ -263,6 +265,11 @@ def changes(
     )
 
 
+def first_rows(spec: TableSpec, daily: DataFrame, batch: Batch) -> DataFrame:
+    """The whole main table after its first batch: nothing to compare, every row is new."""
+    return _renamed(spec, daily).select(*_inserted_row(spec, batch))
+
+
 def apply_changes(spec: TableSpec, main: DataFrame, changed: DataFrame) -> DataFrame:
     """Main rows without those a change replaces, plus the changed and new rows."""
     overwritten = changed.filter(F.col("action").isin("update", "close", "replace"))

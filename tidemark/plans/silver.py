@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import merge
 from tidemark.operators.dedup import duplicate_count
 from tidemark.operators.lookup import with_order_date
-from tidemark.operators.metrics import RUN_LOG, bronze_summary
+from tidemark.operators.metrics import RUN_LOG, bronze_summary, union_all
 from tidemark.operators.quality import (
     assert_history,
     assert_unique,
@@ -93,25 +93,56 @@ def _batch_rows(lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
     return daily
 
 
-def _months(lake: Lake, spec: TableSpec, rows: DataFrame) -> set[str]:
+def _months(lake: Lake, spec: TableSpec, *frames: DataFrame) -> set[str]:
     """Partition labels of some main rows: at most one per month of the accepted date range."""
-    return {r[0] for r in rows.select(lake.month(spec)).distinct().collect()}
+    labels = union_all([rows.select(lake.month(spec).alias("month")) for rows in frames])
+    return {r["month"] for r in labels.distinct().collect()}
 
 
 def merge_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True) -> Merged:
     """Merge a clean batch into the main table, rewriting only months that change.
 
-    The matches and the changes are written tables, so neither the later steps nor a lost executor
-    repeat the join with the main table. Batches of one table merge one after the other.
+    Batches of one table merge one after the other; of two that try at once, one fails to commit.
     """
     held = lake.manifest(spec)
+    merged = _merge_into(lake, spec, batch, held, verify) if held[0] else _first_load(
+        lake, spec, batch, held
+    )
+    log.info("%s: updated %d, inserted %d", spec.name, merged.updated, merged.inserted)
+    return merged
+
+
+def _main_rows(lake: Lake, spec: TableSpec) -> int:
     main = lake.main(spec)
+    return (merge.current(main) if spec.history else main).count()
+
+
+def _first_load(
+    lake: Lake, spec: TableSpec, batch: Batch, held: tuple[int, dict[str, str]]
+) -> Merged:
+    """Write the first batch straight to the main table."""
+    started = time.monotonic()
+    rows = merge.first_rows(spec, _batch_rows(lake, spec, batch), batch)
+    lake.rewrite_months(spec, set(), lambda none: rows, held)
+    seconds = time.monotonic() - started
+    inserted = _main_rows(lake, spec)
+    return Merged(0, inserted, inserted, 0.0, seconds, set(lake.manifest(spec)[1]))
+
+
+def _merge_into(
+    lake: Lake, spec: TableSpec, batch: Batch, held: tuple[int, dict[str, str]], verify: bool
+) -> Merged:
+    """Find what changed, write it down, and rewrite the months it touches.
+
+    The matches and the changes are written tables, so neither the later steps nor a lost executor
+    repeat the join with the main table.
+    """
     started = time.monotonic()
     daily = _batch_rows(lake, spec, batch)
     if spec.carried:
         daily = lake.write_changes(spec, "batch", daily, batch.ingestion_id)
     found = lake.write_changes(
-        spec, "matches", merge.matches(spec, main, daily), batch.ingestion_id
+        spec, "matches", merge.matches(spec, lake.main(spec), daily), batch.ingestion_id
     )
     match_seconds = time.monotonic() - started
 
@@ -121,7 +152,7 @@ def merge_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True)
     )
     counts = merge.action_counts(changed).first()
     # The month can itself be a changed value, so rows leave old months as well as enter new ones.
-    months = _months(lake, spec, changed) | _months(lake, spec, found.filter("changed"))
+    months = _months(lake, spec, changed, found.filter("changed"))
     if verify:
         # The main table held each key once, so it can only break through the rows written now.
         assert_unique(changed, spec.identity, f"{spec.name} changes")
@@ -129,12 +160,9 @@ def merge_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True)
         lake.rewrite_months(
             spec, months, lambda old: merge.apply_changes(spec, old, changed), held
         )
-    write_seconds = time.monotonic() - started
-
-    rows = merge.current(lake.main(spec)) if spec.history else lake.main(spec)
-    log.info("%s: updated %d, inserted %d", spec.name, counts["updated"], counts["inserted"])
+    seconds = time.monotonic() - started
     return Merged(
-        counts["updated"], counts["inserted"], rows.count(), match_seconds, write_seconds, months
+        counts["updated"], counts["inserted"], _main_rows(lake, spec), match_seconds, seconds, months
     )
 
 

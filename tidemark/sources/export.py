@@ -8,11 +8,18 @@ from tidemark.sources.files import Files, scratch
 from tidemark.spec import TableSpec
 
 
+# Quotes are doubled, and outer blanks of a value are kept.
+WRITE_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def export_csv(spec: TableSpec, table: DataFrame, path: str) -> None:
     """Write a table's business columns as CSV with a header."""
-    table.select(*spec.names).write.mode("overwrite").option("header", True).option(
-        "escape", '"'
-    ).csv(path)
+    table.select(*spec.names).write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
 
 
 def preview(spark: SparkSession, spec: TableSpec, path: str, n: int = 5) -> DataFrame:

@@ -16,6 +16,7 @@ one whole version, and a run that dies leaves the last version in force.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -149,6 +150,13 @@ class Lake:
         """The main table as of its last finished merge."""
         return self.main_with_month(spec).drop("month")
 
+    def main_between(self, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
+        """Main rows dated from ``first`` to ``last``; only the months in between are opened."""
+        low, high = f"{first:%Y-%m}", f"{last:%Y-%m}"
+        held = {m: v for m, v in self.manifest(spec)[1].items() if low <= m <= high}
+        day = F.col(spec.month_of).cast("date")
+        return self._read_months(spec, held).drop("month").filter(day.between(first, last))
+
     def month(self, spec: TableSpec):
         """The partition label of a main row."""
         return month_of(F.col(spec.month_of)) if spec.month_of else F.lit(WHOLE)
