@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 
 from tidemark.spec import AUDIT, Batch, TableSpec
 
+# Actions that put new contents in the place of a main row, and actions that add a row.
+OVERWRITES = ("update", "close", "replace")
+ADDS = ("insert", "open")
+
 OPEN_END = dt.datetime(2050, 1, 1)
 
 
@@ -176,8 +180,8 @@ def action_counts(actions: DataFrame) -> DataFrame:
     """One row: rows updated (closed or replaced), inserted (opened) and left as they were."""
     action = F.col("action")
     return actions.agg(
-        F.count_if(action.isin("update", "close", "replace")).alias("updated"),
-        F.count_if(action.isin("insert", "open")).alias("inserted"),
+        F.count_if(action.isin(*OVERWRITES)).alias("updated"),
+        F.count_if(action.isin(*ADDS)).alias("inserted"),
         F.count_if(action == "keep").alias("kept"),
     )
 
@@ -272,7 +276,7 @@ def first_rows(spec: TableSpec, daily: DataFrame, batch: Batch) -> DataFrame:
 
 def apply_changes(spec: TableSpec, main: DataFrame, changed: DataFrame) -> DataFrame:
     """Main rows without those a change replaces, plus the changed and new rows."""
-    overwritten = changed.filter(F.col("action").isin("update", "close", "replace"))
+    overwritten = changed.filter(F.col("action").isin(*OVERWRITES))
     names = [f.name for f in spec.main_schema()]
     return (
         main.select(*names)

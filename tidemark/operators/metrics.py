@@ -37,15 +37,19 @@ def file_counts(bronze: DataFrame) -> DataFrame:
 
 
 def file_log(
-    counts: DataFrame, table: str, ingestion_id: int, stage: str, seconds: Col, created_at: Col
+    counts: DataFrame, table: str, ingestion_id: int, seconds: Col, created_at: Col
 ) -> DataFrame:
-    """File counts in the shape of the file log."""
+    """File counts in the shape of the file log: one row per file and stage.
+
+    One load serves both stages, so both rows carry the same count and time.
+    """
+    stages = F.array(F.lit(DAILY), F.lit(HISTORY))
     return counts.select(
         F.lit(ingestion_id).cast("bigint").alias("ingestion_id"),
         "source_file_id",
         F.element_at(F.split("source_file_id", "/"), -1).alias("source_file_name"),
         F.lit(table).alias("table_name"),
-        F.lit(stage).alias("ingestion_for"),
+        F.explode(stages).alias("ingestion_for"),
         "row_count",
         seconds.cast("double").alias("executing_time"),
         created_at.cast("timestamp_ntz").alias("created_at"),

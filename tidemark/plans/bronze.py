@@ -8,7 +8,8 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import DAILY, HISTORY, bronze_summary, file_counts, file_log
+from tidemark.operators.metrics import bronze_summary, file_counts, file_log
+from tidemark.plans.jobs import together
 from tidemark.retail import RETAIL
 from tidemark.sources.files import Files
 from tidemark.sources.landing import discover, scan, unrouted
@@ -33,11 +34,10 @@ def _land_table(
         F.concat(F.lit(f"{batch.ingestion_id}/"), "file_name").alias("source_file_id")
     )
     counts = known.join(landed, "source_file_id", "left").fillna(0, ["row_count"])
-    stages = [
-        file_log(counts, spec.name, batch.ingestion_id, stage, F.lit(seconds), F.lit(batch.loaded_at))
-        for stage in (DAILY, HISTORY)
-    ]
-    lake.write_log("files", stages[0].unionByName(stages[1]), spec.name, batch.ingestion_id)
+    entries = file_log(
+        counts, spec.name, batch.ingestion_id, F.lit(seconds), F.lit(batch.loaded_at)
+    )
+    lake.write_log("files", entries, spec.name, batch.ingestion_id)
     log.info("%s: landed in %.1f s", spec.name, seconds)
 
 
@@ -65,11 +65,16 @@ def ingest(
             unrouted(files).select("file_name").write.mode("overwrite").parquet(
                 f"{lake.root}/logs/unrouted/ingestion_id={batch.ingestion_id}"
             )
+        landing_now = [s for s in specs.values() if per_table.get(s.name)]
         for spec in specs.values():
-            if per_table.get(spec.name):
-                _land_table(lake, spec, landing, batch, files, check_header)
-            else:
+            if spec not in landing_now:
                 log.info("%s: nothing landed", spec.name)
+        together(
+            [
+                lambda s=spec: _land_table(lake, s, landing, batch, files, check_header)
+                for spec in landing_now
+            ]
+        )
         lake.mark_done(batch, "landed")
     if archive:
         archive_files(lake.files, landing, archive, specs)

@@ -213,13 +213,11 @@ def _file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                 metrics.file_counts(_landing(spark, sf_dir, spec, batch)),
                 spec.name,
                 batch.ingestion_id,
-                stage,
                 untimed,
                 F.lit(batch.loaded_at),
             )
             for spec in RETAIL.values()
             for batch in (FIRST, SECOND)
-            for stage in (metrics.DAILY, metrics.HISTORY)
         ]
     )
 

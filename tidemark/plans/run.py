@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 
 from tidemark.plans.bronze import ingest
+from tidemark.plans.jobs import together
 from tidemark.plans.silver import Merged, refine
 from tidemark.retail import RETAIL
 from tidemark.sources.store import Lake
@@ -32,9 +32,11 @@ def refine_all(
     """Clean and merge every table, one by one or as concurrent Spark jobs."""
     done: dict[str, Merged | None] = {}
     for wave in _waves(specs):
-        with ThreadPoolExecutor(max_workers=len(wave) if parallel else 1) as pool:
-            results = pool.map(lambda spec: refine(lake, spec, batch), wave)
-            done |= {spec.name: merged for spec, merged in zip(wave, results, strict=True)}
+        results = together(
+            [lambda s=spec: refine(lake, s, batch) for spec in wave],
+            at_once=None if parallel else 1,
+        )
+        done |= {spec.name: merged for spec, merged in zip(wave, results, strict=True)}
     return done
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import merge
 from tidemark.operators.dedup import duplicate_count
 from tidemark.operators.lookup import with_order_date
-from tidemark.operators.metrics import RUN_LOG, bronze_summary, union_all
+from tidemark.operators.metrics import RUN_LOG, bronze_summary
 from tidemark.operators.quality import (
     assert_history,
     assert_unique,
@@ -21,6 +21,7 @@ from tidemark.operators.quality import (
     quarantine_rows,
     reject_counts,
 )
+from tidemark.plans.jobs import together
 from tidemark.retail import ORDERS
 from tidemark.sources.store import Lake
 from tidemark.spec import Batch, TableSpec
@@ -64,21 +65,25 @@ def clean_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True)
     tagged = lake.write_tagged(spec, checked(spec, bronze, batch), batch.ingestion_id)
     insert_seconds = time.monotonic() - started
 
-    counts = {r["reject_reason"]: r["row_count"] for r in reject_counts(tagged).collect()}
     bad = tagged.filter("is_rejected = 1").drop("is_rejected")
-    lake.write_quarantine(
-        spec, "rule", quarantine_rows(spec, bad, batch), batch.ingestion_id
+    flagged = quarantine_rows(spec, bad, batch).unionByName(malformed_rows(spec, bronze, batch))
+
+    def check_keys() -> float:
+        began = time.monotonic()
+        if verify:
+            assert_unique(lake.daily(spec, batch.ingestion_id), spec.key, f"{spec.name} batch")
+        return time.monotonic() - began
+
+    rows, duplicates, check_seconds, _ = together(
+        [
+            lambda: reject_counts(tagged).collect(),
+            lambda: duplicate_count(spec, bronze).first()[0],
+            check_keys,
+            lambda: lake.write_quarantine(spec, flagged, batch.ingestion_id),
+        ]
     )
-    lake.write_quarantine(
-        spec, "malformed", malformed_rows(spec, bronze, batch), batch.ingestion_id
-    )
-    duplicates = duplicate_count(spec, bronze).first()[0]
-
-    started = time.monotonic()
+    counts = {r["reject_reason"]: r["row_count"] for r in rows}
     clean_rows = counts.pop("clean", 0)
-    if verify:
-        assert_unique(lake.daily(spec, batch.ingestion_id), spec.key, f"{spec.name} batch")
-    check_seconds = time.monotonic() - started
     for reason, n in sorted(counts.items()):
         log.info("%s: %s %d", spec.name, reason, n)
     log.info("%s: clean %d, duplicates %d", spec.name, clean_rows, duplicates)
@@ -93,10 +98,16 @@ def _batch_rows(lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
     return daily
 
 
-def _months(lake: Lake, spec: TableSpec, *frames: DataFrame) -> set[str]:
-    """Partition labels of some main rows: at most one per month of the accepted date range."""
-    labels = union_all([rows.select(lake.month(spec).alias("month")) for rows in frames])
-    return {r["month"] for r in labels.distinct().collect()}
+def _rows_per_month(lake: Lake, spec: TableSpec, changed: DataFrame, found: DataFrame) -> list:
+    """Changed rows by month and action, with the months that changed rows come from.
+
+    The month can itself be a changed value, so rows leave old months as well as enter new ones. At
+    most one group per action and month of the accepted date range.
+    """
+    month = lake.month(spec).alias("month")
+    entering = changed.select(month, "action")
+    leaving = found.filter("changed").select(month, F.lit("leave").alias("action"))
+    return entering.unionByName(leaving).groupBy("month", "action").count().collect()
 
 
 def merge_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True) -> Merged:
@@ -150,19 +161,29 @@ def _merge_into(
     changed = lake.write_changes(
         spec, "changes", merge.changes(spec, found, daily, batch), batch.ingestion_id
     )
-    counts = merge.action_counts(changed).first()
-    # The month can itself be a changed value, so rows leave old months as well as enter new ones.
-    months = _months(lake, spec, changed, found.filter("changed"))
-    if verify:
+
+    def check_keys() -> None:
         # The main table held each key once, so it can only break through the rows written now.
-        assert_unique(changed, spec.identity, f"{spec.name} changes")
+        if verify:
+            assert_unique(changed, spec.identity, f"{spec.name} changes")
+
+    groups, _ = together([lambda: _rows_per_month(lake, spec, changed, found), check_keys])
+    months = {g["month"] for g in groups}
+    counts: dict[str, int] = {}
+    for g in groups:
+        counts[g["action"]] = counts.get(g["action"], 0) + g["count"]
     if months:
         lake.rewrite_months(
             spec, months, lambda old: merge.apply_changes(spec, old, changed), held
         )
     seconds = time.monotonic() - started
     return Merged(
-        counts["updated"], counts["inserted"], _main_rows(lake, spec), match_seconds, seconds, months
+        sum(counts.get(a, 0) for a in merge.OVERWRITES),
+        sum(counts.get(a, 0) for a in merge.ADDS),
+        _main_rows(lake, spec),
+        match_seconds,
+        seconds,
+        months,
     )
 
 

@@ -46,6 +46,8 @@ def _with_roles(rows: DataFrame, k: Col, batch: Batch, extras: bool = False) ->
         roles = [F.lit(BASE)]
         if extras:
             roles += [F.when(_every(k, 20), COPY), F.when(_every(k, 33), LATE_VERSION)]
+    if len(roles) == 1:
+        return rows.withColumn("role", roles[0])
     return rows.withColumn("role", F.explode(F.array_compact(F.array(*roles))))
 
 

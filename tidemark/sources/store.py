@@ -99,23 +99,23 @@ class Lake:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def write_quarantine(
-        self, spec: TableSpec, kind: str, rows: DataFrame, ingestion_id: int
-    ) -> None:
+    def write_quarantine(self, spec: TableSpec, rows: DataFrame, ingestion_id: int) -> None:
+        """Write one run's rejects; a repeated run replaces its own."""
         path = f"{self.root}/quarantine/table_name={spec.name}/ingestion_id={ingestion_id}"
-        rows.drop("table_name", "ingestion_id").withColumn(
+        numbered = rows.drop("table_name", "ingestion_id").withColumn(
             "id", F.monotonically_increasing_id()
-        ).write.mode("overwrite").parquet(f"{path}/kind={kind}")
+        )
+        numbered.write.mode("overwrite").parquet(path)
 
     def quarantine(self) -> DataFrame:
         path = f"{self.root}/quarantine"
-        schema = (
+        schema = T.StructType.fromDDL(
             "id bigint, flagged_at timestamp_ntz, reject_reason string, raw_row string, "
-            "table_name string, ingestion_id bigint, kind string"
+            "table_name string, ingestion_id bigint"
         )
         if not self.files.exists(path):
-            return empty(self.spark, T.StructType.fromDDL(schema)).drop("kind")
-        return self.spark.read.schema(schema).parquet(path).drop("kind")
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     # ---- main tables ----
 
