@@ -62,54 +62,47 @@ def _differs(spec: TableSpec) -> Col:
     return ~old.eqNullSafe(new)
 
 
+def _main_names(spec: TableSpec) -> list[str]:
+    return [f.name for f in spec.main_schema()]
+
+
+def _written(spec: TableSpec, values: dict[str, Col]) -> list[Col]:
+    """A main row in schema order; columns not given keep their name."""
+    return [values.get(n, F.col(n)).alias(n) for n in _main_names(spec)]
+
+
+def _from_batch(spec: TableSpec, batch: Batch) -> dict[str, Col]:
+    values = {c: _new(c) for c in spec.payload + spec.carried_names + ("created_at_bronze",)}
+    return values | {"created_at_silver": _ntz(batch.cleaned_at)}
+
+
 def _updated_row(spec: TableSpec, batch: Batch) -> list[Col]:
     """Main row with the batch's payload; carried values stay where the batch has none."""
-    return [
-        *[F.col(k) for k in spec.key],
-        *[_new(c).alias(c) for c in spec.payload],
-        *[F.coalesce(_new(c), F.col(c)).alias(c) for c in spec.carried_names],
-        _new("created_at_bronze").alias("created_at_bronze"),
-        _ntz(batch.cleaned_at).alias("created_at_silver"),
-    ]
+    carried = {c: F.coalesce(_new(c), F.col(c)) for c in spec.carried_names}
+    return _written(spec, _from_batch(spec, batch) | carried)
 
 
 def _inserted_row(spec: TableSpec, batch: Batch) -> list[Col]:
-    row = [
-        *[F.col(k) for k in spec.key],
-        *[_new(c).alias(c) for c in spec.payload + spec.carried_names],
-        _new("created_at_bronze").alias("created_at_bronze"),
-        _ntz(batch.cleaned_at).alias("created_at_silver"),
-    ]
-    if spec.history:
-        row += [
-            _ntz(_day(batch)).alias("valid_from"),
-            _ntz(OPEN_END).alias("valid_to"),
-            F.lit(True).alias("is_valid"),
-        ]
-    return row
+    version = {
+        "valid_from": _ntz(_day(batch)),
+        "valid_to": _ntz(OPEN_END),
+        "is_valid": F.lit(True),
+    }
+    return _written(spec, _from_batch(spec, batch) | version)
 
 
 def _kept_row(spec: TableSpec) -> list[Col]:
-    return [F.col(f.name) for f in spec.main_schema()]
+    return [F.col(n) for n in _main_names(spec)]
 
 
 def _closed_row(spec: TableSpec, batch: Batch) -> list[Col]:
-    ended = {
-        "valid_to": _ntz(_day(batch) - dt.timedelta(days=1)),
-        "is_valid": F.lit(False),
-    }
-    return [ended.get(f.name, F.col(f.name)).alias(f.name) for f in spec.main_schema()]
-
-
-def _replaced_row(spec: TableSpec, batch: Batch) -> list[Col]:
-    return _updated_row(spec, batch) + [F.col(c) for c in ("valid_from", "valid_to", "is_valid")]
+    ended = _ntz(_day(batch) - dt.timedelta(days=1))
+    return _written(spec, {"valid_to": ended, "is_valid": F.lit(False)})
 
 
-def _row(spec: TableSpec, columns: list[Col], action: str) -> Col:
-    """A main row and what happened to it, as one struct with fields in schema order."""
-    named = F.struct(*columns, F.lit(action).alias("action"))
-    order = [f.name for f in spec.main_schema()] + ["action"]
-    return F.struct(*[named[n].alias(n) for n in order])
+def _row(columns: list[Col], action: str) -> Col:
+    """A main row and what happened to it, as one struct."""
+    return F.struct(*columns, F.lit(action).alias("action"))
 
 
 # ---- whole-table route -----------------------------------------------------------------------
@@ -127,12 +120,12 @@ def upsert_actions(
     """The merged table with an ``action`` per row: keep, update or insert."""
     both = _side_by_side(spec, main, daily)
     row = (
-        F.when(F.col("_in_main").isNull(), _row(spec, _inserted_row(spec, batch), "insert"))
+        F.when(F.col("_in_main").isNull(), _row(_inserted_row(spec, batch), "insert"))
         .when(
             F.col("_in_batch") & _differs(spec),
-            _row(spec, _updated_row(spec, batch), "update"),
+            _row(_updated_row(spec, batch), "update"),
         )
-        .otherwise(_row(spec, _kept_row(spec), "keep"))
+        .otherwise(_row(_kept_row(spec), "keep"))
     )
     return both.select(row.alias("r")).select("r.*")
 
@@ -151,16 +144,16 @@ def history_actions(
     start.
     """
     both = _side_by_side(spec, main.filter("is_valid"), daily)
-    kept = _row(spec, _kept_row(spec), "keep")
-    opened = _row(spec, _inserted_row(spec, batch), "open")
+    kept = _row(_kept_row(spec), "keep")
+    opened = _row(_inserted_row(spec, batch), "open")
     changed = F.col("_in_batch") & _differs(spec)
     opened_today = F.col("valid_from") >= _ntz(_day(batch))
     rows = (
         F.when(F.col("_in_main").isNull(), F.array(opened))
         .when(
-            changed & opened_today, F.array(_row(spec, _replaced_row(spec, batch), "replace"))
+            changed & opened_today, F.array(_row(_updated_row(spec, batch), "replace"))
         )
-        .when(changed, F.array(_row(spec, _closed_row(spec, batch), "close"), opened))
+        .when(changed, F.array(_row(_closed_row(spec, batch), "close"), opened))
         .otherwise(F.array(kept))
     )
     past = main.filter("not is_valid").select(*_kept_row(spec), F.lit("keep").alias("action"))
@@ -257,11 +250,11 @@ def changes(
         return changed.select(*_updated_row(spec, batch), F.lit("update").alias("action")).unionByName(
             fresh.select(*inserted, F.lit("insert").alias("action"))
         )
-    opened = _row(spec, inserted, "open")
+    opened = _row(inserted, "open")
     rows = F.when(
         F.col("valid_from") >= _ntz(_day(batch)),
-        F.array(_row(spec, _replaced_row(spec, batch), "replace")),
-    ).otherwise(F.array(_row(spec, _closed_row(spec, batch), "close"), opened))
+        F.array(_row(_updated_row(spec, batch), "replace")),
+    ).otherwise(F.array(_row(_closed_row(spec, batch), "close"), opened))
     return (
         changed.select(F.explode(rows).alias("r"))
         .select("r.*")
@@ -277,9 +270,9 @@ def first_rows(spec: TableSpec, daily: DataFrame, batch: Batch) -> DataFrame:
 def apply_changes(spec: TableSpec, main: DataFrame, changed: DataFrame) -> DataFrame:
     """Main rows without those a change replaces, plus the changed and new rows."""
     overwritten = changed.filter(F.col("action").isin(*OVERWRITES))
-    names = [f.name for f in spec.main_schema()]
+    names = _main_names(spec)
     return (
-        main.select(*names)
-        .join(overwritten.select(*spec.identity), list(spec.identity), "left_anti")
-        .unionByName(changed.select(*names))
+        main.join(overwritten.select(*spec.identity), list(spec.identity), "left_anti")
+        .select(*names)
+        .union(changed.select(*names))
     )
