@@ -13,7 +13,6 @@ from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookup import lookup
 from tidemark.spec import Batch
 
 FIRST = Batch(1, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 6))
@@ -176,7 +175,7 @@ def _priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("price")
     )
     m = F.col("l_orderkey") * 7 + F.col("l_linenumber")
-    return lookup(lines, parts, "p_partkey", ["price"]).select(
+    return lines.join(parts, "p_partkey", "left").select(
         "l_orderkey",
         "p_partkey",
         F.col("l_quantity").cast("decimal(10,2)").alias("quantity"),
