@@ -48,3 +48,13 @@ def test_query_agrees_with_sql(spark, name):
 def test_entry(spark):
     assert contract.entry(spark).columns == ["reject_reason", "row_count"]
     assert contract.entry(spark).count() == 4
+
+
+def test_the_session_time_zone_changes_nothing(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("customers_history", "customers_rejected", "customers_landed"):
+            assert mismatch(spark, connect(SMALL), SMALL, name) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

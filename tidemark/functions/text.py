@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column as Col
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ from tidemark.spec import DATE, DECIMAL, TEXT, Column
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}\z"
 
 
+def moment(value: dt.datetime) -> Col:
+    """A time literal that no time zone setting can shift."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def normalised(col: Col, length: int) -> Col:
     """Lower-case text without outer blanks, cut to ``length`` characters."""
     return F.substring(F.lower(F.trim(col)), 1, length)

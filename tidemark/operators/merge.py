@@ -20,7 +20,8 @@ from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.spec import AUDIT, Batch, TableSpec
+from tidemark.functions.text import moment
+from tidemark.spec import Batch, TableSpec
 
 # Actions that put new contents in the place of a main row, and actions that add a row.
 OVERWRITES = ("update", "close", "replace")
@@ -29,10 +30,6 @@ ADDS = ("insert", "open")
 OPEN_END = dt.datetime(2050, 1, 1)
 
 
-def _ntz(value: dt.datetime | dt.date) -> Col:
-    return F.lit(value).cast("timestamp_ntz")
-
-
 def _day(batch: Batch) -> dt.datetime:
     return dt.datetime.combine(batch.as_of, dt.time())
 
@@ -73,7 +70,7 @@ def _written(spec: TableSpec, values: dict[str, Col]) -> list[Col]:
 
 def _from_batch(spec: TableSpec, batch: Batch) -> dict[str, Col]:
     values = {c: _new(c) for c in spec.payload + spec.carried_names + ("created_at_bronze",)}
-    return values | {"created_at_silver": _ntz(batch.cleaned_at)}
+    return values | {"created_at_silver": moment(batch.cleaned_at)}
 
 
 def _updated_row(spec: TableSpec, batch: Batch) -> list[Col]:
@@ -84,8 +81,8 @@ def _updated_row(spec: TableSpec, batch: Batch) -> list[Col]:
 
 def _inserted_row(spec: TableSpec, batch: Batch) -> list[Col]:
     version = {
-        "valid_from": _ntz(_day(batch)),
-        "valid_to": _ntz(OPEN_END),
+        "valid_from": moment(_day(batch)),
+        "valid_to": moment(OPEN_END),
         "is_valid": F.lit(True),
     }
     return _written(spec, _from_batch(spec, batch) | version)
@@ -96,7 +93,7 @@ def _kept_row(spec: TableSpec) -> list[Col]:
 
 
 def _closed_row(spec: TableSpec, batch: Batch) -> list[Col]:
-    ended = _ntz(_day(batch) - dt.timedelta(days=1))
+    ended = moment(_day(batch) - dt.timedelta(days=1))
     return _written(spec, {"valid_to": ended, "is_valid": F.lit(False)})
 
 
@@ -147,7 +144,7 @@ def history_actions(
     kept = _row(_kept_row(spec), "keep")
     opened = _row(_inserted_row(spec, batch), "open")
     changed = F.col("_in_batch") & _differs(spec)
-    opened_today = F.col("valid_from") >= _ntz(_day(batch))
+    opened_today = F.col("valid_from") >= moment(_day(batch))
     rows = (
         F.when(F.col("_in_main").isNull(), F.array(opened))
         .when(
@@ -220,7 +217,7 @@ def close_set(spec: TableSpec, main: DataFrame, daily: DataFrame, batch: Batch)
     """Current history rows that a batch ends, as they look afterwards."""
     return (
         matches(spec, main, daily)
-        .filter(F.col("changed") & (F.col("valid_from") < _ntz(_day(batch))))
+        .filter(F.col("changed") & (F.col("valid_from") < moment(_day(batch))))
         .select(*_closed_row(spec, batch))
     )
 
@@ -228,7 +225,7 @@ def close_set(spec: TableSpec, main: DataFrame, daily: DataFrame, batch: Batch)
 def open_set(spec: TableSpec, main: DataFrame, daily: DataFrame, batch: Batch) -> DataFrame:
     """New history rows: batch keys without a valid row once changed rows are closed."""
     found = matches(spec, main, daily)
-    replaced = found.filter(F.col("changed") & (F.col("valid_from") >= _ntz(_day(batch))))
+    replaced = found.filter(F.col("changed") & (F.col("valid_from") >= moment(_day(batch))))
     still_held = found.filter(~F.col("changed")).select(*spec.key).unionByName(
         replaced.select(*spec.key)
     )
@@ -252,7 +249,7 @@ def changes(
         )
     opened = _row(inserted, "open")
     rows = F.when(
-        F.col("valid_from") >= _ntz(_day(batch)),
+        F.col("valid_from") >= moment(_day(batch)),
         F.array(_row(_updated_row(spec, batch), "replace")),
     ).otherwise(F.array(_row(_closed_row(spec, batch), "close"), opened))
     return (

@@ -52,7 +52,7 @@ def file_log(
         F.explode(stages).alias("ingestion_for"),
         "row_count",
         seconds.cast("double").alias("executing_time"),
-        created_at.cast("timestamp_ntz").alias("created_at"),
+        created_at.alias("created_at"),
     )
 
 

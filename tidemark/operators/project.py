@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import settled, typed
+from tidemark.functions.text import moment, settled, typed
 from tidemark.spec import Batch, TableSpec
 
 # Whole microseconds, so nothing of a timestamp is lost in the JSON.
@@ -26,7 +26,7 @@ def project(spec: TableSpec, rows: DataFrame, batch: Batch, grouped: bool = Fals
             for c in spec.columns
         ],
         "created_at_bronze",
-        F.lit(batch.cleaned_at).cast("timestamp_ntz").alias("created_at_silver"),
+        moment(batch.cleaned_at).alias("created_at_silver"),
         "source_file_id",
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import missing
+from tidemark.functions.text import missing, moment
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.project import project, row_json
 from tidemark.spec import MALFORMED, Batch, TableSpec
@@ -85,7 +85,7 @@ def _quarantine_head(spec: TableSpec, batch: Batch) -> list[Col]:
     return [
         F.lit(batch.ingestion_id).cast("bigint").alias("ingestion_id"),
         F.lit(spec.name).alias("table_name"),
-        F.lit(batch.cleaned_at).cast("timestamp_ntz").alias("flagged_at"),
+        moment(batch.cleaned_at).alias("flagged_at"),
     ]
 
 

@@ -8,6 +8,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import moment
 from tidemark.operators.metrics import bronze_summary, file_counts, file_log
 from tidemark.plans.jobs import together
 from tidemark.retail import RETAIL
@@ -35,7 +36,7 @@ def _land_table(
     )
     counts = known.join(landed, "source_file_id", "left").fillna(0, ["row_count"])
     entries = file_log(
-        counts, spec.name, batch.ingestion_id, F.lit(seconds), F.lit(batch.loaded_at)
+        counts, spec.name, batch.ingestion_id, F.lit(seconds), moment(batch.loaded_at)
     )
     lake.write_log("files", entries, spec.name, batch.ingestion_id)
     log.info("%s: landed in %.1f s", spec.name, seconds)

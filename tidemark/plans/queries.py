@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.text import moment
 from tidemark.operators import generate, lookup, merge, metrics
 from tidemark.operators.dedup import duplicate_count, key_conflict_count, latest_per_key
 from tidemark.operators.project import project
@@ -214,7 +215,7 @@ def _file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                 spec.name,
                 batch.ingestion_id,
                 untimed,
-                F.lit(batch.loaded_at),
+                moment(batch.loaded_at),
             )
             for spec in RETAIL.values()
             for batch in (FIRST, SECOND)

@@ -13,6 +13,7 @@ from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import moment
 from tidemark.spec import Batch
 
 FIRST = Batch(1, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 6))
@@ -65,10 +66,10 @@ def _landed(rows: DataFrame, table: str, batch: Batch, *columns: Col) -> DataFra
     file_name = F.concat(
         F.lit(f"{batch.ingestion_id}/{table}_"), F.when(late, "late").otherwise("raw"), F.lit(".csv")
     )
-    loaded = F.when(late, F.lit(LATE)).otherwise(F.lit(batch.loaded_at))
+    loaded = F.when(late, moment(LATE)).otherwise(moment(batch.loaded_at))
     return rows.select(
         *columns,
-        loaded.cast("timestamp_ntz").alias("created_at_bronze"),
+        loaded.alias("created_at_bronze"),
         file_name.alias("source_file_id"),
     )
 

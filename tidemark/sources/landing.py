@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.text import moment
 from tidemark.retail import RETAIL
 from tidemark.spec import MALFORMED, Batch, TableSpec
 
@@ -58,7 +59,7 @@ def with_lineage(spec: TableSpec, lines: DataFrame, batch: Batch) -> DataFrame:
     return lines.select(
         *spec.names,
         MALFORMED,
-        F.lit(batch.loaded_at).cast("timestamp_ntz").alias("created_at_bronze"),
+        moment(batch.loaded_at).alias("created_at_bronze"),
         F.concat(F.lit(f"{batch.ingestion_id}/"), F.col("_metadata.file_name")).alias(
             "source_file_id"
         ),
