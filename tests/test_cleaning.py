@@ -215,7 +215,7 @@ def test_rows_in_are_rows_out(spark, batch):
     data = [("p1", "n", "c", "1"), ("p1", "n", "c", "2"), ("p2", "n", "c", "-1"), (None, "n", "c", "1")]
     frame = bronze(spark, PRODUCTS, data)
     found = reconciliation(PRODUCTS, frame, checked(PRODUCTS, frame, batch)).first()
-    assert tuple(found) == ("products", 4, 1, 2, 1)
+    assert tuple(found) == ("products", 4, 1, 0, 2, 1)
 
 
 def test_key_checks(spark, batch):

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import day_batch, rows
 from tidemark.operators.metrics import DAILY, HISTORY, longest_load, rows_by_run, rows_loaded
-from tidemark.operators.quality import checked, malformed_rows
+from tidemark.operators.quality import checked, malformed_rows, reconciliation
 from tidemark.plans.bronze import ingest
 from tidemark.plans.run import new_batch
 from tidemark.retail import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, RETAIL
@@ -66,7 +66,9 @@ def test_short_and_long_rows_go_to_quarantine(spark, landing, batch):
     bad = malformed_rows(CUSTOMERS, frame, batch)
     assert {r.reject_reason for r in bad.collect()} == {"malformed_row"}
     assert sorted(r.raw_row.split('"')[3] for r in bad.collect()) == ["c2,n", "c3,n,2020-01-01,x"]
-    assert rows(checked(CUSTOMERS, frame, batch), "customer_id") == [("c1",)]
+    tagged = checked(CUSTOMERS, frame, batch)
+    assert rows(tagged, "customer_id") == [("c1",)]
+    assert tuple(reconciliation(CUSTOMERS, frame, tagged).first()) == ("customers", 3, 0, 2, 0, 1)
 
 
 def test_columns_are_positional_and_a_wrong_header_is_an_error(spark, landing, batch):

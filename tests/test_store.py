@@ -55,6 +55,19 @@ def test_only_months_with_changes_are_rewritten_and_rows_can_move(lake):
     assert len({f.split("/month=")[1][:7] for f in between.inputFiles()}) == 2
 
 
+def test_old_versions_can_be_dropped(lake):
+    for n, price in enumerate("123", start=1):
+        day = day_batch(n, f"2024-01-0{n}")
+        land(lake, ORDERS, [("o1", "c", "2020-01-05", price), ("o2", "c", "2020-02-05", "s")], day)
+        refine(lake, ORDERS, day)
+        lake.drop_staging(ORDERS, n)
+    assert lake.manifest(ORDERS) == (3, {"2020-01": "3", "2020-02": "1"})
+    assert lake.expire(ORDERS, keep=1) == 2
+    assert lake.expire(ORDERS, keep=1) == 0
+    assert rows(lake.main(ORDERS), "order_id", "status") == [("o1", "3"), ("o2", "s")]
+    assert lake.manifest(ORDERS)[0] == 3
+
+
 def test_a_merged_run_is_not_merged_again_and_a_broken_one_can_be_repeated(lake):
     land(lake, PRODUCTS, [("p1", "n", "c", "1")], DAY1)
     refine(lake, PRODUCTS, DAY1)

@@ -141,25 +141,28 @@ def assert_history(spec: TableSpec, history: DataFrame) -> None:
 
 
 def reconciliation(spec: TableSpec, bronze: DataFrame, tagged: DataFrame) -> DataFrame:
-    """One row: rows in = dropped as older versions + rejected + clean."""
+    """One row: rows in = malformed + dropped as older versions + rejected + clean."""
     nothing = F.lit(0).cast("bigint")
     is_rejected = F.col("reject_reason").isNotNull()
+    broken = F.count(MALFORMED) if MALFORMED in bronze.columns else nothing
     arrived = bronze.agg(
-        F.count(F.lit(1)).alias("daily_in"), nothing.alias("rejected"), nothing.alias("clean")
+        F.count(F.lit(1)).alias("daily_in"),
+        broken.alias("malformed"),
+        nothing.alias("rejected"),
+        nothing.alias("clean"),
     )
     kept = tagged.agg(
         nothing.alias("daily_in"),
+        nothing.alias("malformed"),
         F.count_if(is_rejected).alias("rejected"),
         F.count_if(~is_rejected).alias("clean"),
     )
+    parts = ("malformed", "rejected", "clean")
+    older = F.col("daily_in") - F.col("malformed") - F.col("rejected") - F.col("clean")
     return (
         arrived.unionByName(kept)
-        .agg(*[F.sum(c).alias(c) for c in ("daily_in", "rejected", "clean")])
+        .agg(*[F.sum(c).alias(c) for c in ("daily_in", *parts)])
         .select(
-            F.lit(spec.name).alias("table_name"),
-            "daily_in",
-            (F.col("daily_in") - F.col("rejected") - F.col("clean")).alias("dropped_by_dedup"),
-            "rejected",
-            "clean",
+            F.lit(spec.name).alias("table_name"), "daily_in", older.alias("dropped_by_dedup"), *parts
         )
     )

@@ -444,7 +444,7 @@ def _main_rows(table: str) -> str:
 def _reconciliation(table: str) -> str:
     return f"""
         SELECT '{table}' AS table_name, daily_in, daily_in - rejected - clean AS dropped_by_dedup,
-               rejected, clean
+               CAST(0 AS BIGINT) AS malformed, rejected, clean
         FROM (SELECT (SELECT count(*) FROM ({LANDING[table](1)})) AS daily_in,
                      count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected,
                      count(*) FILTER (WHERE reject_reason IS NULL) AS clean
@@ -467,10 +467,10 @@ ALL_FILES = _union(_file_counts(t, b) for t in TABLES for b in (1, 2))
 
 FILE_LOG = f"""
     SELECT ingestion_id, source_file_id, split_part(source_file_id, '/', 2) AS source_file_name,
-           table_name, ingestion_for, row_count,
+           table_name, unnest(['bronze_daily', 'bronze_raw']) AS ingestion_for, row_count,
            CASE ingestion_id WHEN 1 THEN '2024-01-01 00:00:00' ELSE '2024-01-02 00:00:00' END
                AS created_at
-    FROM ({ALL_FILES}), (VALUES ('bronze_daily'), ('bronze_raw')) AS s(ingestion_for)
+    FROM ({ALL_FILES})
 """
 
 BRONZE_SUMMARY = f"""

@@ -28,6 +28,9 @@ from tidemark.spec import Batch, TableSpec
 
 log = logging.getLogger("tidemark")
 
+# A batch of at most this many rows is sent whole to every executor: 25 MB of the longest keys.
+FEW_ROWS = 100_000
+
 
 @dataclass
 class Cleaned:
@@ -93,9 +96,13 @@ def clean_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True)
 def _batch_rows(lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
     """The clean batch with its carried columns looked up in the orders merged so far."""
     daily = lake.daily(spec, batch.ingestion_id)
-    if "order_date" in spec.carried_names:
-        return with_order_date(daily, lake.main(ORDERS))
-    return daily
+    if "order_date" not in spec.carried_names:
+        return daily
+    orders = lake.main(ORDERS)
+    if daily.count() <= FEW_ROWS:
+        # Only the orders of this batch then go through the lookup's shuffle.
+        orders = orders.join(F.broadcast(daily.select("order_id")), "order_id", "left_semi")
+    return with_order_date(daily, orders)
 
 
 def _rows_per_month(lake: Lake, spec: TableSpec, changed: DataFrame, found: DataFrame) -> list:

@@ -189,6 +189,38 @@ class Lake:
         )
         return new
 
+    def expire(self, spec: TableSpec, keep: int = 2) -> int:
+        """Drop month folders that none of the last ``keep`` versions use; returns how many.
+
+        Readers of older versions must be finished. Only folder names are handled here.
+        """
+        manifests = f"{self._main(spec)}/manifest"
+        names = self.files.names(manifests)
+        live = {
+            (version, month)
+            for name in names[-keep:]
+            for month, version in json.loads(self.files.read_text(f"{manifests}/{name}")).items()
+        }
+        data, dropped = f"{self._main(spec)}/data", 0
+        newest = int(names[-1].split(".")[0]) if names else 0
+        for folder in self.files.names(data):
+            version = folder.removeprefix("version=")
+            if int(version) > newest:
+                continue  # a merge that has not committed yet
+            for month in self.files.names(f"{data}/{folder}"):
+                label = month.removeprefix("month=")
+                if month.startswith("month=") and (version, label) not in live:
+                    self.files.drop(f"{data}/{folder}/{month}")
+                    dropped += 1
+        for name in names[:-keep]:
+            self.files.drop(f"{manifests}/{name}")
+        return dropped
+
+    def drop_staging(self, spec: TableSpec, ingestion_id: int) -> None:
+        """Drop a merged run's intermediate tables."""
+        for layer in ("silver_daily", "changes"):
+            self.files.drop(self._run(layer, spec, ingestion_id))
+
     # ---- logs and finished work ----
 
     def write_log(self, log: str, rows: DataFrame, table: str, ingestion_id: int) -> None:
