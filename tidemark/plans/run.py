@@ -7,7 +7,7 @@ import datetime as dt
 from tidemark.plans.bronze import ingest
 from tidemark.plans.jobs import together
 from tidemark.plans.silver import Merged, refine
-from tidemark.retail import RETAIL
+from tidemark.retail import ORDERS, RETAIL
 from tidemark.sources.store import Lake
 from tidemark.spec import Batch, TableSpec
 
@@ -19,25 +19,27 @@ def new_batch(lake: Lake, when: dt.datetime) -> Batch:
     return batch
 
 
-def _waves(specs: dict[str, TableSpec]) -> list[list[TableSpec]]:
-    """Tables whose carried columns come from other tables go last."""
-    first = [s for s in specs.values() if not s.carried]
-    last = [s for s in specs.values() if s.carried]
-    return [wave for wave in (first, last) if wave]
+def _chains(specs: dict[str, TableSpec]) -> list[list[TableSpec]]:
+    """Tables that must follow each other: those with carried columns come after the orders."""
+    after_orders = [s for s in specs.values() if s.carried]
+    chains = [[s] for s in specs.values() if not s.carried and s is not ORDERS]
+    orders = [s for s in specs.values() if s is ORDERS]
+    return [chain for chain in (orders + after_orders, *chains) if chain]
 
 
 def refine_all(
     lake: Lake, batch: Batch, specs: dict[str, TableSpec] = RETAIL, parallel: bool = False
 ) -> dict[str, Merged | None]:
     """Clean and merge every table, one by one or as concurrent Spark jobs."""
-    done: dict[str, Merged | None] = {}
-    for wave in _waves(specs):
-        results = together(
-            [lambda s=spec: refine(lake, s, batch) for spec in wave],
-            at_once=None if parallel else 1,
-        )
-        done |= {spec.name: merged for spec, merged in zip(wave, results, strict=True)}
-    return done
+
+    def refine_chain(chain: list[TableSpec]) -> dict[str, Merged | None]:
+        return {spec.name: refine(lake, spec, batch) for spec in chain}
+
+    results = together(
+        [lambda c=chain: refine_chain(c) for chain in _chains(specs)],
+        at_once=None if parallel else 1,
+    )
+    return {name: merged for chain in results for name, merged in chain.items()}
 
 
 def run(
