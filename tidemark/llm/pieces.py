@@ -17,6 +17,8 @@ has ties; runs of marks are therefore compiled by merging, which the model must
 from __future__ import annotations
 
 import struct
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +32,7 @@ from tidemark.llm.common import fresh, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Words and arcs a worker remembers, and the longest word it does.
-REMEMBERED, REMEMBERED_ARCS, LONGEST = 200_000, 1_000_000, 48
+REMEMBERED, REMEMBERED_ARCS, LONGEST = 250_000, 1_000_000, 48
 NORMAL, CONTROL, USER, BYTE, BPE = 1, 3, 4, 6, 2
 #: Rows that one task turns into one batch of ids.
 ROWS = 500
@@ -82,7 +84,9 @@ class Transducer:
         self.all = {p: i for i, (p, k) in enumerate(zip(self.pieces, kinds)) if k == NORMAL}
         self.score = {p: scores[i] for p, i in self.all.items()}
         self.bytes = [i for i, k in enumerate(kinds) if k == BYTE]
-        self.longest = max(map(len, self.all))
+        self.byte_ids = set(self.bytes)
+        if len(self.pieces) > 1 << 16:
+            raise ValueError("at most 65536 pieces")
         self.written = [
             b"" if k == CONTROL else bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode()
             for p, k in zip(self.pieces, kinds)
@@ -123,25 +127,64 @@ class Transducer:
         return self._known
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("_grammar", "_known")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_grammar", "_known", "_trie")}
+
+    @property
+    def trie(self) -> dict:
+        """The lexicon as a tree of characters; a piece stands under the empty key where it ends."""
+        if "_trie" not in self.__dict__:
+            self._trie: dict = {}
+            for piece, i in self.lexicon.items():
+                node = self._trie
+                for char in piece:
+                    node = node.setdefault(char, {})
+                node[""] = i
+        return self._trie
 
     def shortest(self, text: str) -> list[int]:
-        """The one finite path through a word with at most one mark, in front."""
-        n, grammar, get = len(text), self.grammar, self.lexicon.get
-        state, back = [0] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - self.longest), i):
-                piece = get(text[j:i])
-                if piece is not None and (j == 0 or state[j] < 0 or grammar[state[j], piece]):
-                    state[i], back[i] = piece, j
-                    break
+        """The one finite path through a word with at most one mark, in front.
+
+        A depth-first walk, long pieces first. Each prefix has one segmentation, so a place from which the end was not
+        reached is reached by no other path either, and no place is left twice.
+        """
+        n, grammar, trie = len(text), self.grammar, self.trie
+        dead: set[int] = set()
+        taken: list[int] = []  # pieces on the path, minus one for a character that is none
+        open_: list[list[tuple[int, int]]] = []  # for each place on the path: arcs not tried yet, longest last
+        at = 0
+        while at < n:
+            arcs, node, end = [], trie, at
+            while end < n and (node := node.get(text[end])) is not None:
+                end += 1
+                if (piece := node.get("")) is not None:
+                    arcs.append((piece, end))
+            open_.append(arcs or [(-1, at + 1)])
+            while True:
+                last = taken[-1] if taken else -1
+                arcs = open_[-1]
+                while arcs:
+                    piece, end = arcs.pop()
+                    if end not in dead and (last < 0 or piece < 0 or grammar[last << 16 | piece]):
+                        taken.append(piece)
+                        at = end
+                        break
+                else:
+                    open_.pop()
+                    dead.add(at)
+                    at -= len(self.pieces[last]) if last >= 0 else 1
+                    taken.pop()
+                    continue
+                break
+        if -1 not in taken:
+            return taken
+        out, at = [], 0
+        for piece in taken:
+            if piece < 0:
+                out += [self.bytes[b] for b in text[at].encode("utf-8", "surrogatepass")]
             else:
-                state[i], back[i] = -1, i - 1  # byte arcs
-        out, i = [], n
-        while i:
-            out.append([self.bytes[b] for b in text[back[i] : i].encode("utf-8", "surrogatepass")] if state[i] < 0 else [state[i]])
-            i = back[i]
-        return [x for part in reversed(out) for x in part]
+                out.append(piece)
+            at += len(self.pieces[piece]) if piece >= 0 else 1
+        return out
 
     def run(self, marks: int) -> list[int]:
         """Pieces of a run of marks; long runs are cut where merging can't reach over."""
@@ -150,7 +193,7 @@ class Transducer:
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text; words are looked up whole, since no piece reaches over a mark that follows something else."""
         if not text:
-            return np.zeros(0, dtype="<i4")
+            return np.zeros(0, dtype=np.int32)
         words = text.replace(MARK, " ").split(" ")
         if not self.prefix:
             head, words = words[0], words[1:]
@@ -166,11 +209,11 @@ class Transducer:
                 else:
                     marks += 1
             if marks:
-                found.append(np.array(self.run(marks), dtype="<i4").tobytes())
+                found.append(array("i", self.run(marks)).tobytes())
             out = b"".join(found)
         if not self.prefix and head:
-            out = np.array(self.shortest(head), dtype="<i4").tobytes() + out
-        return np.frombuffer(out, dtype="<i4")
+            out = array("i", self.shortest(head)).tobytes() + out
+        return np.frombuffer(out, dtype=np.int32)
 
     def text(self, ids: np.ndarray) -> str:
         """The text of ids, without the space that the normaliser put in front."""
@@ -190,8 +233,8 @@ class Grammar(dict):
         super().__init__()
         self.model = model
 
-    def __missing__(self, pair: tuple[int, int]) -> bool:
-        a, b = (self.model.pieces[i] for i in pair)
+    def __missing__(self, pair: int) -> bool:
+        a, b = self.model.pieces[pair >> 16], self.model.pieces[pair & 0xFFFF]
         if len(self) >= REMEMBERED_ARCS:
             self.clear()
         out = self[pair] = self.model.merged(a + b) == [a, b]
@@ -209,7 +252,7 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         out = self.older.get(word)
         if out is None:
-            out = np.array(self.model.shortest(MARK + word), dtype="<i4").tobytes()
+            out = self._appended(word) or array("i", self.model.shortest(MARK + word)).tobytes()
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
                 # Words in use come back from here; the others go with the next turn.
@@ -218,13 +261,23 @@ class Words(dict):
             self[word] = out
         return out
 
+    def _appended(self, word: str) -> bytes | None:
+        """A word with a sign at its end: the path of the word and an arc for the sign, if there is that arc."""
+        sign = self.model.lexicon.get(word[-1]) if len(word) > 1 and not word[-1].isalnum() else None
+        if sign is None:
+            return None
+        ids = self[word[:-1]]
+        last = int.from_bytes(ids[-4:], sys.byteorder)
+        follows = self.model.grammar[last << 16 | sign] and last not in self.model.byte_ids
+        return ids + array("i", [sign]).tobytes() if follows else None
+
     def after(self, marks: int, word: str) -> bytes:
         """Ids of further marks, a mark and a word: marks merge last, so the word takes its own mark if it can."""
         ids = self[word]
-        first = int.from_bytes(ids[:4], "little")
+        first = int.from_bytes(ids[:4], sys.byteorder)
         if first == self.model.all[MARK]:
-            return np.array(self.model.run(marks + 1), dtype="<i4").tobytes() + ids[4:]
-        return np.array(self.model.run(marks), dtype="<i4").tobytes() + ids
+            return array("i", self.model.run(marks + 1)).tobytes() + ids[4:]
+        return array("i", self.model.run(marks)).tobytes() + ids
 
 
 def load(path: str = MODEL) -> Transducer:
@@ -260,7 +313,7 @@ def encoded(docs: DataFrame, model: Transducer, text: str = "text", ids: str = "
                 found = [None if t is None else model.ids(t.decode("utf-8", "replace")) for t in texts]
                 sizes = [0 if x is None else len(x) for x in found]
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                values = np.concatenate([x for x in found if x is not None] or [np.zeros(0, "<i4")])
+                values = np.concatenate([x for x in found if x is not None] or [np.zeros(0, np.int32)])
                 lists = pa.ListArray.from_arrays(
                     pa.array(offsets, mask=np.array([*(x is None for x in found), False])), pa.array(values, pa.int32())
                 )
@@ -284,7 +337,7 @@ def decoded(docs: DataFrame, model: Transducer, ids: str = "ids", text: str = "t
         model = shared.value
         for batch in batches:
             found = batch.column(batch.num_columns - 1).to_pylist()
-            texts = pa.array([None if x is None else model.text(np.array(x, dtype="<i4")) for x in found], pa.string())
+            texts = pa.array([None if x is None else model.text(np.array(x, dtype=np.int32)) for x in found], pa.string())
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, texts], names=[f.name for f in schema])
 

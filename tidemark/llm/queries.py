@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import lines, mixing, quality, simhash
+import corpus_pipeline
+from tidemark.llm import lines, mixing, pieces, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def build() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
+        "op2_sentencepiece": pieces.op2_sentencepiece,
         "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
         "op4_line_dedup": lines.op4_line_dedup,
         "op9_quality_rules": quality.op9_quality_rules,
