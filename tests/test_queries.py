@@ -4,6 +4,8 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, mismatch
 from conftest import SMALL
+from tidemark.plans import oracles
+from tidemark.plans import queries as registered
 
 # Whole runs through files take long; tests/compare.py covers every query.
 SLOW = {"run_log", "stored_order_items", "stored_quarantine", "streamed_payments", "main_key_check"}
@@ -25,15 +27,15 @@ SOME = [
 
 
 def test_every_query_has_sql_and_no_name_is_reserved():
-    assert set(contract.queries()) == set(contract.oracle_sql())
-    assert not any("pipeline" in n or n.startswith("op") for n in contract.queries())
+    assert set(registered.build()) == set(oracles.build())
+    assert not any("pipeline" in n or n.startswith("op") for n in registered.build())
     assert set(SOME) < set(contract.queries()) and SLOW < set(contract.queries())
 
 
 def test_all_sql_runs():
     con = connect(SMALL)
     assert isinstance(con, duckdb.DuckDBPyConnection)
-    for name, sql in contract.oracle_sql().items():
+    for name, sql in oracles.build().items():
         found = con.execute(sql).fetchall()
         # These tables hold no key twice.
         assert found or name in ("products_key_violations", "orders_key_violations",
