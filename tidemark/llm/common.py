@@ -54,8 +54,8 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return names
 
 
-def running_total(df: DataFrame, order: list[str], size: str, purpose: str) -> DataFrame:
-    """Add ``before``: the sum of ``size`` over all rows that come earlier in the order of ``order``.
+def running_total(df: DataFrame, order: list[str], size: str, purpose: str, out: str = "before") -> DataFrame:
+    """Add ``out``: the sum of ``size`` over all rows that come earlier in the order of ``order``.
 
     A distributed prefix sum. Rows are dealt out by ranges of the order and written, each range is summed, and the
     sums of the ranges (one row for each partition, so their broadcast is bounded by the number of partitions) are
@@ -71,7 +71,7 @@ def running_total(df: DataFrame, order: list[str], size: str, purpose: str) -> D
     return (
         placed.withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
         .join(F.broadcast(offsets), "_range")
-        .withColumn("before", F.col("_inside") + F.col("_offset"))
+        .withColumn(out, F.col("_inside") + F.col("_offset"))
         .drop("_inside", "_offset", "_range")
     )
 

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import fresh, table
 
@@ -300,7 +301,7 @@ def encoded(docs: DataFrame, model: Transducer, text: str = "text", ids: str = "
     (source,) = fresh(docs, "_source")
     rows = docs.select(*kept, F.col(text).alias(source))
     names = [c for c in rows.columns if c != source]
-    schema = rows.select(*[F.col(f"`{c}`") for c in names]).schema.add(ids, "array<int>")
+    schema = rows.select(*[F.col(f"`{c}`") for c in names]).schema.add(ids, T.ArrayType(T.IntegerType()))
     if decoded:
         schema = schema.add(decoded, "string")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import lines, mixing, pieces, quality, simhash
+from tidemark.llm import covertree, licences, lines, lm, mixing, pieces, quality, sharding, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +15,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 def build() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
+        "op1_embedding_near_dedup": covertree.op1_embedding_near_dedup,
         "op2_sentencepiece": pieces.op2_sentencepiece,
         "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
         "op4_line_dedup": lines.op4_line_dedup,
+        "op5_sharding": sharding.op5_sharding,
+        "op6_url_filter": urls.op6_url_filter,
+        "op7_licence_scan": licences.op7_licence_scan,
+        "op8_lm_scoring": lm.op8_lm_scoring,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_source_mixing": mixing.op10_source_mixing,
     }
