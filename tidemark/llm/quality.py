@@ -117,7 +117,11 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_stop_words": F.size(F.filter(words, lambda w: w.isin(stops))),
         "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": _repeated_words(F.col(windows), F.col(ordered)),
+        # Always true, but not deterministic: a filter on the verdict stays above this projection, else Spark would
+        # write the windows into it again for each of their uses.
+        "n_repeat_words": F.when(
+            F.monotonically_increasing_id() >= 0, _repeated_words(F.col(windows), F.col(ordered))
+        ),
     }
     own = {c for c in docs.columns if c.lower() not in measures}
     return sorted_.select(
