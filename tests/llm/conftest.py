@@ -1,0 +1,6 @@
+import os
+import sys
+
+_HERE = os.path.dirname(os.path.abspath(__file__))
+# The shared fixtures are found by pytest itself; these make helper modules importable.
+sys.path[:0] = [os.path.dirname(_HERE), os.path.dirname(os.path.dirname(_HERE))]

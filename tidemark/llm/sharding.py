@@ -109,7 +109,7 @@ def sharded(
     starts = [a for a, _, _ in stretches] or [0]
     index = _index(starts, max(1, total))
     plan = spark.createDataFrame(
-        [(i, [list(stretches[k]) for k in found]) for i, found in index.items()], "part int, found array<array<long>>"
+        [(i, [list(stretches[k]) for k in found if stretches]) for i, found in index.items()], "part int, found array<array<long>>"
     )
     width = -(-max(1, total) // PARTS)
     mine = F.filter("found", lambda s: (s[0] <= F.col("before")) & (F.col("before") < s[1]))
