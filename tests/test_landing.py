@@ -1,15 +1,19 @@
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day_batch, rows
+from conftest import bronze, day_batch, rows
+from tidemark.operators import merge
 from tidemark.operators.metrics import DAILY, HISTORY, longest_load, rows_by_run, rows_loaded
-from tidemark.operators.quality import checked, malformed_rows, reconciliation
+from tidemark.operators.quality import checked, clean, malformed_rows, reconciliation
 from tidemark.plans.bronze import ingest
 from tidemark.plans.run import new_batch
 from tidemark.retail import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS, RETAIL
 from tidemark.sources.export import export_csv, preview, write_landing
 from tidemark.sources.landing import discover, route, scan, unrouted
 from tidemark.sources.store import Lake
+from tidemark.streaming.incremental import start
 
 HEADER = "customer_id,name,signup_date\n"
 
@@ -104,7 +108,7 @@ def test_ingest_logs_every_file_and_archives_after_success(spark, landing, tmp_p
     left = {p.name for p in landing.iterdir() if not p.name.startswith(".")}
     assert left == {"unknown_1.csv"}
     assert {p.name for p in archive.iterdir() if not p.name.startswith(".")} == {
-        "customers_1.csv", "customers_2.csv",
+        "1_customers_1.csv", "1_customers_2.csv",
     }
     # A repeated run changes nothing.
     ingest(lake, str(landing), batch)
@@ -147,3 +151,90 @@ def test_landing_files_are_named_for_their_table(spark, tmp_path, batch):
         ("  ", "n", None)
     ]
     assert set(RETAIL) == {"customers", "products", "orders", "order_items", "payments"}
+
+
+def test_only_loaded_files_are_archived(spark, landing, tmp_path, batch):
+    lake, archive = Lake(spark, str(tmp_path / "lake")), tmp_path / "archive"
+    (landing / "customers_1.csv").write_text(HEADER + "c1,n,2020-01-01\n")
+    ingest(lake, str(landing), batch)
+    # One file arrives between load and archive, and the run is repeated.
+    (landing / "customers_2.csv").write_text(HEADER + "c2,n,2020-01-01\n")
+    ingest(lake, str(landing), batch, archive=str(archive))
+    ingest(lake, str(landing), batch, archive=str(archive))
+    names = lambda folder: sorted(p.name for p in folder.iterdir() if p.suffix == ".csv")
+    assert names(archive) == ["1_customers_1.csv"] and names(landing) == ["customers_2.csv"]
+    # The next day brings a file of an old name.
+    (landing / "customers_1.csv").write_text(HEADER + "c3,n,2020-01-01\nc4,n,2020-01-01\n")
+    second = day_batch(2, "2024-01-02")
+    ingest(lake, str(landing), second, archive=str(archive))
+    assert names(landing) == []
+    assert names(archive) == ["1_customers_1.csv", "2_customers_1.csv", "2_customers_2.csv"]
+    assert rows(lake.bronze(CUSTOMERS), "customer_id") == [("c1",), ("c2",), ("c3",), ("c4",)]
+
+
+def test_a_file_left_in_place_is_landed_once(spark, landing, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    (landing / "customers_[1]*.csv").write_text(HEADER + "c1,n,2020-01-01\n")
+    for run_id in (1, 2):
+        ingest(lake, str(landing), day_batch(run_id, f"2024-01-0{run_id}"))
+    assert rows(lake.bronze(CUSTOMERS), "customer_id", "ingestion_id") == [("c1", 1)]
+
+
+def test_the_longest_table_name_claims_a_file(spark, landing, tmp_path, batch):
+    eu = dataclasses.replace(ORDERS, name="orders_eu")
+    specs = {"orders": ORDERS, "orders_eu": eu}
+    for name in ("orders_1", "orders_eu_1"):
+        (landing / f"{name}.csv").write_text(f"order_id,customer_id,order_date,status\n{name},c,d,s\n")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, str(landing), batch, specs)
+    assert rows(lake.bronze_daily(ORDERS, 1), "order_id") == [("orders_1",)]
+    assert rows(lake.bronze_daily(eu, 1), "order_id") == [("orders_eu_1",)]
+    assert rows(scan(spark, ORDERS, str(landing), batch, specs=specs), "order_id") == [("orders_1",)]
+
+
+def test_every_micro_batch_needs_a_run_of_its_own(spark, landing, tmp_path):
+    for n in (1, 2):
+        (landing / f"customers_{n}.csv").write_text(HEADER + f"c{n},n,2020-01-01\n")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    one = day_batch(1, "2024-01-01")
+    query = start(lake, CUSTOMERS, str(landing), lambda epoch: one, str(tmp_path / "seen"), max_files=1)
+    with pytest.raises(Exception, match="run of its own"):
+        query.awaitTermination()
+    each = {0: one, 1: day_batch(2, "2024-01-02")}
+    query = start(lake, CUSTOMERS, str(landing), each.get, str(tmp_path / "seen"), max_files=1)
+    query.awaitTermination()
+    assert rows(lake.main(CUSTOMERS), "customer_id") == [("c1",), ("c2",)]
+    assert rows(lake.file_log(), "source_file_name", "ingestion_for", "row_count") == [
+        ("customers_1.csv", DAILY, 1),
+        ("customers_1.csv", HISTORY, 1),
+        ("customers_2.csv", DAILY, 1),
+        ("customers_2.csv", HISTORY, 1),
+    ]
+
+
+def test_keys_that_agree_in_front_stay_apart(spark, batch):
+    long = "k" * 255
+    frame = bronze(spark, CUSTOMERS, [(long + "A", "x", "2020-01-01"), (long + "b", "y", "2020-01-01"), (long, "z", "2020-01-01")])
+    tagged = checked(CUSTOMERS, frame, batch)
+    assert rows(tagged, "customer_id", "reject_reason") == [
+        (long, None), (long + "a", "key_too_long"), (long + "b", "key_too_long"),
+    ]
+    assert tuple(reconciliation(CUSTOMERS, frame, tagged).first()) == ("customers", 3, 0, 0, 2, 1)
+
+
+def test_history_refuses_an_older_batch(spark, tmp_path):
+    for route in ("whole", "changes"):
+        newer, older = day_batch(1, "2024-01-05"), day_batch(2, "2024-01-02")
+        clean_ = lambda name, b: clean(checked(CUSTOMERS, bronze(spark, CUSTOMERS, [("c1", name, "2020-01-01"), ("c2", "same", "2020-01-01")]), b))  # noqa: E731, B023
+        main = merge.first_rows(CUSTOMERS, clean_("new", newer), newer)
+        again = clean_("newest", newer)
+        late = clean_("old", older)
+        if route == "whole":
+            do = lambda d, b: merge.upsert_history(CUSTOMERS, main, d, b)  # noqa: E731, B023
+        else:
+            do = lambda d, b: merge.apply_changes(CUSTOMERS, main, merge.changes(CUSTOMERS, merge.matches(CUSTOMERS, main, d), d, b))  # noqa: E731, B023
+        assert rows(do(again, newer), "customer_id", "name") == [("c1", "newest"), ("c2", "same")]
+        with pytest.raises(Exception, match="would change the newer version"):
+            do(late, older).collect()
+        # A batch that changes nothing is no harm, however old it is.
+        assert do(clean_("new", older), older).count() == 2

@@ -18,9 +18,14 @@ def moment(value: dt.datetime) -> Col:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def plain(col: Col) -> Col:
+    """Lower-case text without outer blanks."""
+    return F.lower(F.trim(col))
+
+
 def normalised(col: Col, length: int) -> Col:
     """Lower-case text without outer blanks, cut to ``length`` characters."""
-    return F.substring(F.lower(F.trim(col)), 1, length)
+    return F.substring(plain(col), 1, length)
 
 
 def guarded_date(col: Col) -> Col:
@@ -56,10 +61,15 @@ def identity_text(column: Column) -> Col:
     """What a key column is grouped on: its normalised text, or the raw text where that is blank.
 
     Spellings of one key fall together, while NULL, empty and blank keys stay apart from each other
-    as they are in the landing text.
+    as they are in the landing text. The text is never cut: keys that agree in their first characters
+    only are different keys, and one that doesn't fit its column is rejected with all of its text.
     """
-    text = normalised(F.col(column.name), column.length)
-    return F.coalesce(F.nullif(text, F.lit("")), F.col(column.name))
+    return F.coalesce(F.nullif(plain(F.col(column.name)), F.lit("")), F.col(column.name))
+
+
+def too_long(column: Column) -> Col:
+    """True for a key that its column could hold a part of only."""
+    return F.length(F.col(column.name)) > column.length
 
 
 def settled(col: Col) -> Col:

@@ -34,6 +34,20 @@ def _day(batch: Batch) -> dt.datetime:
     return dt.datetime.combine(batch.as_of, dt.time())
 
 
+def _opened_today(batch: Batch, changed: Col) -> Col:
+    """Whether a changed row's current version is of the batch's day.
+
+    A batch older than a version that it would change is refused: history is written in date order.
+    """
+    day = moment(_day(batch))
+    late = F.concat(F.lit(f"batch of {batch.as_of} would change the newer version of "), F.col("valid_from").cast("string"))
+    return (
+        F.when(~changed, F.lit(False))
+        .when(F.col("valid_from") > day, F.raise_error(late).cast("boolean"))
+        .otherwise(F.col("valid_from") == day)
+    )
+
+
 def _new(name: str) -> Col:
     return F.col(f"_new_{name}")
 
@@ -144,11 +158,11 @@ def history_actions(
     kept = _row(_kept_row(spec), "keep")
     opened = _row(_inserted_row(spec, batch), "open")
     changed = F.col("_in_batch") & _differs(spec)
-    opened_today = F.col("valid_from") >= moment(_day(batch))
+    opened_today = _opened_today(batch, F.coalesce(changed, F.lit(False)))
     rows = (
         F.when(F.col("_in_main").isNull(), F.array(opened))
         .when(
-            changed & opened_today, F.array(_row(_updated_row(spec, batch), "replace"))
+            opened_today, F.array(_row(_updated_row(spec, batch), "replace"))
         )
         .when(changed, F.array(_row(_closed_row(spec, batch), "close"), opened))
         .otherwise(F.array(kept))
@@ -225,7 +239,7 @@ def close_set(spec: TableSpec, main: DataFrame, daily: DataFrame, batch: Batch)
 def open_set(spec: TableSpec, main: DataFrame, daily: DataFrame, batch: Batch) -> DataFrame:
     """New history rows: batch keys without a valid row once changed rows are closed."""
     found = matches(spec, main, daily)
-    replaced = found.filter(F.col("changed") & (F.col("valid_from") >= moment(_day(batch))))
+    replaced = found.filter(_opened_today(batch, F.col("changed")))
     still_held = found.filter(~F.col("changed")).select(*spec.key).unionByName(
         replaced.select(*spec.key)
     )
@@ -249,7 +263,7 @@ def changes(
         )
     opened = _row(inserted, "open")
     rows = F.when(
-        F.col("valid_from") >= moment(_day(batch)),
+        _opened_today(batch, F.lit(True)),
         F.array(_row(_updated_row(spec, batch), "replace")),
     ).otherwise(F.array(_row(_closed_row(spec, batch), "close"), opened))
     return (

@@ -59,8 +59,9 @@ def file_log(
 def bronze_summary(log: DataFrame) -> DataFrame:
     """One row per run and table: rows and longest load per stage.
 
-    The total time is NULL if either stage is missing. Nothing is indexed here, so the indexing time
-    is zero.
+    One load serves both stages, so the total is the longer of the two, and NULL if either is missing.
+    A table's files are loaded together: every file carries the seconds of its table. Nothing is
+    indexed here, so the indexing time is zero.
     """
     daily, history = F.col(f"{DAILY}_seconds"), F.col(f"{HISTORY}_seconds")
     return (
@@ -75,7 +76,9 @@ def bronze_summary(log: DataFrame) -> DataFrame:
             daily.alias("bronze_daily_copy_executing_time"),
             F.lit(0.0).alias("bronze_daily_indexing_time"),
             history.alias("bronze_main_copy_executing_time"),
-            (daily + F.lit(0.0) + history).alias("total_bronze_process_executing_time"),
+            F.when(daily.isNotNull() & history.isNotNull(), F.greatest(daily, history)).alias(
+                "total_bronze_process_executing_time"
+            ),
         )
     )
 

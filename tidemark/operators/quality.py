@@ -9,10 +9,10 @@ from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import missing, moment
+from tidemark.functions.text import missing, moment, too_long
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.project import project, row_json
-from tidemark.spec import MALFORMED, Batch, TableSpec
+from tidemark.spec import KEY_TOO_LONG, MALFORMED, Batch, TableSpec
 
 
 class KeyViolation(RuntimeError):
@@ -28,8 +28,10 @@ def reject_reason(spec: TableSpec, batch: Batch) -> Col:
     latest = F.date_add(F.lit(batch.as_of), 1)
     keys = [c for c in spec.columns if c.name in spec.key]
     required = [c for c in spec.columns if c.name in spec.payload]
-    reason = F.when(_any(missing(c) for c in keys), "missing_pk").when(
-        _any(missing(c) for c in required), "missing_required_fields"
+    reason = (
+        F.when(_any(missing(c) for c in keys), "missing_pk")
+        .when(_any(too_long(c) for c in keys), KEY_TOO_LONG)
+        .when(_any(missing(c) for c in required), "missing_required_fields")
     )
     if spec.dated:
         outside = _any(

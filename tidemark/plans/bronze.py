@@ -12,29 +12,30 @@ from tidemark.functions.text import moment
 from tidemark.operators.metrics import bronze_summary, file_counts, file_log
 from tidemark.plans.jobs import together
 from tidemark.retail import RETAIL
-from tidemark.sources.files import Files
-from tidemark.sources.landing import discover, scan, unrouted
+from tidemark.sources.landing import discover, scan
 from tidemark.sources.store import Lake
 from tidemark.spec import Batch, TableSpec
 
 log = logging.getLogger("tidemark")
 
 
-def _land_table(
-    lake: Lake, spec: TableSpec, landing: str, batch: Batch, files: DataFrame, check_header: bool
+def land_rows(
+    lake: Lake, spec: TableSpec, rows: DataFrame, batch: Batch, files: DataFrame | None = None
 ) -> None:
-    """Load one table's files. A run's rows serve as both its daily batch and its part of history."""
+    """Write one table's landed rows and log its files.
+
+    A run's rows serve as both its daily batch and its part of history. ``files`` (column
+    file_name) are all files that were read, so those that hold only a header are logged with no rows.
+    """
     started = time.monotonic()
-    lake.write_bronze(
-        spec, scan(lake.spark, spec, landing, batch, check_header), batch.ingestion_id
-    )
+    lake.write_bronze(spec, rows, batch.ingestion_id)
     seconds = time.monotonic() - started
-    landed = file_counts(lake.bronze_daily(spec, batch.ingestion_id))
-    # Files that hold only a header are logged with no rows.
-    known = files.filter(F.col("table_name") == spec.name).select(
-        F.concat(F.lit(f"{batch.ingestion_id}/"), "file_name").alias("source_file_id")
-    )
-    counts = known.join(landed, "source_file_id", "left").fillna(0, ["row_count"])
+    counts = file_counts(lake.bronze_daily(spec, batch.ingestion_id))
+    if files is not None:
+        known = files.select(
+            F.concat(F.lit(f"{batch.ingestion_id}/"), "file_name").alias("source_file_id")
+        )
+        counts = known.join(counts, "source_file_id", "left").fillna(0, ["row_count"])
     entries = file_log(
         counts, spec.name, batch.ingestion_id, F.lit(seconds), moment(batch.loaded_at)
     )
@@ -42,6 +43,21 @@ def _land_table(
     log.info("%s: landed in %.1f s", spec.name, seconds)
 
 
+def claim_files(
+    lake: Lake, landing: str, batch: Batch, specs: dict[str, TableSpec] = RETAIL
+) -> DataFrame:
+    """The files of a run, written down before any is read; a repeated run gets the same ones.
+
+    A file that an earlier run has claimed, unchanged since, is not claimed again.
+    """
+    if not lake.has_registry(batch.ingestion_id):
+        seen = lake.registry().filter(F.col("ingestion_id") < batch.ingestion_id)
+        state = ["path", "length", "modified"]
+        fresh = discover(lake.spark, landing, specs).join(seen.select(*state), state, "left_anti")
+        lake.write_registry(fresh, batch.ingestion_id)
+    return lake.registry().filter(F.col("ingestion_id") == batch.ingestion_id)
+
+
 def ingest(
     lake: Lake,
     landing: str,
@@ -52,46 +68,54 @@ def ingest(
 ) -> DataFrame:
     """Land every routed file as one run and return the run's bronze summary.
 
-    Tables without files are skipped and files no table claims are reported. Files move to
-    ``archive``, if given, only after every table has loaded. A run already landed is not read again.
+    Only files in the run's registry are read, logged and, if ``archive`` is given, moved there
+    after every table has loaded. Tables without files are skipped and files no table claims are
+    reported. A run already landed is not read again.
     """
+    files = claim_files(lake, landing, batch, specs)
     if not lake.is_done(batch.ingestion_id, "landed"):
-        files = discover(lake.spark, landing, specs)
-        per_table = {
-            row["table_name"]: row["n"]
-            for row in files.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()
-        }
-        if per_table.get(None):
-            log.warning("%d landing files belong to no table", per_table[None])
-            unrouted(files).select("file_name").write.mode("overwrite").parquet(
-                f"{lake.root}/logs/unrouted/ingestion_id={batch.ingestion_id}"
-            )
-        landing_now = [s for s in specs.values() if per_table.get(s.name)]
+        paths: dict[str | None, list[str]] = {}
+        for row in files.select("table_name", "path").collect():
+            paths.setdefault(row["table_name"], []).append(row["path"])
+        if None in paths:
+            log.warning("%d landing files belong to no table", len(paths[None]))
         for spec in specs.values():
-            if spec not in landing_now:
+            if spec.name not in paths:
                 log.info("%s: nothing landed", spec.name)
-        together(
-            [
-                lambda s=spec: _land_table(lake, s, landing, batch, files, check_header)
-                for spec in landing_now
-            ]
-        )
+
+        def land(spec: TableSpec) -> None:
+            rows = scan(lake.spark, spec, landing, batch, check_header, specs, paths[spec.name])
+            land_rows(lake, spec, rows, batch, files.filter(F.col("table_name") == spec.name))
+
+        together([lambda s=spec: land(s) for spec in specs.values() if spec.name in paths])
         lake.mark_done(batch, "landed")
     if archive:
-        archive_files(lake.files, landing, archive, specs)
+        archive_files(lake, archive, batch)
     return bronze_summary(lake.file_log().filter(F.col("ingestion_id") == batch.ingestion_id))
 
 
-def archive_files(
-    files: Files, landing: str, archive: str, specs: dict[str, TableSpec] = RETAIL
-) -> list[str]:
-    """Move the landing files of known tables to another folder of the same storage."""
-    files.make_directory(archive)
-    loaded = [
-        name
-        for name in files.names(landing)
-        if name.endswith(".csv") and name.startswith(tuple(specs))
-    ]
-    for name in loaded:
-        files.move(f"{landing}/{name}", f"{archive}/{name}")
-    return loaded
+#: Renames at once.
+MOVES = 16
+
+
+def archive_files(lake: Lake, archive: str, batch: Batch) -> list[str]:
+    """Move the files that a run has loaded, and no others, to a folder of the same storage.
+
+    The new name carries the run's number, so files of the same name on other days stay apart. A
+    file that was moved before, or that has changed since it was loaded, is left alone.
+    """
+    lake.files.make_directory(archive)
+    loaded = lake.registry().filter(
+        (F.col("ingestion_id") == batch.ingestion_id) & F.col("table_name").isNotNull()
+    )
+
+    def move(row) -> str | None:
+        found = lake.files.status(row["path"])
+        if found != (row["length"], row["modified"]):
+            return None
+        target = f"{batch.ingestion_id}_{row['file_name']}"
+        lake.files.move(row["path"], f"{archive}/{target}")
+        return target
+
+    moved = together([lambda r=row: move(r) for row in loaded.collect()], at_once=MOVES)
+    return sorted(name for name in moved if name)

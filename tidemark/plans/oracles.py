@@ -204,8 +204,12 @@ def _typed_column(name: str, kind) -> str:
     return f"substring(lower(trim({name})), 1, {kind}) AS {name}"
 
 
-def _typed(table: str, batch: int, rows: str) -> str:
-    columns = _list(_typed_column(n, kind) for n, kind in COLUMNS[table].items())
+def _typed(table: str, batch: int, rows: str, whole: bool = False) -> str:
+    """``whole``: keys aren't cut to the length of their column."""
+    columns = _list(
+        f"lower(trim({n})) AS {n}" if whole and n in KEYS[table] else _typed_column(n, kind)
+        for n, kind in COLUMNS[table].items()
+    )
     return f"""
         SELECT {columns}, created_at_bronze,
                TIMESTAMP '{AS_OF[batch]} 06:00:00' AS created_at_silver, source_file_id
@@ -213,12 +217,12 @@ def _typed(table: str, batch: int, rows: str) -> str:
     """
 
 
-def _grouped(name: str, length: int) -> str:
-    return f"coalesce(nullif(substring(lower(trim({name})), 1, {length}), ''), {name})"
+def _grouped(name: str) -> str:
+    return f"coalesce(nullif(lower(trim({name})), ''), {name})"
 
 
 def _latest(table: str, batch: int) -> str:
-    keys = _list(_grouped(k, COLUMNS[table][k]) for k in KEYS[table])
+    keys = _list(_grouped(k) for k in KEYS[table])
     order = _list(PAYLOADS[table], "{} DESC NULLS LAST")
     return f"""
         SELECT DISTINCT ON ({keys}) *
@@ -233,6 +237,7 @@ def _reason(table: str, batch: int) -> str:
 
     rules = [
         f"WHEN {_list((missing(k) for k in KEYS[table]), between=' OR ')} THEN 'missing_pk'",
+        f"WHEN {_list((f'length({k}) > {COLUMNS[table][k]}' for k in KEYS[table]), between=' OR ')} THEN 'key_too_long'",
         f"WHEN {_list((missing(p) for p in PAYLOADS[table]), between=' OR ')}"
         " THEN 'missing_required_fields'",
     ]
@@ -246,7 +251,7 @@ def _reason(table: str, batch: int) -> str:
 
 
 def _tagged(table: str, batch: int) -> str:
-    rows = _typed(table, batch, _latest(table, batch))
+    rows = _typed(table, batch, _latest(table, batch), whole=True)
     return f"SELECT *, {_reason(table, batch)} AS reject_reason FROM ({rows})"
 
 
@@ -271,7 +276,7 @@ def _landed(table: str) -> str:
 
 def _latest_shown(table: str) -> str:
     keys = _list(KEYS[table])
-    grouped = _list(f"{_grouped(k, COLUMNS[table][k])} AS {k}" for k in KEYS[table])
+    grouped = _list(f"{_grouped(k)} AS {k}" for k in KEYS[table])
     return f"""
         SELECT * EXCLUDE ({keys}) REPLACE (CAST(created_at_bronze AS VARCHAR) AS created_at_bronze),
                {grouped}
@@ -304,8 +309,18 @@ def _rejected(table: str) -> str:
     """
 
 
+def _long_keys() -> str:
+    """Customers whose key has 250 characters in front; keys stand whole where their length is judged."""
+    landing = LANDING["customers"](1)
+    padded = f"SELECT * REPLACE (repeat('k', 250) || customer_id AS customer_id) FROM ({landing})"
+    tagged = _tagged("customers", 1).replace(landing, padded)
+    return f"""
+        SELECT coalesce(reject_reason, 'clean') AS reject_reason, count(*) AS row_count
+        FROM ({tagged}) GROUP BY 1"""
+
+
 def _labels(table: str) -> list[str]:
-    labels = ["missing_pk", "missing_required_fields"]
+    labels = ["missing_pk", "key_too_long", "missing_required_fields"]
     if table in DATED:
         labels.append("future_or_past_date")
     if table in NEGATIVE:
@@ -332,7 +347,7 @@ def _duplicates(table: str, batch: int) -> str:
 
 
 def _conflicts(table: str) -> str:
-    keys = _list(_grouped(k, COLUMNS[table][k]) for k in KEYS[table])
+    keys = _list(_grouped(k) for k in KEYS[table])
     return f"""
         SELECT count(*) AS key_conflict_count
         FROM (SELECT 1 FROM (SELECT DISTINCT {_list(COLUMNS[table])} FROM ({LANDING[table](1)}))
@@ -695,12 +710,22 @@ def build() -> dict[str, str]:
         ),
         "stored_order_items": STORED_ITEMS,
         "stored_quarantine": _union(
-            _quarantine_counts(t, b) for t in ("customers", "products") for b in (1, 2)
+            _quarantine_counts(t, b) for t in TABLES for b in (1, 2)
         ),
         "streamed_customers": _history(
             "keep", "close", "open", columns=[*COLUMNS["customers"], "valid_from", "valid_to"]
         ),
-        "streamed_payments": f"""
-            SELECT {_list(COLUMNS["payments"])} FROM ({_merged("payments")})""",
+        "archived_files": _union(
+            [
+                f"""SELECT '1_{t}_raw_0.csv' AS file_name, 'archive' AS place, count(*) AS row_count
+                FROM ({LANDING[t](1)})"""
+                for t in TABLES
+            ]
+            + ["SELECT 'notes_raw_0.csv', 'landing', CAST(NULL AS BIGINT)"]
+        ),
+        "customers_long_keys": _long_keys(),
     }
+    for t in ("products", "orders", "payments"):
+        for way in ("stored", "streamed"):
+            sql[f"{way}_{t}"] = f"SELECT {_list(COLUMNS[t])} FROM ({_merged(t)})"
     return sql

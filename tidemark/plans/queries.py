@@ -6,6 +6,7 @@ Dates, times and decimals are returned as text, which every engine prints alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -363,8 +364,42 @@ def stored_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(items.drop(*AUDIT))
 
 
+def stored(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+    """A main table after two runs."""
+    return _plain(_run_both(spark, sf_dir, spec).main(spec).drop(*AUDIT))
+
+
+def archived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that a run has moved to the archive and their rows, and those that it has left alone."""
+    root = scratch(spark, "runs")
+    lake, landing = Lake(spark, f"{root}/lake"), f"{root}/landing"
+    for spec in RETAIL.values():
+        write_landing(spec, _landing(spark, sf_dir, spec).coalesce(1), landing)
+    stray = replace(CUSTOMERS, name="notes")
+    write_landing(stray, _landing(spark, sf_dir, CUSTOMERS).coalesce(1), landing)
+    ingest(lake, landing, FIRST, archive=f"{root}/archive")
+    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
+    found = [
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select(
+            name, F.lit(place).alias("place")
+        )
+        for folder, place in ((f"{root}/archive", "archive"), (landing, "landing"))
+    ]
+    counts = lake.file_log().filter(F.col("ingestion_for") == metrics.DAILY).select(
+        F.concat_ws("_", "ingestion_id", "source_file_name").alias("file_name"), "row_count"
+    )
+    return found[0].unionByName(found[1]).join(counts, "file_name", "left")
+
+
+def long_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per reject reason where keys agree in their first 250 characters and some exceed the column."""
+    rows = _landing(spark, sf_dir, CUSTOMERS)
+    padded = rows.withColumn("customer_id", F.concat(F.lit("k" * 250), "customer_id"))
+    return reject_counts(checked(CUSTOMERS, padded, FIRST))
+
+
 def stored_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejects = _run_both(spark, sf_dir, CUSTOMERS, PRODUCTS).quarantine()
+    rejects = _run_both(spark, sf_dir, *RETAIL.values()).quarantine()
     return rejects.groupBy("ingestion_id", "table_name", "reject_reason").agg(
         F.count(F.lit(1)).alias("row_count")
     )
@@ -432,10 +467,17 @@ def build() -> dict[str, Query]:
         "csv_preview": csv_preview,
         "landed_rows": landed_rows,
         "run_log": run_log,
+        "archived_files": archived_files,
+        "customers_long_keys": long_keys,
         "stored_customers": stored_customers,
+        "stored_products": _of(PRODUCTS, stored),
+        "stored_orders": _of(ORDERS, stored),
+        "stored_payments": _of(PAYMENTS, stored),
         "stored_order_items": stored_order_items,
         "stored_quarantine": stored_quarantine,
         "streamed_customers": _of(CUSTOMERS, _streamed),
+        "streamed_products": _of(PRODUCTS, _streamed),
+        "streamed_orders": _of(ORDERS, _streamed),
         "streamed_payments": _of(PAYMENTS, _streamed),
     }
     return named

@@ -28,9 +28,6 @@ from tidemark.spec import Batch, TableSpec
 
 log = logging.getLogger("tidemark")
 
-# A batch of at most this many rows is sent whole to every executor: 25 MB of the longest keys.
-FEW_ROWS = 100_000
-
 
 @dataclass
 class Cleaned:
@@ -98,10 +95,8 @@ def _batch_rows(lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
     daily = lake.daily(spec, batch.ingestion_id)
     if "order_date" not in spec.carried_names:
         return daily
-    orders = lake.main(ORDERS)
-    if daily.count() <= FEW_ROWS:
-        # Only the orders of this batch then go through the lookup's shuffle.
-        orders = orders.join(F.broadcast(daily.select("order_id")), "order_id", "left_semi")
+    # Only the orders of this batch go through the lookup; Spark chooses the join by what it reads.
+    orders = lake.main(ORDERS).join(daily.select("order_id"), "order_id", "left_semi")
     return with_order_date(daily, orders)
 
 

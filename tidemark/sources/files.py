@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
+# Masters whose executors are this process.
+LOCAL = re.compile(r"local(\[.*\])?")
+
+
+class Status(NamedTuple):
+    """What tells one state of a file from another."""
+
+    length: int
+    modified: int
+
 
 class Files:
     """Names, markers and moves. No table data passes through here."""
@@ -23,6 +38,14 @@ class Files:
         fs, where = self._at(path)
         return fs.exists(where)
 
+    def status(self, path: str) -> Status | None:
+        """Length and time of change in milliseconds, or None for a missing file."""
+        fs, where = self._at(path)
+        if not fs.exists(where):
+            return None
+        found = fs.getFileStatus(where)
+        return Status(found.getLen(), found.getModificationTime())
+
     def names(self, directory: str) -> list[str]:
         """Sorted names in a directory; none if it does not exist."""
         fs, where = self._at(directory)
@@ -69,9 +92,17 @@ def shared_directory(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not LOCAL.fullmatch(spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return _own_directory()
+
+
+@functools.cache
+def _own_directory() -> str:
+    """A temporary folder of this process, gone when it ends."""
+    path = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:

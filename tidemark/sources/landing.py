@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,18 +15,21 @@ from tidemark.spec import MALFORMED, Batch, TableSpec
 
 
 def route(file_name: Col, specs: dict[str, TableSpec] = RETAIL) -> Col:
-    """The table a file belongs to by the start of its name, or NULL."""
-    prefix = F.regexp_extract(file_name, f"^({'|'.join(specs)})", 1)
+    """The table whose name a file's name starts with, the longest such name, or NULL."""
+    longest_first = sorted(specs, key=lambda name: (-len(name), name))
+    prefix = F.regexp_extract(file_name, f"^({'|'.join(map(re.escape, longest_first))})", 1)
     return F.nullif(prefix, F.lit(""))
 
 
 def discover(
     spark: SparkSession, landing: str, specs: dict[str, TableSpec] = RETAIL
 ) -> DataFrame:
-    """Every CSV file of the landing folder with its size and table; contents are not read."""
+    """Every CSV file of the landing folder with its size, time of change and table; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing)
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("file_name"), "path", "length").withColumn(
+    return files.select(
+        name.alias("file_name"), "path", "length", F.unix_millis("modificationTime").alias("modified")
+    ).withColumn(
         "table_name", route(F.col("file_name"), specs)
     )
 
@@ -54,9 +59,15 @@ def scan_schema(spec: TableSpec) -> T.StructType:
     return spec.landing_schema().add(MALFORMED, T.StringType())
 
 
-def with_lineage(spec: TableSpec, lines: DataFrame, batch: Batch) -> DataFrame:
-    """Add load time and source file. The file id is the run id and the file's name."""
-    return lines.select(
+def with_lineage(
+    spec: TableSpec, lines: DataFrame, batch: Batch, specs: dict[str, TableSpec] = RETAIL
+) -> DataFrame:
+    """Add load time and source file. The file id is the run id and the file's name.
+
+    Lines of files that are routed to another table, though their names start alike, are left out.
+    """
+    mine = route(F.col("_metadata.file_name"), {spec.name: spec} | specs) == spec.name
+    return lines.filter(mine).select(
         *spec.names,
         MALFORMED,
         moment(batch.loaded_at).alias("created_at_bronze"),
@@ -72,9 +83,14 @@ def scan(
     landing: str,
     batch: Batch,
     check_header: bool = True,
+    specs: dict[str, TableSpec] = RETAIL,
+    paths: list[str] | None = None,
 ) -> DataFrame:
-    """All files of one table as one scan, in bronze shape. Empty fields are NULL, blanks stay."""
-    lines = (
-        spark.read.schema(scan_schema(spec)).options(**csv_options(spec, check_header)).csv(landing)
-    )
-    return with_lineage(spec, lines, batch)
+    """All files of one table as one scan, in bronze shape. Empty fields are NULL, blanks stay.
+
+    ``paths`` names the files to read; without them it is all that the folder holds for the table.
+    """
+    reader = spark.read.schema(scan_schema(spec)).options(**csv_options(spec, check_header))
+    # Characters that file patterns give a meaning stand for themselves.
+    lines = reader.csv([re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths] if paths else landing)
+    return with_lineage(spec, lines, batch, specs)

@@ -7,7 +7,8 @@
     silver/<table>/manifest/<v>.json            which version holds each month
     quarantine/table_name=<table>/ingestion_id=<id>
     logs/<log>/...                              file log and run log
-    batches/<id>.<stage>                        what is finished
+    registry/ingestion_id=<id>                  the files of a run
+    batches/<id>.<stage>                        what is finished, and <id>.<table>.epoch
 
 Parquet has no row-level merge, and a path cannot be overwritten while it is read. So a merge writes
 the months it changes to a new version folder and then creates the next manifest; a reader always sees
@@ -31,6 +32,8 @@ from tidemark.spec import Batch, TableSpec
 
 WHOLE = "all"
 
+REGISTRY = "file_name string, path string, length bigint, modified bigint, table_name string"
+
 
 class Lake:
     """Reads and writes the layers of one root folder."""
@@ -221,11 +224,32 @@ class Lake:
         for layer in ("silver_daily", "changes"):
             self.files.drop(self._run(layer, spec, ingestion_id))
 
+    # ---- files of runs ----
+
+    def _registry(self, ingestion_id: int) -> str:
+        return f"{self.root}/registry/ingestion_id={ingestion_id}"
+
+    def has_registry(self, ingestion_id: int) -> bool:
+        return self.files.exists(f"{self._registry(ingestion_id)}/_SUCCESS")
+
+    def write_registry(self, files: DataFrame, ingestion_id: int) -> None:
+        """Write down the files of a run, those no table claims included."""
+        names = T.StructType.fromDDL(REGISTRY).names
+        files.select(*names).write.mode("overwrite").parquet(self._registry(ingestion_id))
+
+    def registry(self) -> DataFrame:
+        """Every file that a run has claimed, with its ``ingestion_id``."""
+        schema = T.StructType.fromDDL(f"{REGISTRY}, ingestion_id bigint")
+        path = f"{self.root}/registry"
+        if not self.files.exists(path):
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(path)
+
     # ---- logs and finished work ----
 
     def write_log(self, log: str, rows: DataFrame, table: str, ingestion_id: int) -> None:
         path = f"{self.root}/logs/{log}/table_name={table}/ingestion_id={ingestion_id}"
-        rows.drop("table_name", "ingestion_id").coalesce(1).write.mode("overwrite").parquet(path)
+        rows.drop("table_name", "ingestion_id").write.mode("overwrite").parquet(path)
 
     def _log(self, log: str, schema: str) -> DataFrame:
         path = f"{self.root}/logs/{log}"
@@ -248,6 +272,16 @@ class Lake:
     def is_done(self, ingestion_id: int, stage: str) -> bool:
         return self.files.exists(f"{self.root}/batches/{ingestion_id}.{stage}")
 
+    def bind_epoch(self, spec: TableSpec, ingestion_id: int, epoch: int) -> None:
+        """Tie a run of one table to a micro-batch. A run already tied to another one is refused."""
+        path = f"{self.root}/batches/{ingestion_id}.{spec.name}.epoch"
+        if not self.files.exists(path):
+            self.files.create_text(path, str(epoch))
+        elif (held := self.files.read_text(path)) != str(epoch):
+            raise ValueError(
+                f"run {ingestion_id} of {spec.name} holds micro-batch {held}; micro-batch {epoch} needs a run of its own"
+            )
+
     def mark_done(self, batch: Batch, stage: str) -> None:
         if not self.is_done(batch.ingestion_id, stage):
             self.files.create_text(

@@ -16,6 +16,8 @@ SILVER_TYPES = {
 }
 
 MALFORMED = "malformed_record"
+# Why a row is rejected whose key is longer than its column.
+KEY_TOO_LONG = "key_too_long"
 AUDIT = ("created_at_bronze", "created_at_silver")
 
 
@@ -67,7 +69,7 @@ class TableSpec:
     @property
     def reject_labels(self) -> tuple[str, ...]:
         """Labels this table's rules can give, in priority order."""
-        labels = ["missing_pk", "missing_required_fields"]
+        labels = ["missing_pk", KEY_TOO_LONG, "missing_required_fields"]
         if self.dated:
             labels.append("future_or_past_date")
         if self.non_negative:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.plans.bronze import land_rows
 from tidemark.plans.silver import refine
+from tidemark.retail import RETAIL
 from tidemark.sources.landing import csv_options, scan_schema, with_lineage
 from tidemark.sources.store import Lake
 from tidemark.spec import Batch, TableSpec
@@ -21,21 +23,24 @@ def start(
     checkpoint: str,
     archive: str | None = None,
     max_files: int | None = None,
+    specs: dict[str, TableSpec] = RETAIL,
 ) -> StreamingQuery:
     """Start a query that takes every new file of a table through bronze and silver once.
 
     The checkpoint remembers which files were seen. ``batch_of`` turns the number of a micro-batch
-    into a run; a micro-batch repeated after a failure gets the same run, replaces its own bronze
-    folder and is not merged twice. ``archive`` moves finished files away.
+    into a run, another one for each: a run that holds one micro-batch refuses a second, so no file is
+    marked as seen without being loaded. A micro-batch repeated after a failure gets the same run,
+    replaces its own bronze folder and is not merged twice. Files with rows are logged as in batch
+    runs. ``archive`` moves finished files away. ``specs`` are the tables files are routed among.
     """
 
     def process(lines: DataFrame, epoch: int) -> None:
         batch = batch_of(epoch)
+        lake.bind_epoch(spec, batch.ingestion_id, epoch)
         if lake.is_done(batch.ingestion_id, f"{spec.name}.merged"):
             return
         # Lineage is bound to the run, so it is completed here.
-        landed = with_lineage(spec, lines, batch)
-        lake.write_bronze(spec, landed, batch.ingestion_id)
+        land_rows(lake, spec, with_lineage(spec, lines, batch, specs), batch)
         refine(lake, spec, batch)
 
     reader = (
@@ -65,6 +70,10 @@ def catch_up(
     checkpoint: str,
     archive: str | None = None,
 ) -> None:
-    """Process all files waiting for the given tables, in order, and return when done."""
-    for spec in specs:
-        start(lake, spec, landing, batch_of, checkpoint, archive).awaitTermination()
+    """Process all files waiting for the given tables and return when done.
+
+    Tables that look values up in the orders come after them.
+    """
+    routed = RETAIL | {s.name: s for s in specs}
+    for spec in sorted(specs, key=lambda s: bool(s.carried)):
+        start(lake, spec, landing, batch_of, checkpoint, archive, specs=routed).awaitTermination()
