@@ -5,7 +5,7 @@ import pytest
 from conftest import bronze, day_batch, rows
 from tidemark.operators.quality import KeyViolation
 from tidemark.plans.run import refine_all, run
-from tidemark.plans.silver import audit_main, clean_batch, merge_batch, refine
+from tidemark.plans.silver import audit_main, clean_batch, merge_batch, redate, refine
 from tidemark.retail import CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
 from tidemark.sources.layers import (
     NAMESPACES,
@@ -194,3 +194,24 @@ def test_catalog_layers(spark):
     assert spark.table("silver.customers").count() == 0
     drop_layer(spark, "silver_main", one)
     assert not spark.catalog.tableExists("silver.customers")
+
+
+def test_items_follow_the_dates_of_their_orders(lake):
+    items = lambda *ids: [(o, "p", "1", "2", "2") for o in ids]
+    land(lake, ORDERS, [("o1", "c", "2020-01-05", "s"), ("o2", "c", "2020-02-05", "s")], DAY1)
+    land(lake, ORDER_ITEMS, items("o1", "o2", "o3"), DAY1)
+    chain = {s.name: s for s in (ORDERS, ORDER_ITEMS)}
+    refine_all(lake, DAY1, chain)
+    dates = lambda: {r.order_id: str(r.order_date) for r in lake.main(ORDER_ITEMS).collect()}
+    assert dates() == {"o1": "2020-01-05", "o2": "2020-02-05", "o3": "None"}
+    # One order arrives late and one moves; their items come again unchanged, or not at all.
+    land(lake, ORDERS, [("o3", "c", "2021-03-01", "s"), ("o1", "c", "2021-04-01", "s"), ("o2", "c", "2020-02-05", "t")], DAY2)
+    land(lake, ORDER_ITEMS, items("o3"), DAY2)
+    refine_all(lake, DAY2, chain)
+    assert dates() == {"o1": "2021-04-01", "o2": "2020-02-05", "o3": "2021-03-01"}
+    between = lake.main_between(ORDER_ITEMS, dt.date(2021, 1, 1), dt.date(2021, 12, 31))
+    assert rows(between, "order_id") == [("o1",), ("o3",)]
+    assert set(lake.manifest(ORDER_ITEMS)[1]) == {"2020-02", "2021-03", "2021-04"}
+    version = lake.manifest(ORDER_ITEMS)[0]
+    assert redate(lake, ORDER_ITEMS, DAY2) == 0 and lake.manifest(ORDER_ITEMS)[0] == version
+    audit_main(lake, ORDER_ITEMS)

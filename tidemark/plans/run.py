@@ -33,7 +33,12 @@ def refine_all(
     """Clean and merge every table, one by one or as concurrent Spark jobs."""
 
     def refine_chain(chain: list[TableSpec]) -> dict[str, Merged | None]:
-        return {spec.name: refine(lake, spec, batch) for spec in chain}
+        # Rows that have taken a date from the orders move with it.
+        after = [s for s in chain if s.carried]
+        return {
+            spec.name: refine(lake, spec, batch, followers=after if spec is ORDERS else ())
+            for spec in chain
+        }
 
     results = together(
         [lambda c=chain: refine_chain(c) for chain in _chains(specs)],

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import moment
 from tidemark.operators import merge
 from tidemark.operators.dedup import duplicate_count
-from tidemark.operators.lookup import with_order_date
+from tidemark.operators.lookup import order_dates, with_order_date
 from tidemark.operators.metrics import RUN_LOG, bronze_summary
 from tidemark.operators.quality import (
     assert_history,
@@ -189,6 +191,40 @@ def _merge_into(
     )
 
 
+def redate(lake: Lake, spec: TableSpec, batch: Batch) -> int:
+    """Give main rows the date of their order, where the run has inserted or moved that order.
+
+    Only rows whose date is another one are written, and only months that they leave or enter are
+    rewritten, so repeating it does nothing. Returns how many rows moved.
+    """
+    held = lake.manifest(spec)
+    if "order_date" not in spec.carried_names or not held[0]:
+        return 0
+    orders = lake.main(ORDERS)
+    # Whatever a run writes to the orders carries its time.
+    touched = orders.filter(F.col("created_at_silver") == moment(batch.cleaned_at)).select("order_id")
+    dates = order_dates(orders.join(touched, "order_id", "left_semi")).withColumnRenamed("order_date", "_date")
+    main = lake.main(spec)
+    moved = main.join(dates, "order_id").filter(~F.col("order_date").eqNullSafe(F.col("_date")))
+    old, names = lake.month(spec), [n for n in main.columns if n != "order_date"]
+    moved = lake.write_changes(
+        spec,
+        "redated",
+        moved.withColumn("_left", old).select(
+            *names, F.col("_date").alias("order_date"), "_left", F.lit("update").alias("action")
+        ),
+        batch.ingestion_id,
+    )
+    # At most one row for each pair of months.
+    groups = moved.groupBy("_left", lake.month(spec).alias("_entered")).count().collect()
+    months = {g[side] for g in groups for side in ("_left", "_entered")}
+    if months:
+        lake.rewrite_months(spec, months, lambda rows: merge.apply_changes(spec, rows, moved), held)
+    count = sum(g["count"] for g in groups)
+    log.info("%s: %d rows follow their orders", spec.name, count)
+    return count
+
+
 def audit_main(lake: Lake, spec: TableSpec) -> None:
     """Check the key rules of a whole main table."""
     if spec.history:
@@ -232,8 +268,17 @@ def run_log_row(
     return lake.spark.createDataFrame([bronze | silver], RUN_LOG)
 
 
-def refine(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True) -> Merged | None:
-    """Clean and merge one table's batch and log it. A merged batch is not merged again."""
+def refine(
+    lake: Lake,
+    spec: TableSpec,
+    batch: Batch,
+    verify: bool = True,
+    followers: Sequence[TableSpec] = (),
+) -> Merged | None:
+    """Clean and merge one table's batch and log it. A merged batch is not merged again.
+
+    ``followers`` are tables whose rows take their date from this one.
+    """
     stage = f"{spec.name}.merged"
     if lake.is_done(batch.ingestion_id, stage):
         log.info("%s: run %d is already merged", spec.name, batch.ingestion_id)
@@ -242,6 +287,8 @@ def refine(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True) -> Me
     if cleaned is None:
         return None
     merged = merge_batch(lake, spec, batch, verify)
+    for follower in followers:
+        redate(lake, follower, batch)
     lake.write_log(
         "runs", run_log_row(lake, spec, batch, cleaned, merged), spec.name, batch.ingestion_id
     )

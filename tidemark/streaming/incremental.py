@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.bronze import land_rows
 from tidemark.plans.silver import refine
-from tidemark.retail import RETAIL
+from tidemark.retail import ORDERS, RETAIL
 from tidemark.sources.landing import csv_options, scan_schema, with_lineage
 from tidemark.sources.store import Lake
 from tidemark.spec import Batch, TableSpec
@@ -41,7 +41,8 @@ def start(
             return
         # Lineage is bound to the run, so it is completed here.
         land_rows(lake, spec, with_lineage(spec, lines, batch, specs), batch)
-        refine(lake, spec, batch)
+        after = [s for s in specs.values() if s.carried] if spec is ORDERS else ()
+        refine(lake, spec, batch, followers=after)
 
     reader = (
         lake.spark.readStream.schema(scan_schema(spec))
