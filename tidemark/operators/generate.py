@@ -14,16 +14,21 @@ from pyspark.sql import functions as F
 from tidemark.functions.picks import one_of, pick
 from tidemark.operators.lookup import payments_due
 
-# The food catalog (name, category, price) and the value ranges of the retail feed.
-CATALOG = (
-    ("Apple", "Fruit", "0.50"),
-    ("Banana", "Fruit", "0.30"),
-    ("Bread", "Bakery", "4.50"),
-    ("Cheese", "Dairy", "5.99"),
-    ("Milk", "Dairy", "3.25"),
-    ("Chicken", "Meat", "8.50"),
-    ("Rice", "Pantry", "1.50"),
+Catalog = tuple[tuple[str, str, str], ...]
+
+# Name, category and price of each product; any list of such triples can be given instead.
+CATALOG: Catalog = (
+    ("Desk lamp", "Lighting", "24.90"),
+    ("Floor lamp", "Lighting", "79.00"),
+    ("Bookshelf", "Furniture", "120.00"),
+    ("Stool", "Furniture", "35.50"),
+    ("Wool rug", "Textiles", "64.25"),
+    ("Cushion", "Textiles", "12.75"),
+    ("Wall clock", "Decor", "18.40"),
+    ("Vase", "Decor", "9.99"),
+    ("Tool box", "Hardware", "42.00"),
 )
+# The value ranges of the retail feed.
 STATUSES = ("Completed", "completed", "Pending", "Cancelled")
 METHODS = ("card", "Card", "cash", "CASH")
 SIGNUP_DAYS = (16000, 19000)
@@ -41,12 +46,12 @@ def rows(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).withColumnRenamed("id", "i")
 
 
-def _catalog(product: Col, field: int) -> Col:
-    return one_of(product, "product", tuple(entry[field] for entry in CATALOG))
+def _catalog(product: Col, field: int, catalog: Catalog) -> Col:
+    return one_of(product, "product", tuple(entry[field] for entry in catalog))
 
 
-def _price(product: Col) -> Col:
-    return _catalog(product, 2).cast("decimal(10,2)")
+def _price(product: Col, catalog: Catalog) -> Col:
+    return _catalog(product, 2, catalog).cast("decimal(10,2)")
 
 
 def _day(row: Col, purpose: str, bounds: tuple[int, int]) -> Col:
@@ -55,13 +60,13 @@ def _day(row: Col, purpose: str, bounds: tuple[int, int]) -> Col:
     return F.date_add(F.lit("1970-01-01").cast("date"), offset.cast("int"))
 
 
-def products(ids: DataFrame) -> DataFrame:
+def products(ids: DataFrame, catalog: Catalog = CATALOG) -> DataFrame:
     i = F.col("i")
     return ids.select(
         F.concat(F.lit("P"), i).alias("product_id"),
-        _catalog(i, 0).alias("name"),
-        _catalog(i, 1).alias("category"),
-        _price(i).alias("price"),
+        _catalog(i, 0, catalog).alias("name"),
+        _catalog(i, 1, catalog).alias("category"),
+        _price(i, catalog).alias("price"),
     )
 
 
@@ -85,7 +90,7 @@ def orders(ids: DataFrame, n_customers: int) -> DataFrame:
     )
 
 
-def order_items(ids: DataFrame, n_products: int) -> DataFrame:
+def order_items(ids: DataFrame, n_products: int, catalog: Catalog = CATALOG) -> DataFrame:
     """One to three rows per order. The price follows from the product number, so nothing is joined."""
     i = F.col("i")
     lines = F.sequence(F.lit(1), pick(i, "lines", ITEMS_PER_ORDER).cast("int") + 1)
@@ -98,7 +103,7 @@ def order_items(ids: DataFrame, n_products: int) -> DataFrame:
             F.concat(F.lit("O"), i).alias("order_id"),
             F.concat(F.lit("P"), product).alias("product_id"),
             (pick(item, "quantity", MAX_QUANTITY) + 1).alias("quantity"),
-            F.when(~unpriced, _price(product)).alias("unit_price"),
+            F.when(~unpriced, _price(product, catalog)).alias("unit_price"),
         )
         .withColumn("total", (F.col("quantity") * F.col("unit_price")).cast("decimal(10,2)"))
     )
@@ -118,13 +123,15 @@ def payments(items: DataFrame, order_rows: DataFrame) -> DataFrame:
     )
 
 
-def feed(spark: SparkSession, n_customers: int, n_products: int, n_orders: int) -> dict[str, DataFrame]:
+def feed(
+    spark: SparkSession, n_customers: int, n_products: int, n_orders: int, catalog: Catalog = CATALOG
+) -> dict[str, DataFrame]:
     """All five landing tables."""
     order_ids = rows(spark, n_orders)
-    items = order_items(order_ids, n_products)
+    items = order_items(order_ids, n_products, catalog)
     placed = orders(order_ids, n_customers)
     return {
-        "products": products(rows(spark, n_products)),
+        "products": products(rows(spark, n_products), catalog),
         "customers": customers(rows(spark, n_customers)),
         "orders": placed,
         "order_items": items,

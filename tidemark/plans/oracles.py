@@ -5,6 +5,8 @@ Nothing here is used by the Spark code. Fragments are written per table and put
 
 from __future__ import annotations
 
+from tidemark.operators.generate import CATALOG
+
 TABLES = ("customers", "products", "orders", "order_items", "payments")
 TYPE_ONE = TABLES[1:]
 
@@ -587,12 +589,10 @@ def _day(row: str, purpose: str, first: int, end: int) -> str:
     return f"DATE '1970-01-01' + CAST({days} AS INTEGER)"
 
 
-FOODS = ["Apple", "Banana", "Bread", "Cheese", "Milk", "Chicken", "Rice"]
-KINDS = ["Fruit", "Fruit", "Bakery", "Dairy", "Dairy", "Meat", "Pantry"]
-PRICES = ["0.50", "0.30", "4.50", "5.99", "3.25", "8.50", "1.50"]
+NAMES, KINDS, PRICES = map(list, zip(*CATALOG))
 
 GENERATED_PRODUCTS = f"""
-    SELECT 'P' || p_partkey AS product_id, {_one_of("p_partkey", "product", FOODS)} AS name,
+    SELECT 'P' || p_partkey AS product_id, {_one_of("p_partkey", "product", NAMES)} AS name,
            {_one_of("p_partkey", "product", KINDS)} AS category,
            {_one_of("p_partkey", "product", PRICES)} AS price
     FROM part
