@@ -723,6 +723,11 @@ def build() -> dict[str, str]:
             ]
             + ["SELECT 'notes_raw_0.csv', 'landing', CAST(NULL AS BIGINT)"]
         ),
+        "retained_rows": _union(
+            f"""SELECT CAST(0 AS BIGINT) AS bronze_rows, '{t}' AS table_name, count(*) AS main_rows
+            FROM ({_merged(t) if t in TYPE_ONE else _history("keep", "close", "open")})"""
+            for t in TABLES
+        ),
         "customers_long_keys": _long_keys(),
     }
     for t in ("products", "orders", "payments"):

@@ -27,7 +27,7 @@ from tidemark.operators.quality import (
     reject_summary,
 )
 from tidemark.plans.bronze import ingest
-from tidemark.plans.run import run
+from tidemark.plans.run import Retention, run
 from tidemark.retail import CUSTOMERS, ORDER_ITEMS, ORDERS, PAYMENTS, PRODUCTS, RETAIL
 from tidemark.sources.derived_feed import FIRST, SECOND, frame
 from tidemark.sources.export import export_csv, preview, write_landing
@@ -326,7 +326,9 @@ def _write_landing(
         write_landing(spec, _landing(spark, sf_dir, spec, batch), folder, f"raw_{batch.ingestion_id}")
 
 
-def _run_both(spark: SparkSession, sf_dir: str, *specs: TableSpec) -> Lake:
+def _run_both(
+    spark: SparkSession, sf_dir: str, *specs: TableSpec, retention: Retention = Retention()
+) -> Lake:
     """Two runs from landing files to main tables in a fresh store."""
     root = scratch(spark, "runs")
     lake = Lake(spark, f"{root}/lake")
@@ -334,7 +336,7 @@ def _run_both(spark: SparkSession, sf_dir: str, *specs: TableSpec) -> Lake:
     for batch in (FIRST, SECOND):
         landing = f"{root}/landing_{batch.ingestion_id}"
         _write_landing(spark, sf_dir, chosen, batch, landing)
-        run(lake, landing, batch, chosen, parallel=True)
+        run(lake, landing, batch, chosen, parallel=True, retention=retention)
     return lake
 
 
@@ -370,6 +372,20 @@ def stored(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
     return _plain(_run_both(spark, sf_dir, spec).main(spec).drop(*AUDIT))
 
 
+def retained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed and main rows per table after two runs that keep only the newest main version."""
+    only_main = Retention(staging=False, bronze=False, versions=1)
+    lake = _run_both(spark, sf_dir, *RETAIL.values(), retention=only_main)
+    return metrics.union_all(
+        [
+            lake.bronze(s).agg(F.count(F.lit(1)).alias("bronze_rows")).join(
+                lake.main(s).agg(F.lit(s.name).alias("table_name"), F.count(F.lit(1)).alias("main_rows"))
+            )
+            for s in RETAIL.values()
+        ]
+    )
+
+
 def archived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that a run has moved to the archive and their rows, and those that it has left alone."""
     root = scratch(spark, "runs")
@@ -469,6 +485,7 @@ def build() -> dict[str, Query]:
         "landed_rows": landed_rows,
         "run_log": run_log,
         "archived_files": archived_files,
+        "retained_rows": retained_rows,
         "customers_long_keys": long_keys,
         "stored_customers": stored_customers,
         "stored_products": _of(PRODUCTS, stored),

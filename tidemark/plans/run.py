@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from tidemark.plans.bronze import ingest
 from tidemark.plans.jobs import together
@@ -12,6 +13,27 @@ from tidemark.sources.store import Lake
 from tidemark.spec import Batch, TableSpec
 
 
+@dataclass(frozen=True)
+class Retention:
+    """What stays when a run is merged: its intermediate tables, its landed rows, old main versions."""
+
+    staging: bool = True
+    bronze: bool = True
+    versions: int | None = None
+
+
+def consume(lake: Lake, batch: Batch, spec: TableSpec, retention: Retention) -> None:
+    """Drop what is not kept of a merged batch. A batch that is not merged yet is left alone."""
+    if not lake.is_done(batch.ingestion_id, f"{spec.name}.merged"):
+        return
+    if not retention.staging:
+        lake.drop_staging(spec, batch.ingestion_id)
+    if not retention.bronze:
+        lake.retire_bronze(spec, batch.ingestion_id)
+    if retention.versions is not None:
+        lake.expire(spec, retention.versions)
+
+
 def new_batch(lake: Lake, when: dt.datetime) -> Batch:
     """Claim the next run number. Two callers cannot get the same one."""
     batch = Batch.at(lake.next_ingestion_id(), when)
@@ -54,7 +76,14 @@ def run(
     specs: dict[str, TableSpec] = RETAIL,
     archive: str | None = None,
     parallel: bool = False,
+    retention: Retention = Retention(),
 ) -> dict[str, Merged | None]:
-    """Land the files of one folder and bring every silver table up to date."""
+    """Land the files of one folder and bring every silver table up to date.
+
+    ``retention`` says what stays afterwards; by default everything does.
+    """
     ingest(lake, landing, batch, specs, archive)
-    return refine_all(lake, batch, specs, parallel)
+    merged = refine_all(lake, batch, specs, parallel)
+    for spec in specs.values():
+        consume(lake, batch, spec, retention)
+    return merged
