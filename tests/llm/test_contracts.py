@@ -140,6 +140,15 @@ def test_urls_score_is_that_of_a_plain_model(spark):
         assert got[s] == pytest.approx(sum(parts) / len(parts))
 
 
+def test_urls_model_keeps_rare_grams_of_large_tables(spark):
+    """More distinct n-grams than 60,000, all seen more often than those of the rejected string."""
+    good = spark.range(25_000).selectExpr("concat('\\n', substring(md5(cast(id AS string)), 1, 12), '\\n') AS s", "false AS rejected", "9L AS n")
+    bad = spark.createDataFrame([("\nzqxw.zq/\n", True, 2)], "s string, rejected boolean, n long")
+    found = urls.model(good.union(bad)).where("value IS NOT NULL")
+    assert found.count() > 60_000
+    assert {"zqxw.", "qxw.z", ".zq/\n"} <= {r["gram"] for r in found.where("gram LIKE '%z%' OR gram LIKE '%q%'").collect()}
+
+
 def test_licences(spark):
     found = result(spark, "op7_licence_scan")
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -18,8 +18,8 @@ REJECTED = (
 ).split()
 #: Characters of the longest context; weight of the shorter one; characters that any string may hold.
 CONTEXT, PRIOR, ALPHABET = 4, 2.0, 256
-#: n-grams of the model, which every task gets: seen this often at least, and no more than so many, the most frequent.
-SEEN, GRAMS = 2, 60_000
+#: n-grams of the model are seen this often at least.
+SEEN = 2
 #: Part of the strings that is not learnt from but sets the threshold, and the width of its score bins.
 FOLDS, BIN = 5, 0.01
 START = "\n"
@@ -61,7 +61,7 @@ def model(strings: DataFrame, context: int = CONTEXT) -> DataFrame:
     ``value`` is that of the gram's last character after the others; ``failed`` that of falling back from the whole gram
     as a context to the one without its first character. A character after a context has its count and the prior times
     its probability after the shorter context, over the context's count and the prior. Counts are of all strings;
-    grams of small counts, and of the rest all but the most frequent ones, are left to their shorter contexts.
+    grams of small counts are left to their shorter contexts, whatever the size of the table.
     """
     n = F.col("n")
     longest = context + 1
@@ -92,46 +92,37 @@ def model(strings: DataFrame, context: int = CONTEXT) -> DataFrame:
         below = materialise(below, "url-level")
         levels.append(below)
     full = reduce(DataFrame.union, levels).where((F.col("r") + F.col("a") >= SEEN) | (F.length("gram") == 1))
-    full = materialise(_largest(full, F.col("r") + F.col("a"), GRAMS), "url-model")
     fall = F.log((F.coalesce("ca", F.lit(0)) + PRIOR) / (F.coalesce("cr", F.lit(0)) + PRIOR))
     return full.join(after.withColumnRenamed("ctx", "gram"), "gram", "left").select(
         "gram", F.log(F.col("pr") / F.col("pa")).alias("value"), fall.alias("failed")
     )
 
 
-def _largest(rows: DataFrame, count: Column, most: int) -> DataFrame:
-    """Rows with the highest counts, at most ``most``, by a histogram of sixteen bins for each doubling."""
-    step = F.floor(F.log2(count) * 16).cast("int")
-    total, least = 0, 1 << 30
-    for r in sorted(rows.groupBy(step.alias("bin")).count().collect(), key=lambda r: -r["bin"]):
-        total += r["count"]
-        if total > most:
-            break
-        least = r["bin"]
-    return rows.where(step >= least)
-
-
 def scored(strings: DataFrame, grams: DataFrame, context: int = CONTEXT) -> DataFrame:
     """(s, score) of distinct strings: the log-likelihood difference for each character.
 
-    For each character the longest gram of the model that ends at it counts, and what falling back to it costs.
+    For each character the longest gram of the model that ends at it counts, and what falling back to it costs. That is
+    worked out once for each distinct gram of the strings, the short ones first, by joins on keys that only as many grams
+    share as there are characters; Spark broadcasts what its size check allows.
     """
-    rows = _grams(strings, ["s"], context + 1)
-    total = F.lit(0.0)
-    found = F.lit(False)
-    of = lambda k: F.expr(f"CASE WHEN length(gram) >= {k} THEN substring(gram, -{k}, {k}) END")
-    before = lambda k: F.expr(f"CASE WHEN length(gram) > {k} THEN substring(gram, length(gram) - {k}, {k}) END")
-    for k in range(context + 1, 0, -1):
-        # GRAMS rows at most.
-        small = F.broadcast(grams.select(F.col("gram").alias(f"g{k}"), F.col("value").alias(f"v{k}"), F.col("failed").alias(f"x{k}")))
-        rows = rows.join(small, of(k) == F.col(f"g{k}"), "left").drop(f"g{k}", f"x{k}")
-        total = total + F.when(~found, F.coalesce(f"v{k}", F.lit(0.0))).otherwise(0.0)
-        found = found | F.col(f"v{k}").isNotNull()
-        if k > 1:
-            small = F.broadcast(grams.select(F.col("gram").alias(f"c{k}"), F.col("value").alias(f"w{k}"), F.col("failed").alias(f"f{k}")))
-            rows = rows.join(small, before(k - 1) == F.col(f"c{k}"), "left").drop(f"c{k}", f"w{k}")
-            total = total + F.when(~found, F.coalesce(f"f{k}", F.lit(0.0))).otherwise(0.0)
-    return rows.select("s", total.alias("t")).groupBy("s").agg((F.sum("t") / F.count("*")).alias("score"))
+    longest = context + 1
+    rows = _grams(strings, ["s"], longest)
+    ends = F.explode(F.transform(F.sequence(F.lit(1), F.length("gram")), lambda k: F.substring(F.col("gram"), -k, k)))
+    own = materialise(rows.select("gram").distinct().select(ends.alias("gram")).distinct(), "url-ends")
+    falls = grams.select(F.col("gram").alias("ctx"), "failed")
+    levels, below = [], None
+    for k in range(1, longest + 1):
+        here = own.where(F.length("gram") == k).join(grams.select("gram", "value"), "gram", "left")
+        if below is None:
+            t = F.coalesce("value", F.lit(0.0))
+        else:
+            here = here.withColumn("ctx", F.expr("substring(gram, 1, length(gram) - 1)")).join(falls, "ctx", "left")
+            here = here.withColumn("end", F.expr("substring(gram, 2)")).join(below.select(F.col("gram").alias("end"), F.col("t").alias("low")), "end")
+            t = F.coalesce("value", F.coalesce("failed", F.lit(0.0)) + F.col("low"))
+        below = materialise(here.select("gram", t.alias("t")), "url-steps")
+        levels.append(below)
+    each = rows.join(reduce(DataFrame.union, levels), "gram")
+    return each.groupBy("s").agg((F.sum("t") / F.count("*")).alias("score"))
 
 
 def threshold(judged: DataFrame) -> float | None:
