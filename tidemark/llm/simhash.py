@@ -246,6 +246,11 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", t
     """
     rows = materialise(fingerprints(docs, doc_id, text), "simhash-rows")
     first = _first_of_prints(rows, radius).select("first").distinct()
+    return kept_rows(docs, first, doc_id, text)
+
+
+def kept_rows(docs: DataFrame, first: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``first`` names by (id, text_hash), one for each name."""
     stays = first.select(F.col("first.id").alias("stay"), F.col("first.text_hash").alias("text_hash"))
     stays = stays.select(F.coalesce(F.col("stay").cast("string"), F.lit("")).alias("_id"), F.col("text_hash").alias("_text"))
     key = row_key(doc_id, text)
