@@ -212,6 +212,19 @@ def test_lm_automaton_is_the_backoff_model(spark):
         assert found[i]["score"] == pytest.approx(want, rel=1e-6)
 
 
+def test_lm_joins_score_as_the_whole_automaton(spark, monkeypatch):
+    """Bounds far below what the table holds change nothing."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60).cache()
+    want = {r["id"]: r for r in lm.scored(docs).collect()}
+    monkeypatch.setattr(lm, "ARCS", 50)
+    monkeypatch.setattr(lm, "HEAD", 100)
+    found = {r["id"]: r for r in lm.scored(docs).collect()}
+    assert set(found) == set(want) and any(abs(r["score"] - r["base_score"]) > 1 for r in want.values())
+    for i, r in want.items():
+        assert tuple(found[i])[:5] == tuple(r)[:5]
+        assert found[i]["base_score"] == pytest.approx(r["base_score"], rel=1e-9) and found[i]["score"] == pytest.approx(r["score"], rel=1e-9)
+
+
 def test_lm_probabilities_add_up_to_one():
     words = [b"a", b"b", b"c", lm.END]
     vocabulary = lm.Vocabulary(words, [6, 4, 3, 2], 15, 4)

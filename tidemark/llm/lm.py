@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,8 @@ FOLDS, HELD_OUT = 5, 1
 END = b"\n"
 #: Tokens that every task has in memory; the counts of all others are joined.
 HEAD = 1 << 18
-#: The most frequent of them have n-grams, of orders two and three, of which so many become arcs.
+#: The automaton has n-grams of so many words, of orders two and three, and so many of each as arcs. Tables with more are
+#: scored by joins, and so many of the most frequent n-grams are then only a cache of the joined table.
 MODEL_WORDS, ARCS, ORDER = 1 << 14, 200_000, 3
 #: n-grams seen less often have no arc, and what an arc gives up for those that have none.
 LEAST, DISCOUNT = 2, 0.5
@@ -29,6 +31,8 @@ LEAST, DISCOUNT = 2, 0.5
 COUNTED, GRAMS = 300_000, 1 << 21
 ROWS = 500
 ROOT = 0
+#: Bits of the filter of known n-grams of one order: it lets all of them pass, and fewer others the more bits it has.
+BLOOM = 1 << 24
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -241,12 +245,160 @@ def _collected(rows: DataFrame) -> dict[int, int]:
     return {r["gram"]: r["c"] for r in rows.toLocalIterator()}
 
 
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of two."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ b >> np.uint64(31)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ x >> np.uint64(32)
+
+
+def _keys(text: bytes | None) -> list[np.ndarray]:
+    """Hashes of a text's n-grams of orders one, two and three, at the places where they begin."""
+    words = tokens(text)
+    one = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), dtype=np.uint64, count=len(words))
+    two = _mixed(one[:-1], one[1:])
+    return [one, two, _mixed(two[:-1] + np.uint64(1), one[2:])]
+
+
+def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(BLOOM - 1)
+    return bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1) > 0
+
+
+def _filter(known: DataFrame) -> np.ndarray:
+    """Bits of the keys of a table, or-ed in Spark: BLOOM / 64 words at most, whatever the table holds."""
+    at = F.col("key").bitwiseAND(F.lit(BLOOM - 1))
+    bit = F.expr("shiftleft(1L, cast(at & 63 AS int))")
+    found = known.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("i")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(BLOOM // 64, dtype=np.uint64)
+    out[found["i"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def gram_counts(texts: DataFrame, order: int, bits: np.ndarray | None = None) -> DataFrame:
+    """(key, ctx, low, c) of all n-grams of one order: hashes of it, without its last word, and without its first.
+
+    With ``bits`` only n-grams both of whose parts pass are counted: no other can be as frequent as LEAST.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, count = [], 0
+
+        def out() -> pd.DataFrame:
+            full = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.uint64)
+            key, at, n = np.unique(full[0], return_index=True, return_counts=True)
+            return pd.DataFrame({"key": key.view(np.int64), "ctx": full[1][at].view(np.int64), "low": full[2][at].view(np.int64), "n": n})
+
+        for batch in batches:
+            for text in batch["text"]:
+                keys = _keys(text)
+                here, parts = keys[order - 1], keys[order - 2]
+                full = np.stack([here, here, here] if order == 1 else [here, parts[:-1], parts[1:]])
+                if shared.value is not None:
+                    full = full[:, _passes(shared.value, full[1]) & _passes(shared.value, full[2])]
+                held.append(full)
+                count += full.shape[1]
+                if count >= GRAMS:
+                    yield out()
+                    held, count = [], 0
+        yield out()
+
+    parts = texts.select("text").mapInPandas(counted, "key long, ctx long, low long, n long")
+    return parts.groupBy("key").agg(F.min("ctx").alias("ctx"), F.min("low").alias("low"), F.sum("n").alias("c"))
+
+
+def _joined_scores(rows: DataFrame, order: int, total: int, distinct: int) -> DataFrame:
+    """The scores of the whole model, without a bound on its words and n-grams: what n-grams add is joined to their places.
+
+    With rest and P as in the automaton, a text's score is a sum over its n-grams: log P(w) + log rest(w) for each word,
+    log P(w | v) - log rest(v) - log P(w) + log rest(v w) for each known pair, log P(w | u v) - log rest(u v) - log P(w | v)
+    for each known triple. Unknown ones add nothing. n-grams are told apart by 64-bit hashes.
+    """
+    spark = rows.sparkSession
+    training = rows.where(~F.col("held_out"))
+    whole = float(total + 0.5 * (distinct + 1))
+    unknown = math.log10(0.5 / whole)
+    one = materialise(gram_counts(training, 1).select("key", "c", ((F.col("c") + 0.5) / whole).alias("p")), "lm-known-1")
+    levels, filters = [one], [None]
+    rests = []
+    for n in range(2, order + 1):
+        known = materialise(gram_counts(training, n, filters[-1]).where(F.col("c") >= LEAST), f"lm-known-{n}")
+        sums = known.groupBy("ctx").agg(F.sum(F.col("c") - DISCOUNT).alias("gone"))
+        upper = levels[-1].select(F.col("key").alias("ctx"), F.col("c").alias("all"))
+        left = F.greatest(1 - F.col("gone") / F.col("all"), F.lit(1e-12))
+        rest = materialise(sums.join(upper, "ctx").select("ctx", "all", left.alias("rest")), f"lm-rest-{n}")
+        lower = levels[-1].select(F.col("key").alias("low"), F.col("p").alias("pl"))
+        p = (F.col("c") - DISCOUNT) / F.col("all") + F.col("rest") * F.col("pl")
+        levels.append(materialise(known.join(rest, "ctx").join(lower, "low").select("key", "c", p.alias("p"), "rest", "pl"), f"lm-level-{n}"))
+        filters.append(_filter(known))
+        rests.append(rest.select(F.col("ctx").alias("key"), F.col("rest").alias("own")))
+    values = []
+    for n, level in enumerate(levels):
+        log = F.log10("p") - (F.lit(unknown) if n == 0 else F.log10("rest") + F.log10("pl"))
+        if n < len(rests):
+            level, log = level.join(rests[n], "key", "left"), log + F.log10(F.coalesce("own", F.lit(1.0)))
+        base = F.log10("p") - unknown if n == 0 else F.lit(0.0)
+        values.append(materialise(level.select("key", "c", log.alias("value"), base.alias("base"), F.lit(int(n == 0)).alias("known")), f"lm-values-{n + 1}"))
+
+    cache = []
+    for n, value in enumerate(values):
+        hot = most_frequent(value, "key", "c", ARCS if n else HEAD).select("key")
+        found = value.join(hot, "key").select("key", "value", "base").toArrow()
+        key = found["key"].to_numpy().view(np.uint64)
+        at = np.argsort(key)
+        cache.append((key[at], found["value"].to_numpy()[at], found["base"].to_numpy()[at]))
+    shared = spark.sparkContext.broadcast((cache, filters))
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache, filters = shared.value
+        for full in batches:
+            for start in range(0, len(full), ROWS):
+                batch = full.iloc[start : start + ROWS].copy()
+                figures = []
+                for text in batch.pop("text"):
+                    grams_, score, base, known, rest, times = _keys(text)[: len(cache)], 0.0, 0.0, 0, [], []
+                    for n, (keys, (hot, value, own)) in enumerate(zip(grams_, cache)):
+                        keys, count = np.unique(keys, return_counts=True)
+                        at = np.minimum(np.searchsorted(hot, keys), max(0, len(hot) - 1))
+                        hit = hot[at] == keys if len(hot) else np.zeros(len(keys), dtype=bool)
+                        score += float((value[at[hit]] * count[hit]).sum())
+                        base += float((own[at[hit]] * count[hit]).sum())
+                        known += int(count[hit].sum()) if n == 0 else 0
+                        keys, count = keys[~hit], count[~hit]
+                        if filters[n] is not None:
+                            passing = _passes(filters[n], keys)
+                            keys, count = keys[passing], count[passing]
+                        rest.append(keys)
+                        times.append(count)
+                    size = len(grams_[0])
+                    figures.append((size, known, base + size * unknown, score + size * unknown, np.concatenate(rest).view(np.int64), np.concatenate(times)))
+                names = ("n_tokens", "n_known", "base_score", "score", "keys", "times")
+                yield batch.assign(**{name: [f[i] for f in figures] for i, name in enumerate(names)})
+
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, keys array<long>, times array<long>"
+    out = materialise(rows.mapInPandas(told, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    rare = out.select("row", F.explode(F.arrays_zip("keys", "times")).alias("t")).select("row", F.col("t.keys").alias("key"), F.col("t.times").alias("n"))
+    table_ = materialise(values[0].union(values[1]) if len(values) == 2 else values[0].union(values[1]).union(values[2]), "lm-values")
+    n = F.col("n")
+    added = rare.join(table_, "key").groupBy("row").agg(
+        F.sum(n * F.col("value")).alias("v"), F.sum(n * F.col("base")).alias("b"), F.sum(n * F.col("known")).alias("k")
+    )
+    plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
+    return out.drop("keys", "times").join(added, "row", "left").select(
+        "id", "held_out", "n_tokens", plus("n_known", "k").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        plus("base_score", "b").alias("base_score"), plus("score", "v").alias("score"),
+    )
+
+
 def scored(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Counts are of all tokens of all training rows, and grow with them. The head of the vocabulary and the automaton are
-    broadcast, and bounded by HEAD and ARCS; a token outside the head is scored through a join with the full table of
-    counts, as one that the automaton knows no n-gram of: its failure arcs, then its smoothed count.
+    Counts are of all tokens of all training rows, and so are the n-grams seen LEAST times, whatever the table's size.
+    If their words and they themselves are within MODEL_WORDS and ARCS, they are an automaton that is broadcast, and a
+    token outside the head is scored through a join with the full table of counts. Otherwise the same model is a table
+    that is joined.
 
     Null and empty texts are an end only. Rows with a null id are training rows; rows that repeat are counted and
     scored each. With no training row every token has the probability of an unknown one. Other columns aren't read.
@@ -256,6 +408,8 @@ def scored(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: st
     training = rows.where(~F.col("held_out"))
     counts = materialise(token_counts(training), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    if order > 1 and counts.where(F.col("c") >= LEAST).count() > MODEL_WORDS:
+        return _joined_scores(rows, order, total, distinct)
     head = sorted(((-r["c"], bytes(r["word"])) for r in most_frequent(counts, "word", "c", HEAD).collect()))
     vocabulary = Vocabulary([w for _, w in head], [-c for c, _ in head], total, distinct)
 
@@ -263,7 +417,9 @@ def scored(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: st
     for n in range(2, order + 1):
         lower = np.array(sorted(found[-1]), dtype=np.int64) if found else None
         counted = materialise(grams(training, vocabulary, n, lower), f"lm-grams-{n}")
-        found.append(_collected(most_frequent(counted, "gram", "c", ARCS)))
+        if counted.count() > ARCS:
+            return _joined_scores(rows, order, total, distinct)
+        found.append(_collected(counted))
     automaton = Automaton(vocabulary, *[*found, {}, {}][:2])
 
     told = materialise(scores(rows, vocabulary, automaton).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
