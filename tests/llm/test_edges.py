@@ -1,6 +1,7 @@
 """Nulls in any column, empty and very long texts, repeated rows, empty tables, clashing column names."""
 
 import random
+import re
 
 import pytest
 
@@ -218,6 +219,15 @@ def test_drawn_text_is_what_was_taken(spark):
     assert words == {i: n for i, n in taken.items() if n}
 
 
+def test_drawn_joins_equal_rows_one_to_one(spark):
+    rows = [(None, "one two three four five six", "a")] * 40 + [(1, "seven eight nine ten", "b")]
+    out = mixing.drawn(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner, .*_n#\d+ = _n#\d+", plan)
+    taken = sum(r["taken"] for r in mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+    assert sum(len(r["text"].split()) for r in out.collect()) == taken
+
+
 def test_one_more_shard_moves_keys_to_it_only_where_loads_allow():
     before, after = sharding.ring(16), sharding.ring(17)
     assert [n for n in after if n[1] < 16] == before

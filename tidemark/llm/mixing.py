@@ -169,12 +169,12 @@ def drawn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **setting
         "size",
         F.filter(pieces, lambda p: p["i"] < p["j"]).alias("pieces"),
     )
-    plan = plan.withColumn("_m", F.row_number().over(same.orderBy("pieces"))).where(F.size("pieces") > 0)
+    plan = plan.withColumn("_n", F.row_number().over(same.orderBy("pieces"))).where(F.size("pieces") > 0)
     key = row_key(doc_id, text)
     inner = docs.select(F.struct("*").alias("row"), key[0].alias("_id"), key[1].alias("_text"))
     inner = inner.withColumn("_n", F.row_number().over(same.orderBy(F.lit(0))))
-    # Written as a difference, so the window's exchange serves the join too.
-    joined = inner.join(plan, ["_id", "_text"]).where("_n - _m = 0")
+    # The number is a join key, so rows that agree are joined one to one and never with each other.
+    joined = inner.join(plan, ["_id", "_text", "_n"])
     each = joined.select("row", "size", F.explode("pieces").alias("p"))
     words = F.regexp_extract_all(F.col(f"row.{text}"), F.lit(rf"[{SPACE}]*{WORD}"), F.lit(0))
     cut = F.array_join(F.slice(words, (F.col("p.i") + 1).cast("int"), (F.col("p.j") - F.col("p.i")).cast("int")), "")
