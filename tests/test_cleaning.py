@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import bronze, rows
+from support import bronze, rows
 from tidemark.operators.dedup import duplicate_count, key_conflict_count, latest_per_key
 from tidemark.operators.project import project
 from tidemark.operators.quality import (

@@ -1,4 +1,4 @@
-from conftest import rows
+from support import rows
 from tidemark.operators import generate
 from tidemark.operators.lookup import order_totals, payments_due
 from tidemark.operators.quality import checked, reject_counts

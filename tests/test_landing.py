@@ -3,7 +3,7 @@ import dataclasses
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import bronze, day_batch, rows
+from support import bronze, day_batch, rows
 from tidemark.operators import merge
 from tidemark.operators.metrics import DAILY, HISTORY, longest_load, rows_by_run, rows_loaded
 from tidemark.operators.quality import checked, clean, malformed_rows, reconciliation

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
-from conftest import bronze, day_batch, rows
+from support import bronze, day_batch, rows
 from tidemark.operators import merge
 from tidemark.operators.quality import checked, clean
 from tidemark.retail import CUSTOMERS, ORDERS, PRODUCTS

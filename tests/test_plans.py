@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL, day_batch, rows
+from support import SMALL, day_batch, rows
 from tidemark.operators import lookup, merge
 from tidemark.operators.dedup import duplicate_count, latest_per_key
 from tidemark.operators.quality import checked, clean

@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, mismatch
-from conftest import SMALL
+from support import SMALL
 from tidemark.plans import oracles
 from tidemark.plans import queries as registered
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import bronze, day_batch, rows
+from support import bronze, day_batch, rows
 from tidemark.operators.quality import KeyViolation
 from tidemark.plans.run import refine_all, run
 from tidemark.plans.silver import audit_main, clean_batch, merge_batch, redate, refine
