@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import covertree, licences, lines, lm, mixing, pieces, quality, sharding, simhash, urls
+from tidemark.llm import covertree, divergence, licences, lines, lm, mixing, periodic, pieces, quality, sharding, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,8 @@ def build() -> dict[str, Query]:
         "op8_lm_scoring": lm.op8_lm_scoring,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_source_mixing": mixing.op10_source_mixing,
+        "op11_source_divergence": divergence.op11_source_divergence,
+        "op12_periodic_runs": periodic.op12_periodic_runs,
     }
 
 
@@ -33,4 +35,5 @@ def oracles() -> dict[str, str]:
         "op4_line_dedup": lines.OP4_SQL,
         "op9_quality_rules": quality.OP9_SQL,
         "op10_source_mixing": mixing.OP10_SQL,
+        "op11_source_divergence": divergence.OP11_SQL,
     }
