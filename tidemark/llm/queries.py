@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import covertree, divergence, licences, lines, lm, mixing, periodic, pieces, quality, sharding, simhash, urls
+from tidemark.llm import covertree, divergence, licences, lines, lm, mixing, periodic, pieces, pii, quality, sharding, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,7 @@ def build() -> dict[str, Query]:
         "op10_source_mixing": mixing.op10_source_mixing,
         "op11_source_divergence": divergence.op11_source_divergence,
         "op12_periodic_runs": periodic.op12_periodic_runs,
+        "op13_pii": pii.op13_pii,
     }
 
 
