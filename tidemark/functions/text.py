@@ -77,6 +77,10 @@ def settled(col: Col) -> Col:
     return F.when(F.trim(col) == "", "").otherwise(col)
 
 
+# The month of rows without a date.
+UNKNOWN = "unknown"
+
+
 def month_of(col: Col) -> Col:
     """Partition label ``YYYY-MM``; rows without a date share ``unknown``."""
-    return F.coalesce(F.substring(col.cast("string"), 1, 7), F.lit("unknown"))
+    return F.coalesce(F.substring(col.cast("string"), 1, 7), F.lit(UNKNOWN))

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import moment
+from tidemark.functions.text import UNKNOWN, moment
 from tidemark.operators import merge
 from tidemark.operators.dedup import duplicate_count
-from tidemark.operators.lookup import order_dates, with_order_date
+from tidemark.operators.lookup import lookup, order_dates, with_order_date
 from tidemark.operators.metrics import RUN_LOG, bronze_summary
 from tidemark.operators.quality import (
     assert_history,
@@ -25,7 +25,7 @@ from tidemark.operators.quality import (
 )
 from tidemark.plans.jobs import together
 from tidemark.retail import ORDERS
-from tidemark.sources.store import Lake
+from tidemark.sources.store import CURRENT, Lake, Manifest, Part
 from tidemark.spec import Batch, TableSpec
 
 log = logging.getLogger("tidemark")
@@ -98,66 +98,63 @@ def _batch_rows(lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
     if "order_date" not in spec.carried_names:
         return daily
     # Only the orders of this batch go through the lookup; Spark chooses the join by what it reads.
-    orders = lake.main(ORDERS).join(daily.select("order_id"), "order_id", "left_semi")
+    wanted = daily.select("order_id").distinct()
+    orders = lake.main(ORDERS).select("order_id", "order_date").join(wanted, "order_id", "left_semi")
     return with_order_date(daily, orders)
 
 
-def _rows_per_month(lake: Lake, spec: TableSpec, changed: DataFrame, found: DataFrame) -> list:
-    """Changed rows by month and action, with the months that changed rows come from.
+def _rows_per_part(
+    lake: Lake, spec: TableSpec, changed: DataFrame, found: DataFrame, held: Manifest
+) -> list:
+    """Changed rows by part and action, with the parts that changed rows come from.
 
     The month can itself be a changed value, so rows leave old months as well as enter new ones. At
-    most one group per action and month of the accepted date range.
+    most one group per action and part of the accepted date range.
     """
-    month = lake.month(spec).alias("month")
-    entering = changed.select(month, "action")
-    leaving = found.filter("changed").select(month, F.lit("leave").alias("action"))
-    return entering.unionByName(leaving).groupBy("month", "action").count().collect()
+    place = (lake.month(spec).alias("month"), lake.slot(spec, held.slots).alias("slot"))
+    entering = changed.select(*place, "action")
+    leaving = found.filter("changed").select(*place, F.lit("leave").alias("action"))
+    return entering.unionByName(leaving).groupBy("month", "slot", "action").count().collect()
 
 
 def merge_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True) -> Merged:
-    """Merge a clean batch into the main table, rewriting only months that change.
+    """Merge a clean batch into the main table, rewriting only parts that change.
 
     Batches of one table merge one after the other; of two that try at once, one fails to commit.
     """
     held = lake.manifest(spec)
-    merged = _merge_into(lake, spec, batch, held, verify) if held[0] else _first_load(
+    merged = _merge_into(lake, spec, batch, held, verify) if held.number else _first_load(
         lake, spec, batch, held
     )
     log.info("%s: updated %d, inserted %d", spec.name, merged.updated, merged.inserted)
     return merged
 
 
-def _main_rows(lake: Lake, spec: TableSpec) -> int:
-    main = lake.main(spec)
-    return (merge.current(main) if spec.history else main).count()
-
-
-def _first_load(
-    lake: Lake, spec: TableSpec, batch: Batch, held: tuple[int, dict[str, str]]
-) -> Merged:
+def _first_load(lake: Lake, spec: TableSpec, batch: Batch, held: Manifest) -> Merged:
     """Write the first batch straight to the main table."""
     started = time.monotonic()
     rows = merge.first_rows(spec, _batch_rows(lake, spec, batch), batch)
-    lake.rewrite_months(spec, set(), lambda none: rows, held)
+    new = lake.rewrite(
+        spec, lambda part: False, lambda none: lake.dealt(spec, rows, held), held, batch.ingestion_id
+    )
     seconds = time.monotonic() - started
-    inserted = _main_rows(lake, spec)
-    return Merged(0, inserted, inserted, 0.0, seconds, set(lake.manifest(spec)[1]))
+    return Merged(0, new.rows, new.rows, 0.0, seconds, {p.month for p in new.parts})
 
 
 def _merge_into(
-    lake: Lake, spec: TableSpec, batch: Batch, held: tuple[int, dict[str, str]], verify: bool
+    lake: Lake, spec: TableSpec, batch: Batch, held: Manifest, verify: bool
 ) -> Merged:
-    """Find what changed, write it down, and rewrite the months it touches.
+    """Find what changed, write it down, and rewrite the parts it touches.
 
     The matches and the changes are written tables, so neither the later steps nor a lost executor
-    repeat the join with the main table.
+    repeat the join with the main table. That join reads rows in force only and moves none of them.
     """
     started = time.monotonic()
     daily = _batch_rows(lake, spec, batch)
     if spec.carried:
         daily = lake.write_changes(spec, "batch", daily, batch.ingestion_id)
     found = lake.write_changes(
-        spec, "matches", merge.matches(spec, lake.main(spec), daily), batch.ingestion_id
+        spec, "matches", merge.matches(spec, lake.current(spec, held), daily), batch.ingestion_id
     )
     match_seconds = time.monotonic() - started
 
@@ -171,55 +168,104 @@ def _merge_into(
         if verify:
             assert_unique(changed, spec.identity, f"{spec.name} changes")
 
-    groups, _ = together([lambda: _rows_per_month(lake, spec, changed, found), check_keys])
-    months = {g["month"] for g in groups}
+    groups, _ = together([lambda: _rows_per_part(lake, spec, changed, found, held), check_keys])
     counts: dict[str, int] = {}
     for g in groups:
         counts[g["action"]] = counts.get(g["action"], 0) + g["count"]
-    if months:
-        lake.rewrite_months(
-            spec, months, lambda old: merge.apply_changes(spec, old, changed), held
+    places = {(g["month"], g["slot"]) for g in groups if g["action"] != "close"}
+    new = held
+    if groups:
+        new = lake.rewrite(
+            spec, _in(places), lambda old: _replaced(lake, spec, old, changed, held), held, batch.ingestion_id
         )
     seconds = time.monotonic() - started
     return Merged(
         sum(counts.get(a, 0) for a in merge.OVERWRITES),
         sum(counts.get(a, 0) for a in merge.ADDS),
-        _main_rows(lake, spec),
+        new.rows,
         match_seconds,
         seconds,
-        months,
+        {g["month"] for g in groups},
     )
 
 
+def _in(places: set[tuple[str, int]]) -> Callable[[Part], bool]:
+    """Parts in force that hold a place."""
+    return lambda part: part.state == CURRENT and part.place in places
+
+
+def _replaced(
+    lake: Lake, spec: TableSpec, old: DataFrame, changed: DataFrame, held: Manifest
+) -> DataFrame:
+    """New contents of parts in force, and the rows that end, which only need dealing out."""
+    # Parts without any row so far are no bucketed side for the join to follow.
+    merged = merge.replaced(spec, old, lake.dealt(spec, changed, held))
+    if not spec.history:
+        return merged
+    names = spec.main_schema().names
+    return merged.unionByName(lake.dealt(spec, merge.ended(changed).select(*names), held))
+
+
+def _months_of_orders(lake: Lake, orders: DataFrame, touched: DataFrame) -> set[str]:
+    found = orders.select("order_id", "order_date").join(touched, "order_id", "left_semi")
+    return {r[0] for r in found.select(lake.month(ORDERS)).distinct().collect()}
+
+
 def redate(lake: Lake, spec: TableSpec, batch: Batch) -> int:
     """Give main rows the date of their order, where the run has inserted or moved that order.
 
-    Only rows whose date is another one are written, and only months that they leave or enter are
-    rewritten, so repeating it does nothing. Returns how many rows moved.
+    An item stands in the month of its order as that was before the run, or in none, so only those
+    months are opened. Dates are looked up, so an order with a large share of the items is spread over
+    the tasks. Only rows whose date is another one are written, and only parts that they leave or enter
+    are rewritten, so repeating it does nothing. Returns how many rows moved.
     """
     held = lake.manifest(spec)
-    if "order_date" not in spec.carried_names or not held[0]:
+    if "order_date" not in spec.carried_names or not held.number:
         return 0
-    orders = lake.main(ORDERS)
+    orders = lake.manifest(ORDERS)
+    now = lake.rows(ORDERS, orders)
     # Whatever a run writes to the orders carries its time.
-    touched = orders.filter(F.col("created_at_silver") == moment(batch.cleaned_at)).select("order_id")
-    dates = order_dates(orders.join(touched, "order_id", "left_semi")).withColumnRenamed("order_date", "_date")
-    main = lake.main(spec)
-    moved = main.join(dates, "order_id").filter(~F.col("order_date").eqNullSafe(F.col("_date")))
-    old, names = lake.month(spec), [n for n in main.columns if n != "order_date"]
-    moved = lake.write_changes(
+    touched = lake.write_changes(
+        spec,
+        "touched",
+        now.filter(F.col("created_at_silver") == moment(batch.cleaned_at)).select("order_id").distinct(),
+        batch.ingestion_id,
+    )
+    dates = lake.write_changes(
         spec,
-        "redated",
-        moved.withColumn("_left", old).select(
-            *names, F.col("_date").alias("order_date"), "_left", F.lit("update").alias("action")
+        "dates",
+        order_dates(now.select("order_id", "order_date").join(touched, "order_id", "left_semi")).select(
+            "order_id", F.col("order_date").alias("_date")
         ),
         batch.ingestion_id,
     )
-    # At most one row for each pair of months.
-    groups = moved.groupBy("_left", lake.month(spec).alias("_entered")).count().collect()
-    months = {g[side] for g in groups for side in ("_left", "_entered")}
-    if months:
-        lake.rewrite_months(spec, months, lambda rows: merge.apply_changes(spec, rows, moved), held)
+    earlier = lake.manifest(ORDERS, before=batch.ingestion_id)
+    months = {p.month for p in held.parts}
+    if earlier.number or orders.number == 1:
+        # Of an id that several orders share the items have the latest date, one of those found here.
+        known = _months_of_orders(lake, lake.rows(ORDERS, earlier), touched) if earlier.number else set()
+        months &= known | {UNKNOWN}
+    # Otherwise the version before the run is gone, and every month may hold such items.
+    if not months:
+        return 0
+    names = spec.main_schema().names
+    rows = lake.rows(spec, held, lambda part: part.month in months)
+    dated = lookup(rows, dates.withColumn("_touched", F.lit(True)), "order_id", ["_date", "_touched"])
+    moved = dated.filter(F.col("_touched") & ~F.col("order_date").eqNullSafe(F.col("_date")))
+    moved = moved.withColumn("_left", lake.month(spec)).select(
+        *[F.col("_date").alias(n) if n == "order_date" else F.col(n) for n in names],
+        "_left",
+        F.lit("update").alias("action"),
+    )
+    moved = lake.write_changes(spec, "redated", moved, batch.ingestion_id)
+    # At most one row for each slot and pair of months.
+    slot = lake.slot(spec, held.slots).alias("_slot")
+    groups = moved.groupBy("_left", lake.month(spec).alias("_entered"), slot).count().collect()
+    places = {(g[side], g["_slot"]) for g in groups for side in ("_left", "_entered")}
+    if places:
+        lake.rewrite(
+            spec, _in(places), lambda old: _replaced(lake, spec, old, moved, held), held, batch.ingestion_id
+        )
     count = sum(g["count"] for g in groups)
     log.info("%s: %d rows follow their orders", spec.name, count)
     return count

@@ -10,6 +10,7 @@ CUSTOMERS = TableSpec(
     dated=("signup_date",),
     history=True,
     month_of="valid_from",
+    slots=4,
 )
 
 PRODUCTS = TableSpec(
@@ -23,6 +24,7 @@ PRODUCTS = TableSpec(
     key=("product_id",),
     non_negative=("price",),
     negative_label="negative_price",
+    slots=4,
 )
 
 ORDERS = TableSpec(

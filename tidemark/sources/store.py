@@ -3,23 +3,33 @@
     bronze/<table>/ingestion_id=<id>            all landed rows, one folder per run
     silver_daily/<table>/ingestion_id=<id>/is_rejected=<0|1>
     changes/<table>/ingestion_id=<id>           matches and changes of a merge
-    silver/<table>/data/version=<v>/month=<m>   main table, copy on write by month
-    silver/<table>/manifest/<v>.json            which version holds each month
+    silver/<table>/data/version=<v>/state=<s>/month=<m>/slot=<k>
+                                                main table, copy on write by part, in buckets of the key
+    silver/<table>/manifest/<n>.json            the parts in force and their rows
     quarantine/table_name=<table>/ingestion_id=<id>
     logs/<log>/...                              file log and run log
     registry/ingestion_id=<id>                  the files of a run
     batches/<id>.<stage>                        what is finished, and <id>.<table>.epoch
 
 Parquet has no row-level merge, and a path cannot be overwritten while it is read. So a merge writes
-the months it changes to a new version folder and then creates the next manifest; a reader always sees
-one whole version, and a run that dies leaves the last version in force.
+the parts it changes to a version folder of its own and then creates the next manifest; a reader always
+sees one whole version, and a run that dies, or that another one overtakes, leaves the last version in
+force. Rows that ended stand in parts of their own, which are only ever added to.
+
+A version is read through a catalog table over its parts, which tells Spark that they are bucketed and
+sorted by key. So a merge joins its batch bucket by bucket and moves no row of the main table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
+import uuid
+from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
+from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,17 +41,79 @@ from tidemark.sources.layers import empty
 from tidemark.spec import Batch, TableSpec
 
 WHOLE = "all"
+# Rows in force, and rows of a history that have ended.
+CURRENT, CLOSED = "current", "closed"
+# Where versions are known by name, and how many parts are named to the catalog at once.
+DATABASE, NAMED = "tidemark_versions", 500
+PLACE = "version string, state string, month string, slot int"
 
 REGISTRY = "file_name string, path string, length bigint, modified bigint, table_name string"
 
 
+class Part(NamedTuple):
+    """One folder of a main table: the rows of one state, month and slot that one version has written."""
+
+    version: str
+    state: str
+    month: str
+    slot: int
+    rows: int
+
+    @property
+    def place(self) -> tuple[str, int]:
+        return self.month, self.slot
+
+    @property
+    def label(self) -> str:
+        return f"{self.version}/{self.state}/{self.month}/{self.slot}"
+
+
+class Manifest(tuple):
+    """The number of a version, and the number of the version that wrote each month of its rows in force.
+
+    ``parts`` are all its parts. ``buckets`` and ``slots`` never change in a table's life. ``name`` is the
+    version's own, which no other attempt at the same number has; ``maker`` is the run that wrote it.
+    """
+
+    def __new__(cls, number: int, parts: Iterable[Part], buckets: int, slots: int, name: str = "", maker: int = 0):
+        parts = tuple(parts)
+        months: dict[str, int] = {}
+        for p in parts:
+            if p.state == CURRENT:
+                months[p.month] = max(months.get(p.month, 0), int(p.version.split("-")[0]))
+        self = super().__new__(cls, (number, {m: str(v) for m, v in months.items()}))
+        self.number, self.parts, self.buckets, self.slots, self.name, self.maker = number, parts, buckets, slots, name, maker
+        return self
+
+    @property
+    def rows(self) -> int:
+        """Rows in force, known from the parts without reading them."""
+        return sum(p.rows for p in self.parts if p.state == CURRENT)
+
+    def text(self) -> str:
+        kept = {k: getattr(self, k) for k in ("buckets", "slots", "name", "maker")}
+        return json.dumps(kept | {"parts": self.parts})
+
+    @classmethod
+    def of(cls, number: int, text: str) -> Manifest:
+        held = json.loads(text)
+        return cls(number, [Part(*p) for p in held.pop("parts")], **held)
+
+
 class Lake:
-    """Reads and writes the layers of one root folder."""
+    """Reads and writes the layers of one root folder.
+
+    ``buckets`` is how many parts by key each folder of a new main table gets; a table keeps the number
+    it began with. A task of a merge holds one bucket's changed rows, so large tables want many.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
         self.files = Files(spark)
+        self.buckets = buckets
+        self._known: set[str] = set()
+        self._lock = threading.Lock()
 
     # ---- folders of one run ----
 
@@ -125,98 +197,170 @@ class Lake:
     def _main(self, spec: TableSpec) -> str:
         return f"{self.root}/silver/{spec.name}"
 
-    def manifest(self, spec: TableSpec) -> tuple[int, dict[str, str]]:
-        """The version in force and the version folder of each month; 0 before the first."""
-        names = self.files.names(f"{self._main(spec)}/manifest")
-        if not names:
-            return 0, {}
-        newest = names[-1]
-        text = self.files.read_text(f"{self._main(spec)}/manifest/{newest}")
-        return int(newest.split(".")[0]), json.loads(text)
-
-    def _main_schema(self, spec: TableSpec) -> T.StructType:
-        return spec.main_schema().add("month", T.StringType())
-
-    def _read_months(self, spec: TableSpec, held: dict[str, str]) -> DataFrame:
-        schema = self._main_schema(spec)
-        if not held:
-            return empty(self.spark, schema)
-        data = f"{self._main(spec)}/data"
-        paths = [f"{data}/version={v}/month={m}" for m, v in sorted(held.items())]
-        read = self.spark.read.schema(schema.add("version", T.StringType()))
-        return read.option("basePath", data).parquet(*paths).drop("version")
-
-    def main_with_month(self, spec: TableSpec) -> DataFrame:
-        return self._read_months(spec, self.manifest(spec)[1])
+    def _manifests(self, spec: TableSpec) -> str:
+        return f"{self._main(spec)}/manifest"
+
+    def manifest(self, spec: TableSpec, before: int | None = None) -> Manifest:
+        """The version in force, number 0 before the first; or the newest that the run ``before`` has not made."""
+        for name in reversed(self.files.names(self._manifests(spec))):
+            try:
+                held = Manifest.of(int(name.split(".")[0]), self.files.read_text(f"{self._manifests(spec)}/{name}"))
+            except json.JSONDecodeError:
+                continue  # being written just now
+            if before is None or held.maker != before:
+                return held
+        # Every bucket lies in one slot.
+        return Manifest(0, (), -(-self.buckets // spec.slots) * spec.slots, spec.slots)
+
+    def _named(self, spec: TableSpec, held: Manifest) -> str:
+        """The catalog table over the parts of a version. Whoever reads it first makes it."""
+        name = f"{DATABASE}.{spec.name}_{held.number}_{held.name}"
+        with self._lock:
+            if name in self._known:
+                return name
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.main_schema())
+            keys = ", ".join(f"`{k}`" for k in spec.key)
+            run = self.spark.sql
+            run(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
+            run(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {PLACE}) USING parquet "
+                f"PARTITIONED BY (version, state, month, slot) CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                f"INTO {held.buckets} BUCKETS LOCATION '{self._main(spec)}/data'"
+            )
+            # Another process may have made the table and not its parts yet; adding them again changes nothing.
+            for at in range(0, len(held.parts), NAMED):
+                parts = " ".join(
+                    f"PARTITION (version='{p.version}', state='{p.state}', month='{p.month}', slot={p.slot})"
+                    for p in held.parts[at : at + NAMED]
+                )
+                run(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+            self._known.add(name)
+        return name
+
+    def rows(self, spec: TableSpec, held: Manifest, wanted: Callable[[Part], bool] | None = None) -> DataFrame:
+        """The rows of a version, or of its wanted parts; no other part is listed or opened."""
+        parts = [p for p in held.parts if wanted is None or wanted(p)]
+        names = spec.main_schema().names
+        if not parts:
+            return empty(self.spark, spec.main_schema())
+        whole = self.spark.table(self._named(spec, held))
+        current = [p for p in held.parts if p.state == CURRENT]
+        if parts == current and len(parts) < len(held.parts):
+            whole = whole.filter(F.col("state") == CURRENT)
+        elif len(parts) < len(held.parts):
+            label = F.concat_ws("/", "version", "state", "month", F.col("slot").cast("string"))
+            whole = whole.filter(label.isin([p.label for p in parts]))
+        return whole.select(*names)
 
     def main(self, spec: TableSpec) -> DataFrame:
         """The main table as of its last finished merge."""
-        return self.main_with_month(spec).drop("month")
+        return self.rows(spec, self.manifest(spec))
+
+    def current(self, spec: TableSpec, held: Manifest | None = None) -> DataFrame:
+        """The rows in force, without those of a history that have ended."""
+        return self.rows(spec, held or self.manifest(spec), lambda p: p.state == CURRENT)
 
     def main_between(self, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
         """Main rows dated from ``first`` to ``last``; only the months in between are opened."""
         low, high = f"{first:%Y-%m}", f"{last:%Y-%m}"
-        held = {m: v for m, v in self.manifest(spec)[1].items() if low <= m <= high}
-        day = F.col(spec.month_of).cast("date")
-        return self._read_months(spec, held).drop("month").filter(day.between(first, last))
+        found = self.rows(spec, self.manifest(spec), lambda p: low <= p.month <= high)
+        return found.filter(F.col(spec.month_of).cast("date").between(first, last))
 
-    def month(self, spec: TableSpec):
-        """The partition label of a main row."""
+    def month(self, spec: TableSpec) -> Col:
+        """The month of a main row."""
         return month_of(F.col(spec.month_of)) if spec.month_of else F.lit(WHOLE)
 
-    def rewrite_months(
-        self, spec: TableSpec, months: set[str], rows_of, held: tuple[int, dict[str, str]]
-    ) -> int:
-        """Write a new version of some months and put it in force.
-
-        ``rows_of`` turns the present rows of those months into their new rows. All other months stay
-        where they are. The rebalance hint lets adaptive execution split a month that holds a large
-        share of the rows over several tasks, and join small months into one.
+    def slot(self, spec: TableSpec, slots: int) -> Col:
+        """The slot of a main row. It follows the hash that Spark's buckets follow."""
+        return F.pmod(F.hash(*spec.key), F.lit(slots))
+
+    def state(self, spec: TableSpec) -> Col:
+        return F.when(F.col("is_valid"), CURRENT).otherwise(CLOSED) if spec.history else F.lit(CURRENT)
+
+    def dealt(self, spec: TableSpec, rows: DataFrame, held: Manifest) -> DataFrame:
+        """Rows dealt to tasks by bucket, for those that no join has dealt so."""
+        return rows.repartition(held.buckets, *spec.key)
+
+    def rewrite(
+        self,
+        spec: TableSpec,
+        touched: Callable[[Part], bool],
+        rows_of: Callable[[DataFrame], DataFrame],
+        held: Manifest,
+        maker: int = 0,
+    ) -> Manifest:
+        """Write new contents of some parts and put them in force, if no other merge got there first.
+
+        ``rows_of`` turns the present rows of those parts into their new rows. All other parts stay where
+        they are. Two attempts at one version write folders of different names, so the one that comes too
+        late harms nothing but its own.
         """
-        version, folders = held
-        present = {m: v for m, v in folders.items() if m in months}
-        new = version + 1
-        path = f"{self._main(spec)}/data/version={new}"
-        rows = rows_of(self._read_months(spec, present).drop("month"))
-        rows = rows.withColumn("month", self.month(spec)).hint("rebalance", "month")
-        rows.write.mode("overwrite").partitionBy("month").parquet(path)
-        written = {
-            name.removeprefix("month=")
-            for name in self.files.names(path)
-            if name.startswith("month=")
-        }
-        kept = {m: v for m, v in folders.items() if m not in months}
-        self.files.create_text(
-            f"{self._main(spec)}/manifest/{new:09d}.json",
-            json.dumps(kept | dict.fromkeys(sorted(written), str(new))),
+        attempt = uuid.uuid4().hex[:12]
+        version, number = f"{held.number + 1}-{attempt}", held.number + 1
+        path = f"{self._main(spec)}/data/version={version}"
+        rows = rows_of(self.rows(spec, held, touched)).select(
+            *spec.main_schema().names,
+            self.state(spec).alias("state"),
+            self.month(spec).alias("month"),
+            self.slot(spec, held.slots).alias("slot"),
         )
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
+        # Buckets can be written by a table name only; the name goes again, the files stay.
+        name = f"{DATABASE}.writing_{attempt}"
+        rows.write.format("parquet").partitionBy("state", "month", "slot").bucketBy(held.buckets, *spec.key).sortBy(
+            *spec.key
+        ).option("path", path).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")
+        schema = T.StructType.fromDDL("state string, month string, slot int")
+        found = self.spark.read.schema(T.StructType([*spec.main_schema(), *schema])).parquet(path)
+        # Counts come from the files' footers.
+        counts = found.groupBy(*schema.names).count().collect()
+        written = [Part(version, r["state"], r["month"], r["slot"], r["count"]) for r in counts]
+        kept = [p for p in held.parts if not touched(p)]
+        new = Manifest(number, sorted(kept + written), held.buckets, held.slots, attempt, maker)
+        self.files.create_text(f"{self._manifests(spec)}/{number:09d}.json", new.text())
         return new
 
+    def rewrite_months(
+        self, spec: TableSpec, months: set[str], rows_of: Callable[[DataFrame], DataFrame], held: Manifest, maker: int = 0
+    ) -> Manifest:
+        """Write new contents of whole months."""
+        return self.rewrite(spec, lambda p: p.state == CURRENT and p.month in months, rows_of, held, maker)
+
     def expire(self, spec: TableSpec, keep: int = 2) -> int:
-        """Drop month folders that none of the last ``keep`` versions use; returns how many.
+        """Drop parts that none of the last ``keep`` versions use; returns how many.
 
-        Readers of older versions must be finished. Only folder names are handled here.
+        Readers of older versions must be finished. Only folder names are handled here. What an overtaken
+        attempt has left behind goes too.
         """
-        manifests = f"{self._main(spec)}/manifest"
-        names = self.files.names(manifests)
-        live = {
-            (version, month)
-            for name in names[-keep:]
-            for month, version in json.loads(self.files.read_text(f"{manifests}/{name}")).items()
-        }
+        names = self.files.names(self._manifests(spec))
+        held = [Manifest.of(int(n.split(".")[0]), self.files.read_text(f"{self._manifests(spec)}/{n}")) for n in names]
+        live = {p.label for version in held[-keep:] for p in version.parts}
+        used = {label.split("/")[0] for label in live}
         data, dropped = f"{self._main(spec)}/data", 0
-        newest = int(names[-1].split(".")[0]) if names else 0
+        newest = held[-1].number if held else 0
         for folder in self.files.names(data):
             version = folder.removeprefix("version=")
-            if int(version) > newest:
+            if int(version.split("-")[0]) > newest:
                 continue  # a merge that has not committed yet
-            for month in self.files.names(f"{data}/{folder}"):
-                label = month.removeprefix("month=")
-                if month.startswith("month=") and (version, label) not in live:
-                    self.files.drop(f"{data}/{folder}/{month}")
+            leaves = [
+                (f"{folder}/{state}/{month}/{slot}", "/".join(x.split("=", 1)[1] for x in (folder, state, month, slot)))
+                for state in self.files.names(f"{data}/{folder}") if "=" in state
+                for month in self.files.names(f"{data}/{folder}/{state}")
+                for slot in self.files.names(f"{data}/{folder}/{state}/{month}")
+            ]
+            for path, label in leaves:
+                if label not in live:
+                    self.files.drop(f"{data}/{path}")
                     dropped += 1
-        for name in names[:-keep]:
-            self.files.drop(f"{manifests}/{name}")
+            if version not in used:
+                self.files.drop(f"{data}/{folder}")
+        for name, old in zip(names[:-keep], held[:-keep]):
+            table = f"{DATABASE}.{spec.name}_{old.number}_{old.name}"
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self._known.discard(table)
+            self.files.drop(f"{self._manifests(spec)}/{name}")
         return dropped
 
     def drop_staging(self, spec: TableSpec, ingestion_id: int) -> None:

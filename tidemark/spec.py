@@ -41,7 +41,7 @@ class TableSpec:
     ``columns`` are in landing (positional) order. Every column outside ``key`` is required, and is
     compared when a batch is merged. ``month_of`` names the date column whose month partitions the
     main table; ``carried`` columns are looked up after cleaning and kept with the row without being
-    compared.
+    compared. ``slots`` parts each month by key, for tables whose rows share few months.
     """
 
     name: str
@@ -53,6 +53,7 @@ class TableSpec:
     history: bool = False
     month_of: str | None = None
     carried: tuple[Column, ...] = ()
+    slots: int = 1
 
     @property
     def names(self) -> tuple[str, ...]:
