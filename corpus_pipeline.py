@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, pieces, quality, shingles
+from tidemark.llm import lines, mixing, pieces, quality, simhash
 from tidemark.llm.common import materialise, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,8 +27,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: Jaccard similarity 0.8 of five-word shingles, confirmed exactly."""
-    return shingles.one_of_each(docs.select(*COLUMNS))
+    """One document of each group whose fingerprints of four-word shingles are linked by four differing bits at most."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
