@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +26,9 @@ def land_rows(
     A run's rows serve as both its daily batch and its part of history. ``files`` (column
     file_name) are all files that were read, so those that hold only a header are logged with no rows.
     """
-    started = time.monotonic()
+    started = batch.clock()
     lake.write_bronze(spec, rows, batch.ingestion_id)
-    seconds = time.monotonic() - started
+    seconds = batch.clock() - started
     counts = file_counts(lake.bronze_daily(spec, batch.ingestion_id))
     if files is not None:
         known = files.select(
@@ -51,13 +50,17 @@ def claim_files(
     A file that an earlier run has claimed, unchanged since, is not claimed again.
     """
     if not lake.has_registry(batch.ingestion_id):
-        seen = lake.registry().filter(F.col("ingestion_id") < batch.ingestion_id)
-        state = ["path", "length", "modified"]
-        fresh = discover(lake.spark, landing, specs).join(seen.select(*state), state, "left_anti")
-        lake.write_registry(fresh, batch.ingestion_id)
+        claim(lake, discover(lake.spark, landing, specs), batch)
     return lake.registry().filter(F.col("ingestion_id") == batch.ingestion_id)
 
 
+def claim(lake: Lake, found: DataFrame, batch: Batch) -> None:
+    """Write down found files as those of a run, but for those that an earlier run has claimed."""
+    seen = lake.registry().filter(F.col("ingestion_id") < batch.ingestion_id)
+    state = ["path", "length", "modified"]
+    lake.write_registry(found.join(seen.select(*state), state, "left_anti"), batch.ingestion_id)
+
+
 def ingest(
     lake: Lake,
     landing: str,

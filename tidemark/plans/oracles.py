@@ -48,7 +48,9 @@ NEGATIVE = {
     "order_items": ("negative_values", ["quantity", "unit_price", "total"]),
     "payments": ("negative_total", ["total"]),
 }
-AS_OF = {1: "2024-01-01", 2: "2024-01-02"}
+# The hard rows, those with every tenth order missing, and those with the tenth and moved orders only, are batches too.
+HARD, EARLY, LATER = 3, 4, 5
+AS_OF = {1: "2024-01-01", 2: "2024-01-02", HARD: "2024-01-01", EARLY: "2024-01-01", LATER: "2024-01-02"}
 
 
 def _roles(batch: int, extras: bool = False) -> str:
@@ -182,7 +184,7 @@ def _payments(batch: int) -> str:
     """
 
 
-LANDING = {
+PLAIN = {
     "customers": _customers,
     "products": _products,
     "orders": _orders,
@@ -191,6 +193,50 @@ LANDING = {
 }
 
 
+def _number(table: str) -> str:
+    return f"coalesce(try_cast(regexp_extract({KEYS[table][0]}, '([0-9]+)', 1) AS BIGINT), 0)"
+
+
+def _hard(table: str) -> str:
+    def rows(every: int, key: str | None = None) -> str:
+        columns = _list(f"{key} AS {c}" if key and c in KEYS[table] else c for c in COLUMNS[table])
+        return f"SELECT {columns} FROM ({PLAIN[table](1)}) WHERE {_number(table)} % {every} = 0"
+
+    hot = f"CASE {_number(table)} % 2 WHEN 0 THEN ' HOT ' ELSE 'hot' END"
+    parts = [rows(1), rows(5), rows(3, hot), rows(17, "CAST(NULL AS VARCHAR)"), rows(19, "'  '")]
+    return f"""
+        SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS created_at_bronze,
+               '1/{table}_hard.csv' AS source_file_id FROM ({" UNION ALL ".join(parts)})
+    """
+
+
+def _shifted(batch: int) -> str:
+    """The orders of the first landing without those that come late, or these and those that move."""
+    n = _number("orders")
+    rows = PLAIN["orders"](1)
+    if batch == EARLY:
+        return f"SELECT * FROM ({rows}) WHERE {n} % 10 <> 0"
+    moved = "coalesce(CAST(try_cast(order_date AS DATE) + 40 AS VARCHAR), order_date)"
+    return f"""
+        SELECT * REPLACE (TIMESTAMP '2024-01-02 00:00:00' AS created_at_bronze) FROM (
+            SELECT * FROM ({rows}) WHERE {n} % 10 = 0
+            UNION ALL
+            SELECT * REPLACE ({moved} AS order_date) FROM ({rows}) WHERE {n} % 10 <> 0 AND {n} % 7 = 0)
+    """
+
+
+def _landing(table: str):
+    def rows(batch: int) -> str:
+        if batch == HARD:
+            return _hard(table)
+        return _shifted(batch) if batch in (EARLY, LATER) else PLAIN[table](batch)
+
+    return rows
+
+
+LANDING = {t: _landing(t) for t in TABLES}
+
+
 def _list(names, pattern: str = "{}", between: str = ", ") -> str:
     return between.join(pattern.format(n) for n in names)
 
@@ -357,11 +403,27 @@ def _conflicts(table: str) -> str:
     """
 
 
-def _violations(table: str) -> str:
+def _violations(table: str, batch: int = 1) -> str:
     keys = _list(KEYS[table])
     return f"""
         SELECT {keys}, count(*) AS row_count
-        FROM ({_typed(table, 1, LANDING[table](1))}) GROUP BY {keys} HAVING count(*) > 1
+        FROM ({_typed(table, batch, LANDING[table](batch))}) GROUP BY {keys} HAVING count(*) > 1
+    """
+
+
+def _reasons(table: str, batch: int) -> str:
+    return f"""
+        SELECT '{table}' AS table_name, coalesce(reject_reason, 'clean') AS reject_reason,
+               count(*) AS row_count FROM ({_tagged(table, batch)}) GROUP BY 2
+    """
+
+
+def _hard_quarantine(table: str) -> str:
+    return f"""
+        SELECT * FROM ({_reasons(table, HARD)}) WHERE reject_reason <> 'clean'
+        UNION ALL
+        SELECT '{table}', 'malformed_row', count(*) FROM ({PLAIN[table](1)})
+        WHERE {_number(table)} % 13 = 0 HAVING count(*) > 0
     """
 
 
@@ -540,30 +602,35 @@ TOTALS = f"""
     FROM ({TYPED_ITEMS}) GROUP BY order_id
 """
 
-# Items keep the order date of the first run unless the second run changes the row, and take it from
-# the orders merged by then.
+# Items have the date that their order has once both runs are merged.
 STORED_ITEMS = f"""
-    WITH o1 AS ({ORDER_DAYS}),
-         o2 AS (SELECT order_id, max(order_date) AS order_date
-                FROM ({_merged("orders")}) GROUP BY order_id),
-         m AS (SELECT i.*, o1.order_date FROM ({_clean("order_items", 1)}) i
-               LEFT JOIN o1 ON o1.order_id = i.order_id),
-         d AS (SELECT i.*, CAST(o2.order_date AS DATE) AS order_date
-               FROM ({_clean("order_items", 2)}) i LEFT JOIN o2 ON o2.order_id = i.order_id)
-    SELECT {_text([*COLUMNS["order_items"], "order_date"])} FROM (
-        SELECT {_list(COLUMNS["order_items"], "m.{}")}, m.order_date
-        FROM m LEFT JOIN d ON {_same_key("order_items")}
-        WHERE d.order_id IS NULL OR NOT {_differs("order_items")}
-        UNION ALL
-        SELECT {_list(COLUMNS["order_items"], "d.{}")}, coalesce(d.order_date, m.order_date)
-        FROM m JOIN d ON {_same_key("order_items")} WHERE {_differs("order_items")}
-        UNION ALL
-        SELECT {_list(COLUMNS["order_items"], "d.{}")}, d.order_date
-        FROM d WHERE NOT EXISTS (SELECT 1 FROM m WHERE {_same_key("order_items")})
-    )
+    SELECT {_list(COLUMNS["order_items"], "i.{}")}, CAST(o.order_date AS VARCHAR) AS order_date
+    FROM ({_merged("order_items")}) i
+    LEFT JOIN (SELECT order_id, max(order_date) AS order_date FROM ({_merged("orders")}) GROUP BY order_id) o
+    ON o.order_id = i.order_id
 """
 
 
+# A second run brings orders only; the items follow them.
+REDATED_ITEMS = f"""
+    WITH m AS ({_clean("orders", EARLY)}), d AS ({_clean("orders", LATER)}),
+         o AS (SELECT order_id, max(order_date) AS order_date FROM (
+                   SELECT order_id, order_date FROM d
+                   UNION ALL
+                   SELECT order_id, order_date FROM m
+                   WHERE NOT EXISTS (SELECT 1 FROM d WHERE {_same_key("orders")}))
+               GROUP BY order_id)
+    SELECT {_list(COLUMNS["order_items"], "CAST(i.{0} AS VARCHAR) AS {0}")}, CAST(o.order_date AS VARCHAR) AS order_date
+    FROM ({_clean("order_items", 1)}) i LEFT JOIN o ON o.order_id = i.order_id
+"""
+
+
+def _loads(seconds: str) -> str:
+    return f"""
+        SELECT ingestion_id, table_name, {seconds} FROM ({ALL_FILES}) GROUP BY ingestion_id, table_name
+    """
+
+
 def _quarantine_counts(table: str, batch: int) -> str:
     return f"""
         SELECT CAST({batch} AS BIGINT) AS ingestion_id, '{table}' AS table_name, reject_reason,
@@ -572,6 +639,20 @@ def _quarantine_counts(table: str, batch: int) -> str:
     """
 
 
+def _both(table: str) -> str:
+    return _merged(table) if table in TYPE_ONE else _history("keep", "close", "open")
+
+
+CATALOG_ROWS = _union(
+    [f"SELECT 'bronze.{t}_raw' AS name, count(*) AS row_count FROM ({LANDING[t](1)} UNION ALL {LANDING[t](2)})" for t in TABLES]
+    + [f"SELECT 'silver.{t}', count(*) FROM ({_both(t)})" for t in TABLES]
+    + ["SELECT 'operational_log.run_log', CAST(10 AS BIGINT)"]
+    + [
+        f"""SELECT 'operational_log.quarantine', CAST(sum(row_count) AS BIGINT)
+        FROM ({_union(_quarantine_counts(t, b) for t in TABLES for b in (1, 2))})"""
+    ]
+)
+
 # ---- generated data --------------------------------------------------------------------------
 
 
@@ -658,6 +739,8 @@ def build() -> dict[str, str]:
         sql[f"{t}_key_conflict_count"] = _conflicts(t)
         sql[f"{t}_key_violations"] = _violations(t)
         sql[f"{t}_merge_counts"] = _merge_counts(t)
+        sql[f"hard_{t}_key_violations"] = _violations(t, HARD)
+        sql[f"hard_{t}_duplicate_count"] = _duplicates(t, HARD)
         sql[f"{t}_exported"] = f"SELECT {_text(COLUMNS[t])} FROM ({_clean(t, 1)})"
     for t in TYPE_ONE:
         sql[f"{t}_update_set"] = _part(t, "update")
@@ -729,6 +812,28 @@ def build() -> dict[str, str]:
             for t in TABLES
         ),
         "customers_long_keys": _long_keys(),
+        "hard_reject_counts": _union(_reasons(t, HARD) for t in TABLES),
+        "hard_quarantine": _union(_hard_quarantine(t) for t in TABLES),
+        "longest_loads": _loads("max(row_count) / 1000.0 AS executing_time"),
+        "bronze_seconds": _loads(
+            "max(row_count) / 1000.0 AS bronze_daily_copy_executing_time,"
+            " max(row_count) / 1000.0 AS bronze_main_copy_executing_time,"
+            " CAST(0 AS DOUBLE) AS bronze_daily_indexing_time,"
+            " max(row_count) / 1000.0 AS total_bronze_process_executing_time"
+        ),
+        "streamed_order_items": STORED_ITEMS,
+        "streamed_file_log": f"""
+            SELECT ingestion_id, table_name, unnest(['bronze_daily', 'bronze_raw']) AS ingestion_for, row_count
+            FROM ({ROWS_BY_RUN})""",
+        "streamed_quarantine": _union(_quarantine_counts(t, b) for t in TABLES for b in (1, 2)),
+        "order_items_redated": REDATED_ITEMS,
+        "skipped_tables": _union(
+            f"""SELECT '{t}' AS table_name, {t not in ("orders", "order_items")} AS loaded,
+                       {f"(SELECT count(*) FROM ({_clean(t, 1)}))" if t not in ("orders", "order_items") else "CAST(0 AS BIGINT)"} AS main_rows"""
+            for t in TABLES
+        ),
+        "claimed_runs": ROWS_BY_RUN,
+        "catalog_tables": CATALOG_ROWS,
     }
     for t in ("products", "orders", "payments"):
         for way in ("stored", "streamed"):

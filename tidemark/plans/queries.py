@@ -27,15 +27,15 @@ from tidemark.operators.quality import (
     reject_summary,
 )
 from tidemark.plans.bronze import ingest
-from tidemark.plans.run import Retention, run
+from tidemark.plans.run import Retention, new_batch, run
 from tidemark.retail import CUSTOMERS, ORDER_ITEMS, ORDERS, PAYMENTS, PRODUCTS, RETAIL
-from tidemark.sources.derived_feed import FIRST, SECOND, frame
-from tidemark.sources.export import export_csv, preview, write_landing
+from tidemark.sources.derived_feed import FIRST, SECOND, broken_lines, frame, hard, number
+from tidemark.sources.export import export_csv, preview, write_landing, write_lines
 from tidemark.sources.files import scratch
 from tidemark.sources.landing import scan
 from tidemark.sources.store import Lake
 from tidemark.spec import AUDIT, Batch, TableSpec
-from tidemark.streaming.incremental import catch_up
+from tidemark.streaming.incremental import catch_up, follow
 
 Query = Callable[[SparkSession, str], DataFrame]
 TYPE_ONE = [s for s in RETAIL.values() if not s.history]
@@ -207,15 +207,14 @@ def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log both batches would leave, for both stages. Loads are not timed here."""
-    untimed = F.lit(None)
+    """The log both batches would leave, for both stages, if a thousand rows took a second."""
     return metrics.union_all(
         [
             metrics.file_log(
                 metrics.file_counts(_landing(spark, sf_dir, spec, batch)),
                 spec.name,
                 batch.ingestion_id,
-                untimed,
+                F.col("row_count") / 1000,
                 moment(batch.loaded_at),
             )
             for spec in RETAIL.values()
@@ -245,6 +244,59 @@ def customer_rows_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def longest_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds of the longest load of each table and run."""
+    log = _file_log(spark, sf_dir)
+    return metrics.union_all(
+        [
+            _named(s, metrics.longest_load(log, s.name, b.ingestion_id, metrics.DAILY)).withColumn(
+                "ingestion_id", F.lit(b.ingestion_id).cast("bigint")
+            )
+            for s in RETAIL.values()
+            for b in (FIRST, SECOND)
+        ]
+    )
+
+
+def bronze_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seconds of the bronze summary."""
+    summary = metrics.bronze_summary(_file_log(spark, sf_dir))
+    return summary.select("ingestion_id", "table_name", *[c for c in summary.columns if c.endswith("_time")])
+
+
+# ---- rows that are hard to keep apart --------------------------------------------------------
+
+
+def _hard(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+    return hard(spec, _landing(spark, sf_dir, spec))
+
+
+def hard_repeated_keys(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+    return key_violations(project(spec, _hard(spark, sf_dir, spec), FIRST), spec.key)
+
+
+def hard_duplicates(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+    return duplicate_count(spec, _hard(spark, sf_dir, spec))
+
+
+def hard_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.union_all(
+        [_named(s, reject_counts(checked(s, _hard(spark, sf_dir, s), FIRST))) for s in RETAIL.values()]
+    )
+
+
+def hard_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects per reason after a run on hard rows that were landed as files, lines with missing fields among them."""
+    root = scratch(spark, "runs")
+    lake, landing = Lake(spark, f"{root}/lake"), f"{root}/landing"
+    for spec in RETAIL.values():
+        rows = _landing(spark, sf_dir, spec)
+        write_landing(spec, hard(spec, rows), landing)
+        write_lines(spec, broken_lines(spec, rows), landing, "broken")
+    run(lake, landing, FIRST, parallel=True)
+    return lake.quarantine().groupBy("table_name", "reject_reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 # ---- lookups and sums ------------------------------------------------------------------------
 
 
@@ -297,19 +349,17 @@ def _ids(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
 
 
 def _generated(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    people = _ids(spark, sf_dir, "customer", "c_custkey")
-    parts = _ids(spark, sf_dir, "part", "p_partkey")
     if table == "products":
-        return generate.products(parts)
+        return generate.products(_ids(spark, sf_dir, "part", "p_partkey"))
     if table == "customers":
-        return generate.customers(people)
+        return generate.customers(_ids(spark, sf_dir, "customer", "c_custkey"))
     numbers = _ids(spark, sf_dir, "orders", "o_orderkey")
-    if table == "orders":
-        return generate.orders(numbers, people.count())
-    items = generate.order_items(numbers, parts.count())
     if table == "order_items":
-        return items
-    return generate.payments(items, generate.orders(numbers, people.count()))
+        return generate.order_items(numbers, _ids(spark, sf_dir, "part", "p_partkey").count())
+    orders = generate.orders(numbers, _ids(spark, sf_dir, "customer", "c_custkey").count())
+    if table == "orders":
+        return orders
+    return generate.payments(_generated(spark, sf_dir, "order_items"), orders)
 
 
 def generated(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
@@ -327,7 +377,11 @@ def _write_landing(
 
 
 def _run_both(
-    spark: SparkSession, sf_dir: str, *specs: TableSpec, retention: Retention = Retention()
+    spark: SparkSession,
+    sf_dir: str,
+    *specs: TableSpec,
+    retention: Retention = Retention(),
+    catalog: bool = False,
 ) -> Lake:
     """Two runs from landing files to main tables in a fresh store."""
     root = scratch(spark, "runs")
@@ -336,7 +390,7 @@ def _run_both(
     for batch in (FIRST, SECOND):
         landing = f"{root}/landing_{batch.ingestion_id}"
         _write_landing(spark, sf_dir, chosen, batch, landing)
-        run(lake, landing, batch, chosen, parallel=True, retention=retention)
+        run(lake, landing, batch, chosen, parallel=True, retention=retention, catalog=catalog)
     return lake
 
 
@@ -378,7 +432,8 @@ def retained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _run_both(spark, sf_dir, *RETAIL.values(), retention=only_main)
     return metrics.union_all(
         [
-            lake.bronze(s).agg(F.count(F.lit(1)).alias("bronze_rows")).join(
+            # One row each.
+            lake.bronze(s).agg(F.count(F.lit(1)).alias("bronze_rows")).crossJoin(
                 lake.main(s).agg(F.lit(s.name).alias("table_name"), F.count(F.lit(1)).alias("main_rows"))
             )
             for s in RETAIL.values()
@@ -432,6 +487,103 @@ def _streamed(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
     return _plain(lake.main(spec).drop(*AUDIT))
 
 
+def _followed(spark: SparkSession, sf_dir: str, *specs: TableSpec) -> Lake:
+    """Two landings of several tables picked up one after the other by the query over all of them."""
+    root = scratch(spark, "stream")
+    lake = Lake(spark, f"{root}/lake")
+    chosen = {s.name: s for s in specs}
+    for batch in (FIRST, SECOND):
+        _write_landing(spark, sf_dir, chosen, batch, f"{root}/landing")
+        query = follow(
+            lake, f"{root}/landing", lambda epoch, b=batch: b, f"{root}/seen", f"{root}/archive", specs=chosen
+        )
+        query.awaitTermination()
+    return lake
+
+
+def streamed_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(_followed(spark, sf_dir, ORDERS, ORDER_ITEMS).main(ORDER_ITEMS).drop(*AUDIT))
+
+
+def streamed_file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the log holds for each run, table and stage."""
+    log = _followed(spark, sf_dir, *RETAIL.values()).file_log()
+    return log.groupBy("ingestion_id", "table_name", "ingestion_for").agg(F.sum("row_count").alias("row_count"))
+
+
+def streamed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = _followed(spark, sf_dir, *RETAIL.values()).quarantine()
+    return rejects.groupBy("ingestion_id", "table_name", "reject_reason").agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+#: Of the orders every tenth arrives with the second run only, which moves every seventh of the others.
+LATE_ORDER, MOVED_ORDER, MOVED_DAYS = 10, 7, 40
+
+
+def order_items_redated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items after a second run that brings no item, but orders that come late or move to another date."""
+    root = scratch(spark, "runs")
+    lake = Lake(spark, f"{root}/lake")
+    chosen = {s.name: s for s in (ORDERS, ORDER_ITEMS)}
+    orders, n = _landing(spark, sf_dir, ORDERS), number(ORDERS)
+    late = n % LATE_ORDER == 0
+    day = F.col("order_date").try_cast("date")
+    later = F.coalesce(F.date_add(day, MOVED_DAYS).cast("string"), "order_date")
+    moved = orders.filter(~late & (n % MOVED_ORDER == 0)).withColumn("order_date", later)
+    write_landing(ORDERS, orders.filter(~late), f"{root}/landing_1")
+    write_landing(ORDER_ITEMS, _landing(spark, sf_dir, ORDER_ITEMS), f"{root}/landing_1")
+    write_landing(ORDERS, orders.filter(late).unionByName(moved), f"{root}/landing_2")
+    for batch in (FIRST, SECOND):
+        run(lake, f"{root}/landing_{batch.ingestion_id}", batch, chosen)
+    return _plain(lake.main(ORDER_ITEMS).drop(*AUDIT))
+
+
+def skipped_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over the files of some tables only: whether a table was loaded, and its main rows."""
+    root = scratch(spark, "runs")
+    lake, landed_ones = Lake(spark, f"{root}/lake"), (CUSTOMERS, PRODUCTS, PAYMENTS)
+    _write_landing(spark, sf_dir, {s.name: s for s in landed_ones}, FIRST, f"{root}/landing")
+    done = run(lake, f"{root}/landing", FIRST, parallel=True)
+    return metrics.union_all(
+        [
+            lake.main(s).agg(F.count(F.lit(1)).alias("main_rows")).select(
+                F.lit(s.name).alias("table_name"), F.lit(done[s.name] is not None).alias("loaded"), "main_rows"
+            )
+            for s in RETAIL.values()
+        ]
+    )
+
+
+def claimed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run numbers claimed one after the other, and the rows that each run has landed per table."""
+    root = scratch(spark, "runs")
+    lake = Lake(spark, f"{root}/lake")
+    for given in (FIRST, SECOND):
+        batch = new_batch(lake, given.loaded_at)
+        _write_landing(spark, sf_dir, RETAIL, given, f"{root}/landing_{batch.ingestion_id}")
+        ingest(lake, f"{root}/landing_{batch.ingestion_id}", batch)
+    log = lake.file_log().filter(F.col("ingestion_for") == metrics.DAILY)
+    return log.groupBy("ingestion_id", "table_name").agg(F.sum("row_count").alias("row_count"))
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table that two runs have put in the catalog, read by name."""
+    lake = _run_both(spark, sf_dir, *RETAIL.values(), catalog=True)
+    names = [f"{layer}" for s in RETAIL.values() for layer in (f"bronze.{s.name}_raw", f"silver.{s.name}")]
+    counts = metrics.union_all(
+        [
+            spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("name"), "row_count")
+            for n in [*names, "operational_log.quarantine", "operational_log.run_log"]
+        ]
+    )
+    # The names stand for other tables once another store is put in the catalog.
+    path = f"{lake.root}/counted"
+    counts.write.parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
 def _of(spec: TableSpec, query) -> Query:
     def bound(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(spark, sf_dir, spec)
@@ -455,7 +607,10 @@ def build() -> dict[str, Query]:
         "merge_counts": merge_counts,
         "exported": exported,
     }
+    hard_ones = {"key_violations": hard_repeated_keys, "duplicate_count": hard_duplicates}
     for spec in RETAIL.values():
+        for suffix, query in hard_ones.items():
+            named[f"hard_{spec.name}_{suffix}"] = _of(spec, query)
         for suffix, query in per_table.items():
             named[f"{spec.name}_{suffix}"] = _of(spec, query)
         named[f"generated_{spec.name}"] = _of(spec, generated)
@@ -476,6 +631,10 @@ def build() -> dict[str, Query]:
         "bronze_summary": bronze_summary,
         "rows_by_run": rows_by_run,
         "customer_rows_loaded": customer_rows_loaded,
+        "longest_loads": longest_loads,
+        "bronze_seconds": bronze_seconds,
+        "hard_reject_counts": hard_reasons,
+        "hard_quarantine": hard_quarantine,
         "order_items_with_date": order_items_with_date,
         "order_items_without_order": order_items_without_order,
         "order_items_priced": order_items_priced,
@@ -497,5 +656,12 @@ def build() -> dict[str, Query]:
         "streamed_products": _of(PRODUCTS, _streamed),
         "streamed_orders": _of(ORDERS, _streamed),
         "streamed_payments": _of(PAYMENTS, _streamed),
+        "streamed_order_items": streamed_order_items,
+        "streamed_file_log": streamed_file_log,
+        "streamed_quarantine": streamed_quarantine,
+        "order_items_redated": order_items_redated,
+        "skipped_tables": skipped_tables,
+        "claimed_runs": claimed_runs,
+        "catalog_tables": catalog_tables,
     }
     return named

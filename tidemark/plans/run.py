@@ -9,6 +9,7 @@ from tidemark.plans.bronze import ingest
 from tidemark.plans.jobs import together
 from tidemark.plans.silver import Merged, refine
 from tidemark.retail import ORDERS, RETAIL
+from tidemark.sources.layers import publish
 from tidemark.sources.store import Lake
 from tidemark.spec import Batch, TableSpec
 
@@ -77,13 +78,17 @@ def run(
     archive: str | None = None,
     parallel: bool = False,
     retention: Retention = Retention(),
+    catalog: bool = False,
 ) -> dict[str, Merged | None]:
     """Land the files of one folder and bring every silver table up to date.
 
-    ``retention`` says what stays afterwards; by default everything does.
+    ``retention`` says what stays afterwards; by default everything does. ``catalog`` puts the tables,
+    as they are then, under their names in the catalog.
     """
     ingest(lake, landing, batch, specs, archive)
     merged = refine_all(lake, batch, specs, parallel)
     for spec in specs.values():
         consume(lake, batch, spec, retention)
+    if catalog:
+        publish(lake, specs)
     return merged

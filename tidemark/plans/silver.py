@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -62,19 +61,19 @@ def clean_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True)
     if not lake.has_bronze(spec, batch.ingestion_id):
         log.info("%s: no new data", spec.name)
         return None
-    started = time.monotonic()
+    started = batch.clock()
     bronze = lake.bronze_daily(spec, batch.ingestion_id)
     tagged = lake.write_tagged(spec, checked(spec, bronze, batch), batch.ingestion_id)
-    insert_seconds = time.monotonic() - started
+    insert_seconds = batch.clock() - started
 
     bad = tagged.filter("is_rejected = 1").drop("is_rejected")
     flagged = quarantine_rows(spec, bad, batch).unionByName(malformed_rows(spec, bronze, batch))
 
     def check_keys() -> float:
-        began = time.monotonic()
+        began = batch.clock()
         if verify:
             assert_unique(lake.daily(spec, batch.ingestion_id), spec.key, f"{spec.name} batch")
-        return time.monotonic() - began
+        return batch.clock() - began
 
     rows, duplicates, check_seconds, _ = together(
         [
@@ -132,12 +131,12 @@ def merge_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True)
 
 def _first_load(lake: Lake, spec: TableSpec, batch: Batch, held: Manifest) -> Merged:
     """Write the first batch straight to the main table."""
-    started = time.monotonic()
+    started = batch.clock()
     rows = merge.first_rows(spec, _batch_rows(lake, spec, batch), batch)
     new = lake.rewrite(
         spec, lambda part: False, lambda none: lake.dealt(spec, rows, held), held, batch.ingestion_id
     )
-    seconds = time.monotonic() - started
+    seconds = batch.clock() - started
     return Merged(0, new.rows, new.rows, 0.0, seconds, {p.month for p in new.parts})
 
 
@@ -149,16 +148,16 @@ def _merge_into(
     The matches and the changes are written tables, so neither the later steps nor a lost executor
     repeat the join with the main table. That join reads rows in force only and moves none of them.
     """
-    started = time.monotonic()
+    started = batch.clock()
     daily = _batch_rows(lake, spec, batch)
     if spec.carried:
         daily = lake.write_changes(spec, "batch", daily, batch.ingestion_id)
     found = lake.write_changes(
         spec, "matches", merge.matches(spec, lake.current(spec, held), daily), batch.ingestion_id
     )
-    match_seconds = time.monotonic() - started
+    match_seconds = batch.clock() - started
 
-    started = time.monotonic()
+    started = batch.clock()
     changed = lake.write_changes(
         spec, "changes", merge.changes(spec, found, daily, batch), batch.ingestion_id
     )
@@ -178,7 +177,7 @@ def _merge_into(
         new = lake.rewrite(
             spec, _in(places), lambda old: _replaced(lake, spec, old, changed, held), held, batch.ingestion_id
         )
-    seconds = time.monotonic() - started
+    seconds = batch.clock() - started
     return Merged(
         sum(counts.get(a, 0) for a in merge.OVERWRITES),
         sum(counts.get(a, 0) for a in merge.ADDS),

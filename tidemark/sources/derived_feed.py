@@ -247,5 +247,48 @@ FRAMES = {
 }
 
 
+def number(spec: TableSpec) -> Col:
+    """The number in a row's first key column; 0 without one."""
+    digits = F.regexp_extract(F.col(spec.key[0]), "([0-9]+)", 1)
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0))
+
+
+def hard(spec: TableSpec, rows: DataFrame, batch: Batch = FIRST) -> DataFrame:
+    """Landing rows made hard: exact copies, a key in two spellings with a third of them, NULL and blank keys.
+
+    All rows are loaded at once, so ties are settled by their contents.
+    """
+    n = number(spec)
+    hot = F.when(n % 2 == 0, " HOT ").otherwise("hot")
+
+    def keyed(every: int, key: Col) -> DataFrame:
+        return rows.filter(_every(n, every)).select(
+            *[(key if c in spec.key else F.col(c)).alias(c) for c in spec.names]
+        )
+
+    plain = rows.select(*spec.names)
+    parts = [
+        plain,
+        rows.filter(_every(n, 5)).select(*spec.names),
+        keyed(3, hot),
+        keyed(17, F.lit(None).cast("string")),
+        keyed(19, F.lit("  ")),
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.select(
+        "*",
+        moment(batch.loaded_at).alias("created_at_bronze"),
+        F.lit(f"{batch.ingestion_id}/{spec.name}_hard.csv").alias("source_file_id"),
+    )
+
+
+def broken_lines(spec: TableSpec, rows: DataFrame) -> DataFrame:
+    """One column named like a header: lines that have fewer fields than it."""
+    n = number(spec)
+    return rows.filter(_every(n, 13)).select(F.concat(F.lit("broken "), n).alias(",".join(spec.names)))
+
+
 def frame(spark: SparkSession, sf_dir: str, table: str, batch: Batch = FIRST) -> DataFrame:
     return FRAMES[table](spark, sf_dir, batch)

@@ -36,14 +36,22 @@ def preview(spark: SparkSession, spec: TableSpec, path: str, n: int = 5) -> Data
 def write_landing(
     spec: TableSpec, frame: DataFrame, landing: str, label: str = "raw"
 ) -> list[str]:
-    """Write a frame as landing files named ``<table>_<label>_<n>.csv`` and return their names.
-
-    Spark writes the parts; only their names are changed afterwards.
-    """
-    spark = frame.sparkSession
-    files = Files(spark)
-    parts = scratch(spark, "landing")
+    """Write a frame as landing files named ``<table>_<label>_<n>.csv`` and return their names."""
+    parts = scratch(frame.sparkSession, "landing")
     export_csv(spec, frame, parts)
+    return _moved(spec, frame, parts, landing, label)
+
+
+def write_lines(spec: TableSpec, lines: DataFrame, landing: str, label: str) -> list[str]:
+    """Write a frame's only column as the lines of landing files, its name as their header, as they are."""
+    parts = scratch(lines.sparkSession, "landing")
+    lines.write.options(header="true", sep="\u0001", quote="\u0000").csv(parts)
+    return _moved(spec, lines, parts, landing, label)
+
+
+def _moved(spec: TableSpec, frame: DataFrame, parts: str, landing: str, label: str) -> list[str]:
+    """Spark writes the parts; only their names are changed afterwards."""
+    files = Files(frame.sparkSession)
     files.make_directory(landing)
     names = []
     for n, part in enumerate(p for p in files.names(parts) if p.endswith(".csv")):

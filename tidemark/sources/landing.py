@@ -21,11 +21,25 @@ def route(file_name: Col, specs: dict[str, TableSpec] = RETAIL) -> Col:
     return F.nullif(prefix, F.lit(""))
 
 
+#: What is known of a file without reading it.
+FILE = T.StructType.fromJson(
+    {"type": "struct", "fields": [
+        {"name": n, "type": t, "nullable": True, "metadata": {}}
+        for n, t in (("path", "string"), ("modificationTime", "timestamp"), ("length", "long"), ("content", "binary"))
+    ]}
+)
+FOUND = {"pathGlobFilter": "*.csv"}
+
+
 def discover(
     spark: SparkSession, landing: str, specs: dict[str, TableSpec] = RETAIL
 ) -> DataFrame:
     """Every CSV file of the landing folder with its size, time of change and table; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing)
+    return described(spark.read.format("binaryFile").options(**FOUND).load(landing), specs)
+
+
+def described(files: DataFrame, specs: dict[str, TableSpec] = RETAIL) -> DataFrame:
+    """Names, sizes, times of change and tables of files; the column of their contents is left out."""
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(
         name.alias("file_name"), "path", "length", F.unix_millis("modificationTime").alias("modified")

@@ -47,6 +47,9 @@ CURRENT, CLOSED = "current", "closed"
 DATABASE, NAMED = "tidemark_versions", 500
 PLACE = "version string, state string, month string, slot int"
 
+QUARANTINE = (
+    "id bigint, flagged_at timestamp_ntz, reject_reason string, raw_row string, table_name string, ingestion_id bigint"
+)
 REGISTRY = "file_name string, path string, length bigint, modified bigint, table_name string"
 
 
@@ -136,7 +139,10 @@ class Lake:
     def bronze(self, spec: TableSpec) -> DataFrame:
         """Everything ever landed, with its ``ingestion_id``."""
         schema = spec.bronze_schema().add("ingestion_id", T.LongType())
-        return self.spark.read.schema(schema).parquet(f"{self.root}/bronze/{spec.name}")
+        return self.spark.read.schema(schema).parquet(self.bronze_path(spec))
+
+    def bronze_path(self, spec: TableSpec) -> str:
+        return f"{self.root}/bronze/{spec.name}"
 
     def retire_bronze(self, spec: TableSpec, ingestion_id: int) -> None:
         """Drop a merged run's landed rows, for those who keep no bronze history."""
@@ -183,15 +189,17 @@ class Lake:
         numbered.write.mode("overwrite").parquet(path)
 
     def quarantine(self) -> DataFrame:
-        path = f"{self.root}/quarantine"
-        schema = T.StructType.fromDDL(
-            "id bigint, flagged_at timestamp_ntz, reject_reason string, raw_row string, "
-            "table_name string, ingestion_id bigint"
-        )
+        schema, path = self.logs()["quarantine"]
         if not self.files.exists(path):
             return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(path)
 
+    def logs(self) -> dict[str, tuple[T.StructType, str]]:
+        """Schema and folder of rejected rows and of both logs, each in parts by table and run."""
+        kinds = {"quarantine": QUARANTINE, "file_log": FILE_LOG, "run_log": RUN_LOG}
+        paths = {"quarantine": "quarantine", "file_log": "logs/files", "run_log": "logs/runs"}
+        return {k: (T.StructType.fromDDL(v), f"{self.root}/{paths[k]}") for k, v in kinds.items()}
+
     # ---- main tables ----
 
     def _main(self, spec: TableSpec) -> str:
@@ -212,7 +220,7 @@ class Lake:
         # Every bucket lies in one slot.
         return Manifest(0, (), -(-self.buckets // spec.slots) * spec.slots, spec.slots)
 
-    def _named(self, spec: TableSpec, held: Manifest) -> str:
+    def named(self, spec: TableSpec, held: Manifest) -> str:
         """The catalog table over the parts of a version. Whoever reads it first makes it."""
         name = f"{DATABASE}.{spec.name}_{held.number}_{held.name}"
         with self._lock:
@@ -243,7 +251,7 @@ class Lake:
         names = spec.main_schema().names
         if not parts:
             return empty(self.spark, spec.main_schema())
-        whole = self.spark.table(self._named(spec, held))
+        whole = self.spark.table(self.named(spec, held))
         current = [p for p in held.parts if p.state == CURRENT]
         if parts == current and len(parts) < len(held.parts):
             whole = whole.filter(F.col("state") == CURRENT)

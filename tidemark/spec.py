@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -114,13 +116,17 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class Batch:
-    """The identity and clock of one run. Operators never ask the machine for the time."""
+    """The identity and clock of one run. Operators never ask the machine for the time.
+
+    ``clock`` tells seconds for the timings that a run logs; a given one makes them values.
+    """
 
     ingestion_id: int
     as_of: dt.date
     loaded_at: dt.datetime
     cleaned_at: dt.datetime
     min_date: dt.date = field(default=dt.date(2015, 1, 1))
+    clock: Callable[[], float] = field(default=time.monotonic, compare=False)
 
     @classmethod
     def at(cls, ingestion_id: int, when: dt.datetime) -> Batch:

@@ -1,4 +1,8 @@
-"""Incremental runs: process landing files that no earlier run has seen, then stop."""
+"""Incremental runs: process landing files that no earlier run has seen, then stop.
+
+``follow`` takes the files of all tables from one source, a run for each micro-batch. ``start`` and
+``catch_up`` give single tables queries of their own.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.bronze import land_rows
+from tidemark.plans.bronze import claim, land_rows
+from tidemark.plans.run import Retention, run
 from tidemark.plans.silver import refine
 from tidemark.retail import ORDERS, RETAIL
-from tidemark.sources.landing import csv_options, scan_schema, with_lineage
+from tidemark.sources.landing import FILE, FOUND, csv_options, described, scan_schema, with_lineage
 from tidemark.sources.store import Lake
 from tidemark.spec import Batch, TableSpec
 
@@ -78,3 +83,45 @@ def catch_up(
     routed = RETAIL | {s.name: s for s in specs}
     for spec in sorted(specs, key=lambda s: bool(s.carried)):
         start(lake, spec, landing, batch_of, checkpoint, archive, specs=routed).awaitTermination()
+
+
+def follow(
+    lake: Lake,
+    landing: str,
+    batch_of: Callable[[int], Batch],
+    checkpoint: str,
+    archive: str | None = None,
+    max_files: int | None = None,
+    specs: dict[str, TableSpec] = RETAIL,
+    retention: Retention = Retention(),
+) -> StreamingQuery:
+    """Start one query that takes every new file of the landing folder, of whatever table, once.
+
+    The stream carries names only: each micro-batch is routed by file name, claimed as the files of a
+    run and handed to a whole run, which reads them, orders before the items that take their dates.
+    A micro-batch repeated after a failure finds its claim and goes on where its run has stopped.
+    ``archive`` moves files away once a later micro-batch has begun, as Spark's file source does.
+    Files that no table claims are reported by the run and written in its registry.
+    """
+
+    def process(files: DataFrame, epoch: int) -> None:
+        batch = batch_of(epoch)
+        for spec in specs.values():
+            lake.bind_epoch(spec, batch.ingestion_id, epoch)
+        if not lake.has_registry(batch.ingestion_id):
+            claim(lake, files, batch)
+        run(lake, landing, batch, specs, parallel=True, retention=retention)
+
+    reader = lake.spark.readStream.format("binaryFile").schema(FILE).options(**FOUND)
+    reader = reader.option("latestFirst", "false")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return (
+        described(reader.load(landing), specs)
+        .writeStream.trigger(availableNow=True)
+        .option("checkpointLocation", f"{checkpoint}/all")
+        .foreachBatch(process)
+        .start()
+    )
