@@ -105,6 +105,32 @@ def _shuffled_rows(df) -> int:
     raise AssertionError("no shuffle")
 
 
+def _shuffled_bytes(df) -> int:
+    df.collect()
+    nodes = list(_nodes(df._jdf.queryExecution().executedPlan()))
+    return sum(n.metrics().get("shuffleBytesWritten").get().value() for name, n in nodes if name == "ShuffleExchangeExec")
+
+
+def test_copies_are_counted_by_narrow_fingerprints(spark):
+    """Rows that are alone send no column; a row with a third of all sends one per task, and none is lost."""
+    n = 30_000
+    hot = F.col("id") % 3 == 0
+    text = lambda name: F.when(hot, F.lit(None).cast("string")).otherwise(F.sha2(F.concat(F.lit(name), F.col("id") % 27_000), 256))
+    landed = spark.range(0, n, 1, 4).select(
+        F.when(hot, "hot").otherwise((F.col("id") % 27_000).cast("string")).alias("product_id"),
+        *[text(c).alias(c) for c in ("name", "category", "price")],
+        F.lit(None).cast("timestamp_ntz").alias("created_at_bronze"),
+        F.lit("f").alias("source_file_id"),
+    )
+    counted = duplicate_count(PRODUCTS, landed)
+    whole = landed.groupBy(*PRODUCTS.names).agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") - 1).cast("bigint"))
+    assert counted.first()[0] == whole.first()[0] == 10_000 - 1 + 2_000
+    assert _shuffled_bytes(counted) * 2 < _shuffled_bytes(whole)
+    # NULL in one column and in another are different rows.
+    odd = spark.createDataFrame([("p", None, "a", "1"), ("p", "a", None, "1"), ("p", "a", None, "1")], "product_id string, name string, category string, price string")
+    assert duplicate_count(PRODUCTS, odd).first()[0] == 1
+
+
 def _largest_task_share(df) -> float:
     # The maximum keeps the joined column, and with it the join, in the plan.
     tasks = df.withColumn("task", F.spark_partition_id()).groupBy("task")
