@@ -15,7 +15,9 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from compare import connect, mismatch
 
-from tidemark.llm import licences, lm, pieces, quality, simhash, urls
+from pyspark.sql import functions as F
+
+from tidemark.llm import common, licences, lm, mixing, pieces, quality, simhash, urls
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -260,6 +262,24 @@ def test_mix(spark):
         assert rows[0]["target"] <= 3 * rows[0]["source_size"] == 3 * sum(r["size"] for r in rows)
 
 
+def test_small_sources_come_within_a_block_of_their_targets(spark):
+    rows = [(s * 100 + k, "a b c d e", f"s{s:02d}") for s in range(40) for k in range(10)]
+    rows += [(9000 + k, "w " * 200, "large") for k in range(100)] + [(9900, "one two three", "tiny"), (9901, None, "none"), (9902, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mixed(df).collect()
+    by_source = {}
+    for r in out:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        by_source.setdefault(r["source"], []).append(r)
+    assert len(by_source) == 44
+    for rows in by_source.values():
+        # What rounding leaves over goes to the highest quotients, those of the large source.
+        near = max(mixing.BLOCK, rows[0]["target"] / 50)
+        assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) <= near
+    drawn = mixing.drawn(df).groupBy("source").agg(F.sum(F.size(common.split_words(F.col("text")))).alias("n")).collect()
+    assert {r["source"]: r["n"] for r in drawn} == {s: n for s, rows in by_source.items() if (n := sum(r["taken"] for r in rows))}
+
+
 def test_quality_agrees_with_labels(spark):
     found = result(spark, "op9_quality_rules")
     labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{SMALL}/labels.parquet'").fetchall())

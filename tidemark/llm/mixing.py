@@ -14,8 +14,8 @@ from tidemark.llm.common import SPACE, WORD, materialise, row_key, running_total
 
 #: Words of a block.
 BLOCK = 16
-#: Parts of a source that get whole numbers of blocks of their own.
-SHARDS = 8
+#: Parts of a source that get whole numbers of blocks of their own, and the words below which a source is one part.
+SHARDS, WHOLE = 8, 2048
 #: No source is taken more often than this.
 REPEATS = 3
 WEIGHTS = (5, 2, 1)
@@ -83,7 +83,7 @@ def mixed(
 
     Sources in order of code points, null last, take the weights in turn and share all words. Blocks of ``block`` words
     go to sources by Sainte-Laguë quotients of their targets, and a source's blocks to its shards by quotients of their
-    sizes. A shard's documents stand in an order seeded by their id; its blocks are laid end to end from a seeded word
+    sizes; sources of few words are one shard. A shard's documents stand in an order seeded by their id; its blocks are laid end to end from a seeded word
     on, round and round, so that all but two documents of a shard are taken whole, ``taken`` words each. ``full`` is how
     often the whole document is taken; besides, its words ``from`` to ``until`` (counted from zero) and its first
     ``head`` ones are.
@@ -112,25 +112,35 @@ def mixed(
     names = sorted({k[:2] for k in cells}, key=lambda k: (k[0], k[1].encode()))
     sizes = [sum(cells.get((*name, k), 0) for k in range(shards)) for name in names]
     wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], sum(sizes))
-    quotas = sainte_lague(wanted, round(sum(sizes) / block), [REPEATS * n // block for n in sizes])
+    # The last block of a part may be a part of one, so what is taken at most is a number of words, not of blocks.
+    most = lambda n: -(-REPEATS * n // block)
+    quotas = sainte_lague(wanted, round(sum(sizes) / block), [most(n) for n in sizes])
     plan = []
     for name, size, target, quota in zip(names, sizes, wanted, quotas):
-        parts = [cells.get((*name, k), 0) for k in range(shards)]
-        for k, got in enumerate(sainte_lague(parts, quota, [REPEATS * n // block for n in parts])):
-            words = got * block
+        parts = [cells.get((*name, k), 0) for k in range(shards)] if size >= WHOLE else [size]
+        for k, got in enumerate(sainte_lague(parts, quota, [most(n) for n in parts])):
+            words = min(got * block, REPEATS * parts[k])
             at = _start(seed, None if name[0] else name[1], k, parts[k])
-            plan.append((*name, k, parts[k], size, target, words // max(1, parts[k]), words % max(1, parts[k]), at))
-    schema = "nowhere boolean, name string, shard int, cell long, source_size long, target double, rounds long, rest long, at long"
+            plan.append((*name, k, size < WHOLE, parts[k], size, target, words // max(1, parts[k]), words % max(1, parts[k]), at))
+    schema = "nowhere boolean, name string, part int, single boolean, cell long, source_size long, target double, rounds long, rest long, at long"
     # One row for each shard of a source: bounded by MOST_SOURCES.
     plan_ = F.broadcast(spark.createDataFrame(plan, schema))
     placed = running_total(rows, ["nowhere", "source", "shard", "key", "id", "size", "text_hash"], "size", "mix-order")
     same = (
-        (placed["nowhere"] == plan_["nowhere"]) & (F.coalesce(placed["source"], F.lit("")) == plan_["name"]) & (placed["shard"] == plan_["shard"])
+        (placed["nowhere"] == plan_["nowhere"])
+        & (F.coalesce(placed["source"], F.lit("")) == plan_["name"])
+        & (plan_["single"] | (placed["shard"] == plan_["part"]))
     )
     starts = placed.groupBy("nowhere", "source", "shard").agg(F.min("before").alias("first"))
-    starts = F.broadcast(starts.select(F.col("nowhere").alias("w"), F.coalesce("source", F.lit("")).alias("s"), F.col("shard").alias("k"), "first"))
+    # Shards of a source that is one part follow each other, so it begins where the first of them does.
+    whole = Window.partitionBy("nowhere", "source")
+    starts = starts.withColumn("low", F.min("first").over(whole))
+    starts = F.broadcast(
+        starts.select(F.col("nowhere").alias("w"), F.coalesce("source", F.lit("")).alias("s"), F.col("shard").alias("k"), "first", "low")
+    )
     here = (F.col("w") == placed["nowhere"]) & (F.col("s") == F.coalesce(placed["source"], F.lit(""))) & (F.col("k") == placed["shard"])
-    a = F.col("before") - F.col("first")
+    first = F.when(F.col("single"), F.col("low")).otherwise(F.col("first"))
+    a = F.col("before") - first
     # The rest of the blocks is the cyclic run of words [at, at + rest) of the shard: after ``at``, and from zero on.
     upto = F.col("at") + F.col("rest")
     tail = F.least(F.greatest(F.col("at") - F.col("a"), F.lit(0)), F.col("size"))
@@ -191,8 +201,9 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
              md5('1:' || coalesce(doc_id::VARCHAR, 'null')) AS key FROM documents),
-k AS (SELECT *, ('0x' || substr(key, 1, 4))::INT % {SHARDS} AS shard FROM d),
-s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM k GROUP BY source),
+s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM d GROUP BY source),
+k AS (SELECT d.*, ('0x' || substr(key, 1, 4))::INT % {SHARDS} AS h, CASE WHEN n < {WHOLE} THEN 0 ELSE h END AS shard
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
 w AS (SELECT *, [5, 2, 1][(r - 1) % 3 + 1] AS weight, sum(n) OVER ()::BIGINT AS total FROM s),
 o AS (SELECT *, row_number() OVER (ORDER BY n / weight, r) AS q FROM w WHERE n > 0),
 l AS (SELECT *, total - coalesce(sum({REPEATS} * n) OVER (ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
@@ -200,18 +211,18 @@ l AS (SELECT *, total - coalesce(sum({REPEATS} * n) OVER (ORDER BY q ROWS BETWEE
 c AS (SELECT min(q) AS q FROM l WHERE rest::DOUBLE * weight / open <= {REPEATS} * n),
 t AS (SELECT l.source, n, r, total, CASE WHEN l.q < c.q THEN ({REPEATS} * n)::DOUBLE
         ELSE (SELECT rest * l.weight FROM l x WHERE x.q = c.q)::DOUBLE / (SELECT open FROM l x WHERE x.q = c.q) END AS target FROM l, c),
-seats AS (SELECT source, r, target / (2 * unnest(range(0, {REPEATS} * n // {BLOCK})) + 1) AS quotient, total FROM t),
+seats AS (SELECT source, r, target / (2 * unnest(range(0, ({REPEATS} * n + {BLOCK} - 1) // {BLOCK})) + 1) AS quotient, total FROM t),
 taken AS (SELECT source, r FROM seats QUALIFY row_number() OVER (ORDER BY quotient DESC, r) <= round_even(total / {BLOCK}, 0)),
 quota AS (SELECT source, count(*) AS seats FROM taken GROUP BY source),
 cells AS (SELECT source, shard, sum(size)::BIGINT AS cell FROM k GROUP BY source, shard),
-inner_ AS (SELECT source, shard, cell, cell / (2 * unnest(range(0, {REPEATS} * cell // {BLOCK})) + 1) AS quotient FROM cells),
-won AS (SELECT i.source, i.shard FROM inner_ i JOIN quota q ON i.source IS NOT DISTINCT FROM q.source
+inner_ AS (SELECT source, shard, cell, cell / (2 * unnest(range(0, ({REPEATS} * cell + {BLOCK} - 1) // {BLOCK})) + 1) AS quotient FROM cells),
+won AS (SELECT i.source, i.shard, cell FROM inner_ i JOIN quota q ON i.source IS NOT DISTINCT FROM q.source
         QUALIFY row_number() OVER (PARTITION BY i.source ORDER BY quotient DESC, shard) <= q.seats),
-got AS (SELECT source, shard, count(*) * {BLOCK} AS words FROM won GROUP BY source, shard),
+got AS (SELECT source, shard, least(count(*) * {BLOCK}, {REPEATS} * max(cell)) AS words FROM won GROUP BY source, shard),
 plan AS (SELECT c.source, c.shard, cell, coalesce(words, 0) AS words,
         CASE WHEN cell > 0 THEN ('0x' || substr(md5('1:' || c.shard || ':' || coalesce('s' || c.source, '')), 1, 8))::BIGINT % cell ELSE 0 END AS start
         FROM cells c LEFT JOIN got g ON c.source IS NOT DISTINCT FROM g.source AND c.shard = g.shard),
-p AS (SELECT k.*, cell, words, start, coalesce(sum(size) OVER (PARTITION BY k.source, k.shard ORDER BY key, doc_id, size
+p AS (SELECT k.*, cell, words, start, coalesce(sum(size) OVER (PARTITION BY k.source, k.shard ORDER BY h, key, doc_id, size
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
       FROM k JOIN plan ON k.source IS NOT DISTINCT FROM plan.source AND k.shard = plan.shard),
 f AS (SELECT *, CASE WHEN cell > 0 THEN words // cell ELSE 0 END AS rounds, CASE WHEN cell > 0 THEN words % cell ELSE 0 END AS rest FROM p)
