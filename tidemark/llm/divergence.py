@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import string
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,7 +22,9 @@ from tidemark.llm.common import materialise, running_total, table
 DOCUMENTS, RANKS = 3, 200
 SCALE = 1_000_000_000
 #: Bytes of text and different terms of a part, and bytes of a packet of it.
-PART, TERMS, PACKET = 1 << 24, 1 << 18, 1 << 20
+PART, TERMS, PACKET = 1 << 25, 1 << 19, 1 << 20
+#: Terms in a row of a part's list.
+LISTED = 1 << 14
 #: Sources of a block and ordinals of a slice: two blocks are compared over one slice at once, so many columns at a time.
 BLOCK, SLICE, COLUMNS = 64, 1 << 13, 1 << 10
 #: Places that the terms of one source are spread over when they meet the source's own figures.
@@ -38,46 +43,42 @@ class Transducer:
     """
 
     def __init__(self, terms: list[bytes]):
-        known: dict[tuple, int] = {}
+        known: dict[tuple[int, ...], int] = {}
         ends: list[int] = []
-        final: list[bool] = []
+        final: list[int] = []
         keys, to, out = [], [], []
 
-        def close(ending: bool, arcs: list[tuple[int, int]]) -> int:
-            key = (ending, tuple(arcs))
+        def close(node: list[int]) -> int:
+            """The state of a finished node: whether a term ends there, then its arcs as target << 8 | label."""
+            key = tuple(node)
             state = known.get(key)
             if state is None:
                 state = known[key] = len(final)
-                before = int(ending)
-                for label, target in arcs:
-                    keys.append(state << 8 | label)
-                    to.append(target)
+                before = node[0]
+                final.append(before)
+                for arc in node[1:]:
+                    keys.append(state << 8 | arc & 255)
+                    to.append(arc >> 8)
                     out.append(before)
-                    before += ends[target]
-                final.append(ending)
+                    before += ends[arc >> 8]
                 ends.append(before)
             return state
 
-        path: list[list] = [[False, []]]
+        path: list[list[int]] = [[0]]
         last = b""
         for term in [*terms, b""]:
-            fork = 0
-            for fork, (x, y) in enumerate(zip(last, term)):  # noqa: B007
-                if x != y:
-                    break
-            else:
-                fork = min(len(last), len(term))
+            fork = len(os.path.commonprefix((last, term)))
             for depth in range(len(last), fork, -1):
-                state = close(*path.pop())
-                path[-1][1].append((last[depth - 1], state))
+                state = close(path.pop())
+                path[-1].append(state << 8 | last[depth - 1])
             if not term:
                 break
-            path += [[False, []] for _ in range(len(term) - fork)]
-            path[-1][0] = True
+            path += [[0] for _ in range(len(term) - fork)]
+            path[-1][0] = 1
             last = term
-        self.root = close(*path[0])
+        self.root = close(path[0])
         self.size = ends[self.root]
-        self.final = np.array(final)
+        self.final = np.array(final, dtype=bool)
         self.keys, self.to, self.out = (np.array(x, dtype=np.int64) for x in (keys, to, out))
         self._place()
 
@@ -151,18 +152,24 @@ def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
         names = ["part", "lang", "source", "packet", "size", "terms", "docs"]
 
         def out() -> Iterator[pa.RecordBatch]:
-            full = []
-            for (lang, source), texts in held.items():
+            """Rows of a part, few at once; what has been passed on is let go."""
+            while held:
+                (lang, source), texts = held.popitem()
                 whole, at = b" ".join(texts), 0
                 while True:
                     end = whole.find(b" ", at + PACKET)
                     end = len(whole) if end < 0 else end
-                    full.append((number, lang, source, press.compress(whole[at:end]), end - at, None, None))
+                    row = (number, lang, source, press.compress(whole[at:end]), end - at, None, None)
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
                     at = end + 1
                     if at >= len(whole):
                         break
-            full += [(number, lang, None, None, None, list(c.keys()), list(c.values())) for lang, c in seen.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*full), types)], names=names)
+            while seen:
+                lang, count = seen.popitem()
+                each = iter(count.items())
+                while some := list(islice(each, LISTED)):
+                    row = (number, lang, None, None, None, [t for t, _ in some], [n for _, n in some])
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -175,7 +182,7 @@ def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
                 size += len(line)
                 if size >= PART or len(count) >= TERMS:
                     yield from out()
-                    held, seen, size, number = {}, {}, 0, number + 1
+                    size, number = 0, number + 1
         if held:
             yield from out()
 
@@ -184,27 +191,25 @@ def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
 
 def _recounted(packets: pa.Table, terms: pa.Table) -> pa.Table:
     """Counts of a part's kept terms by language and source: its packets are read by a transducer of each language."""
-    by_lang: dict[str, list[tuple[bytes, int]]] = {}
-    for lang, term, ordinal in zip(*(terms.column(c).to_pylist() for c in ("of", "term", "ordinal"))):
-        by_lang.setdefault(lang, []).append((term, ordinal))
-    told: dict[tuple[str, str], np.ndarray] = {}
     unpress = zstandard.ZstdDecompressor()
-    machines = {}
-    for lang, pairs in by_lang.items():
-        pairs.sort()
-        machines[lang] = (Transducer([t for t, _ in pairs]), np.array([o for _, o in pairs], dtype=np.int64))
-    for lang, source, packet in zip(*(packets.column(c).to_pylist() for c in ("lang", "source", "packet"))):
-        if lang in machines:
-            machine = machines[lang][0]
-            counts = np.bincount(machine.ordinals(unpress.decompress(packet)), minlength=machine.size)
-            told[lang, source] = told.get((lang, source), 0) + counts
-    columns: tuple[list, list, list, list] = ([], [], [], [])
-    for (lang, source), counts in told.items():
-        some = np.flatnonzero(counts)
-        for column, values in zip(columns, ([lang] * len(some), [source] * len(some), machines[lang][1][some], counts[some])):
-            column.extend(values)
-    kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "source", "ordinal", "n"])
+    rows = []
+    # One language after the other, so one transducer is held at once.
+    for lang in terms.column("of").unique().to_pylist():
+        mine = terms.filter(pc.equal(terms.column("of"), lang)).sort_by("term")
+        machine, ordinals = Transducer(mine.column("term").to_pylist()), mine.column("ordinal").to_numpy()
+        texts = packets.filter(pc.equal(packets.column("lang"), lang))
+        told: dict[str, np.ndarray] = {}
+        for source, packet in zip(texts.column("source").to_pylist(), texts.column("packet")):
+            counts = np.bincount(machine.ordinals(unpress.decompress(packet.as_py())), minlength=machine.size)
+            told[source] = told.get(source, 0) + counts
+        for source, counts in told.items():
+            some = np.flatnonzero(counts)
+            names = [pa.repeat(pa.scalar(x), len(some)) for x in (lang, source)]
+            rows.append(pa.table([*names, pa.array(ordinals[some]), pa.array(counts[some])], names=COUNTS.names))
+    return pa.concat_tables([COUNTS.empty_table(), *rows]).combine_chunks()
+
+
+COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ordinal", pa.int64()), ("n", pa.int64())])
 
 
 def share(n: str, total: str, kept: str) -> Column:
@@ -283,7 +288,6 @@ def audited(
     )
     counts = materialise(counts, "audit-counts")
 
-    # One row for each language or source from here on, but for the counts.
     sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("kept"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = texts.groupBy("lang", "source").agg(F.lit(1).cast("long").alias("one"))
@@ -291,25 +295,32 @@ def audited(
     groups = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").na.fill(0, ["total", "kept"])
     unseen = F.when(F.col("kept") > 0, share("0", "total", "kept"))
     block = F.floor(F.col("place") / BLOCK)
-    groups = materialise(groups.select("*", unseen.alias("none"), block.alias("block")).drop("one"), "audit-groups")
-
-    # A source may have a third of all rows, so its figures go to several places and its terms are dealt among them.
-    salts = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    salted = counts.withColumn("_salt", F.pmod(F.col("ordinal"), F.lit(SPREAD)).cast("int"))
+    groups = groups.select("*", unseen.alias("none"), block.alias("block")).drop("one")
+    # Sources stand in order of their languages, so a language has all blocks from its first to its last.
+    spans = groups.groupBy("lang").agg(F.min("block").alias("low"), F.max("block").alias("high"))
+    groups = materialise(groups.join(spans, "lang"), "audit-groups")
     shares = materialise(
-        salted.join(salts, ["lang", "source", "_salt"]).select(
-            "lang", "source", "place", "block", "none", "ordinal", share("n", "total", "kept").alias("p")
+        _with_figures(counts, groups, ["lang", "source"]).select(
+            "lang", "source", "place", "block", "low", "high", "none", "ordinal", share("n", "total", "kept").alias("p")
         ),
         "audit-shares",
     )
     return _terms(counts, shares, vocabulary, sizes, ranks).unionByName(_pairs(groups, shares))
 
 
+def _with_figures(rows: DataFrame, figures: DataFrame, key: list[str]) -> DataFrame:
+    """Join rows of terms with the figures of their source or language.
+
+    One may have a third of all rows, so its figures go to several places and its terms are dealt among them.
+    """
+    salts = figures.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return rows.withColumn("_salt", F.pmod(F.col("ordinal"), F.lit(SPREAD)).cast("int")).join(salts, [*key, "_salt"])
+
+
 def _terms(counts: DataFrame, shares: DataFrame, vocabulary: DataFrame, sizes: DataFrame, ranks: int) -> DataFrame:
     whole = counts.groupBy("lang", "ordinal").agg(F.sum("n").alias("n"))
     sums = whole.groupBy("lang").agg(F.sum("n").alias("total")).join(sizes, "lang")
-    # One row for each language; Spark broadcasts it if its size allows.
-    usual = whole.join(sums, "lang").select("ordinal", share("n", "total", "kept").alias("q"))
+    usual = _with_figures(whole, sums, ["lang"]).select("ordinal", share("n", "total", "kept").alias("q"))
     more = shares.join(usual, "ordinal").where("p > q").select("lang", "source", "ordinal", _distance("p", "q").alias("value"))
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "ordinal")
     top = more.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= ranks)
@@ -319,16 +330,16 @@ def _terms(counts: DataFrame, shares: DataFrame, vocabulary: DataFrame, sizes: D
 
 def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
     """All pairs of sources of a language, which the result has a row for; terms are compared by blocks, never in pairs."""
-    others = groups.select("lang", F.col("block").alias("other")).distinct()
-    at = shares.select("lang", F.floor(F.col("ordinal") / SLICE).alias("slice"), "place", "block", "ordinal", "p", "none")
+    at = ("lang", F.floor(F.col("ordinal") / SLICE).alias("slice"))
+    rows = shares.select(*at, "place", "block", "low", "high", "ordinal", "p", "none")
     # A source stands in each slice of its language, also where it has no term.
-    slices = at.select("lang", "slice").distinct()
+    slices = shares.select(*at).distinct()
     blank = groups.join(slices, "lang").select(
-        "lang", "slice", "place", "block", F.lit(-1).cast("long").alias("ordinal"), F.col("none").alias("p"), "none"
+        "lang", "slice", "place", "block", "low", "high", F.lit(-1).cast("long").alias("ordinal"), F.col("none").alias("p"), "none"
     )
     sides = (F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
     more = (
-        at.unionByName(blank).join(others, "lang")
+        rows.unionByName(blank).withColumn("other", F.explode(F.sequence("low", "high")))
         .select("lang", *sides, "slice", "place", "block", "ordinal", "p", "none")
         .groupBy("lang", "a", "b", "slice").applyInArrow(_blocks, "x long, y long, more long")
         .groupBy("x", "y").agg(F.sum("more").alias("more"))
