@@ -6,10 +6,11 @@ so no join below can meet a hot key.
 Two routes give the same rows:
 
 * ``upsert_actions`` / ``history_actions`` tell what happens to every row of the main table, from one
-  full outer join. They suit reports, and small tables.
+  full outer join. They suit frames that are not stored, each of which they evaluate once; ``merge`` is
+  this route.
 * ``matches`` -> ``changes`` -> ``replaced`` find what changed with an inner join and put it in place.
   Where the main table is in buckets of its key, as in the store, no row of it moves, whatever the size
-  of the batch, and only the parts that hold a change are rewritten. ``merge`` is this route in one.
+  of the batch, and only the parts that hold a change are rewritten.
 """
 
 from __future__ import annotations
@@ -176,6 +177,10 @@ def upsert_history(spec: TableSpec, main: DataFrame, daily: DataFrame, batch: Ba
     return history_actions(spec, main, daily, batch).drop("action")
 
 
+def merge(spec: TableSpec, main: DataFrame, daily: DataFrame, batch: Batch) -> DataFrame:
+    return (upsert_history if spec.history else upsert)(spec, main, daily, batch)
+
+
 def action_counts(actions: DataFrame) -> DataFrame:
     """One row: rows updated (closed or replaced), inserted (opened) and left as they were."""
     action = F.col("action")
@@ -300,15 +305,3 @@ def replaced(spec: TableSpec, rows: DataFrame, changed: DataFrame) -> DataFrame:
     old = rows.select(*spec.key, F.struct(*names).alias("_old"))
     both = old.join(new, list(spec.key), "full_outer")
     return both.select(F.coalesce("_new", "_old").alias("r")).select("r.*")
-
-
-def merge(spec: TableSpec, main: DataFrame, daily: DataFrame, batch: Batch) -> DataFrame:
-    """The main table after a batch, as the store would hold it."""
-    now = current(main) if spec.history else main
-    changed = changes(spec, matches(spec, now, daily), daily, batch)
-    merged = replaced(spec, now, changed)
-    if not spec.history:
-        return merged
-    names = _main_names(spec)
-    past = main.filter("not is_valid").unionByName(ended(changed).select(*names))
-    return merged.unionByName(past.select(*names))

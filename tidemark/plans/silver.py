@@ -123,19 +123,18 @@ def merge_batch(lake: Lake, spec: TableSpec, batch: Batch, verify: bool = True)
     """
     held = lake.manifest(spec)
     merged = _merge_into(lake, spec, batch, held, verify) if held.number else _first_load(
-        lake, spec, batch, held
+        lake, spec, batch
     )
     log.info("%s: updated %d, inserted %d", spec.name, merged.updated, merged.inserted)
     return merged
 
 
-def _first_load(lake: Lake, spec: TableSpec, batch: Batch, held: Manifest) -> Merged:
+def _first_load(lake: Lake, spec: TableSpec, batch: Batch) -> Merged:
     """Write the first batch straight to the main table."""
     started = batch.clock()
+    held = lake.begun(spec, lake.daily(spec, batch.ingestion_id).count())
     rows = merge.first_rows(spec, _batch_rows(lake, spec, batch), batch)
-    new = lake.rewrite(
-        spec, lambda part: False, lambda none: lake.dealt(spec, rows, held), held, batch.ingestion_id
-    )
+    new = lake.rewrite(spec, lambda part: False, lambda none: rows, held, batch.ingestion_id)
     seconds = batch.clock() - started
     return Merged(0, new.rows, new.rows, 0.0, seconds, {p.month for p in new.parts})
 

@@ -45,6 +45,8 @@ WHOLE = "all"
 CURRENT, CLOSED = "current", "closed"
 # Where versions are known by name, and how many parts are named to the catalog at once.
 DATABASE, NAMED = "tidemark_versions", 500
+# Rows of a bucket of a small first batch, which gets a few buckets at most, and of a large one.
+SMALL, FEW, LARGE = 1 << 17, 8, 1 << 23
 PLACE = "version string, state string, month string, slot int"
 
 QUARANTINE = (
@@ -107,10 +109,12 @@ class Lake:
     """Reads and writes the layers of one root folder.
 
     ``buckets`` is how many parts by key each folder of a new main table gets; a table keeps the number
-    it began with. A task of a merge holds one bucket's changed rows, so large tables want many.
+    it began with. Without it the rows of the first batch decide, which suits tables that grow little.
+    A task of a merge holds one bucket of the parts it rewrites, so a table that will grow to terabytes
+    wants some thousands from the start.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 8):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.files = Files(spark)
@@ -217,8 +221,13 @@ class Lake:
                 continue  # being written just now
             if before is None or held.maker != before:
                 return held
+        return Manifest(0, (), spec.slots, spec.slots)
+
+    def begun(self, spec: TableSpec, rows: int) -> Manifest:
+        """What a main table starts from whose first batch has so many rows."""
+        wanted = self.buckets or max(min(FEW, rows // SMALL), rows // LARGE, 1)
         # Every bucket lies in one slot.
-        return Manifest(0, (), -(-self.buckets // spec.slots) * spec.slots, spec.slots)
+        return Manifest(0, (), -(-wanted // spec.slots) * spec.slots, spec.slots)
 
     def named(self, spec: TableSpec, held: Manifest) -> str:
         """The catalog table over the parts of a version. Whoever reads it first makes it."""
@@ -312,6 +321,9 @@ class Lake:
             self.month(spec).alias("month"),
             self.slot(spec, held.slots).alias("slot"),
         )
+        if sum(p.rows for p in held.parts if touched(p)) < LARGE:
+            # So few rows are dealt out anew by the files that they go to: a task writes a file at a time.
+            rows = rows.withColumn("_file", self.slot(spec, held.buckets)).hint("rebalance", "month", "_file").drop("_file")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
         # Buckets can be written by a table name only; the name goes again, the files stay.
         name = f"{DATABASE}.writing_{attempt}"
