@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, materialise, row_key, table
@@ -255,9 +255,8 @@ def kept_rows(docs: DataFrame, first: DataFrame, doc_id: str, text: str) -> Data
     stays = stays.select(F.coalesce(F.col("stay").cast("string"), F.lit("")).alias("_id"), F.col("text_hash").alias("_text"))
     key = row_key(doc_id, text)
     inner = docs.select(F.struct("*").alias("row"), key[0].alias("_id"), key[1].alias("_text"))
-    joined = inner.join(stays, ["_id", "_text"])
-    once = Window.partitionBy("_id", "_text").orderBy(F.lit(0))
-    return joined.withColumn("_n", F.row_number().over(once)).where("_n = 1").select("row.*")
+    # Rows that agree in id and text are one per task before they are dealt out, however many they are.
+    return inner.dropDuplicates(["_id", "_text"]).join(stays, ["_id", "_text"], "left_semi").select("row.*")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
