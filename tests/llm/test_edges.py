@@ -77,7 +77,7 @@ def test_every_stage_takes_such_rows_and_none(spark, docs, none):
 
 
 def test_clashing_columns(docs):
-    clash = docs.selectExpr("*", "1 AS kept", "2 AS _words", "3 AS ids", "4 AS n_removed", "5 AS id", "6 AS row", "7 AS _id", "8 AS key", "9 AS size", "'x' AS score", "10 AS before", "11 AS labels", "12 AS runs", "13 AS collapsed", "14 AS _text_", "15 AS pii", "16 AS _found_")
+    clash = docs.selectExpr("*", "1 AS kept", "2 AS _words", "3 AS ids", "4 AS n_removed", "5 AS id", "6 AS row", "7 AS _id", "8 AS key", "9 AS size", "'x' AS score", "10 AS before", "11 AS labels", "12 AS runs", "13 AS collapsed", "14 AS _text_", "15 AS pii", "16 AS _found_", "17 AS _s")
     for name, out, whole in every(clash):
         columns = [c.lower() for c in out.columns]
         assert len(columns) == len(set(columns)), name

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import fresh, table
 
 #: Phrases that decide a label by themselves.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -201,21 +201,23 @@ def scanned(docs: DataFrame, automaton: Automaton, text: str = "text") -> DataFr
     """Each row of ``docs`` without its text, and the columns of FIELDS, which replace any of the same name.
 
     ``score`` is the largest share of a notice that a chain of matches covers, one where a phrase stands whole. Null and
-    empty texts have no words, no labels and score zero; rows that repeat get equal values. Every task has the
+    empty texts have no words, no labels and score zero; rows that repeat get equal values; an empty table gives an empty
+    result. Every task has the
     automaton, whose size is that of the notices, and reads whole texts, a few at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
     names = [f.split()[0] for f in FIELDS.split(", ")]
     kept = [F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in names]
-    rows = docs.select(*kept, F.col(text).cast("binary").alias("_text_"))
-    schema = rows.drop("_text_").schema
+    (whole,) = fresh(docs, "_text_")
+    rows = docs.select(*kept, F.col(text).cast("binary").alias(whole))
+    schema = rows.drop(whole).schema
     for field in FIELDS.split(", "):
         schema = schema.add(*field.split())
 
     def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = shared.value
         for batch in batches:
-            texts = batch.pop("_text_")
+            texts = batch.pop(whole)
             for at in range(0, max(1, len(batch)), ROWS):
                 part = batch.iloc[at : at + ROWS].reset_index(drop=True)
                 found = [judge(automaton, t) for t in texts.iloc[at : at + ROWS]]

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, materialise, table
+from tidemark.llm.common import fresh, lower_ascii, materialise, table
 
 #: (host and path, verdict). A rule fits its host and all subdomains where the path starts with the rule's.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -155,16 +155,18 @@ def judged(pages: DataFrame, rules=RULES, rejected=REJECTED, url: str = "url") -
     Where no rule fits, a URL is blocked if its score is above the threshold. Strings are host and path, digits as
     zeros, so pages of one host are few strings. Two models are learnt from four fifths of the strings of examples, the
     threshold from the rest. Null URLs and those without ``://`` have an empty host and path, score zero, and are
-    allowed, as all are if there are no examples of either kind. Rows that repeat are judged alike; none is dropped.
+    allowed, as all are if there are no examples of either kind. Rows that repeat are judged alike; none is dropped. An
+    empty table gives an empty result.
     """
     host, path = parsed(F.col(url))
     own = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict", "score")]
+    (whole,) = fresh(pages, "_s")
     rows = pages.select(*own, host.alias("host"), path.alias("path"))
     zeros = F.translate(F.concat("host", F.lower("path")), "123456789", "000000000")
-    rows = rows.withColumn("_s", F.when(zeros != "", F.concat(F.lit(START), zeros, F.lit(START))))
+    rows = rows.withColumn(whole, F.when(zeros != "", F.concat(F.lit(START), zeros, F.lit(START))))
     seed = F.arrays_overlap(F.split("host", "[.-]"), F.array(*map(F.lit, rejected)))
     strings = materialise(
-        rows.where("_s is not null").groupBy(F.col("_s").alias("s")).agg(F.count("*").alias("n"), F.bool_or(seed).alias("rejected")),
+        rows.where(F.col(whole).isNotNull()).groupBy(F.col(whole).alias("s")).agg(F.count("*").alias("n"), F.bool_or(seed).alias("rejected")),
         "url-strings",
     )
     held = F.pmod(F.xxhash64("s"), F.lit(FOLDS)) == 0
@@ -176,7 +178,7 @@ def judged(pages: DataFrame, rules=RULES, rejected=REJECTED, url: str = "url") -
     fits, verdict = ruled(F.col("host"), F.col("path"), rules)
     score = F.coalesce("score", F.lit(0.0))
     over = (score > limit) if limit is not None else F.lit(False)
-    out = rows.join(scores.select(F.col("s").alias("_s"), "score"), "_s", "left").drop("_s")
+    out = rows.join(scores.select(F.col("s").alias(whole), "score"), whole, "left").drop(whole)
     return out.withColumns(
         {
             "rule": fits,
