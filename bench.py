@@ -13,11 +13,13 @@ import json
 import os
 import time
 
+from pyspark.sql import functions as F
+
 from tidemark.operators.generate import feed
 from tidemark.plans.bronze import ingest
 from tidemark.plans.queries import build
 from tidemark.plans.run import refine_all
-from tidemark.retail import RETAIL
+from tidemark.retail import CUSTOMERS, ORDERS, RETAIL
 from tidemark.session import build_session
 from tidemark.sources.derived_feed import FIRST, SECOND, frame
 from tidemark.sources.export import write_landing
@@ -80,7 +82,7 @@ def bench_runs(spark) -> tuple[dict[str, float], int, dict[str, float]]:
     return seconds, sum(lake.bronze(s).count() for s in RETAIL.values()), per_table
 
 
-def bench_generated(spark) -> tuple[dict[str, float], int]:
+def bench_generated(spark) -> tuple[dict[str, float], int, dict[str, float]]:
     """One larger run on generated landing files, all tables at once."""
     root = scratch(spark, "bench")
     landing = f"{root}/landing"
@@ -93,7 +95,25 @@ def bench_generated(spark) -> tuple[dict[str, float], int]:
         "generated_landing_to_bronze": timed(lambda: ingest(lake, landing, batch)),
         "generated_bronze_to_silver": timed(lambda: refine_all(lake, batch, parallel=True)),
     }
-    return seconds, sum(lake.bronze_daily(s, 1).count() for s in RETAIL.values())
+    rows = sum(lake.bronze_daily(s, 1).count() for s in RETAIL.values())
+    return seconds, rows, merge_a_hundredth(lake, tables, f"{root}/landing_2")
+
+
+def merge_a_hundredth(lake, tables, landing: str) -> dict[str, float]:
+    """Changes of one row in a hundred, merged into main tables a hundred times as large."""
+    chosen = {s.name: s for s in (ORDERS, CUSTOMERS)}
+    for spec, column in ((ORDERS, "status"), (CUSTOMERS, "name")):
+        some = tables[spec.name].filter(F.pmod(F.xxhash64(spec.key[0]), F.lit(100)) == 0)
+        write_landing(spec, some.withColumn(column, F.lit("changed")), landing)
+    batch = Batch.at(2, dt.datetime(2026, 1, 2))
+    ingest(lake, landing, batch, chosen)
+    merged = {}
+    seconds = timed(lambda: merged.update(refine_all(lake, batch, chosen, parallel=True)))
+    return {
+        "seconds": seconds,
+        "changed_rows": sum(m.updated + m.inserted for m in merged.values()),
+        "main_rows": sum(m.main_rows for m in merged.values()),
+    }
 
 
 def main() -> None:
@@ -110,7 +130,7 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()
     queries = bench_queries(spark)
     runs, rows, per_table = bench_runs(spark)
-    generated, generated_rows = bench_generated(spark)
+    generated, generated_rows, hundredth = bench_generated(spark)
     silver = sum(s for name, s in runs.items() if name.endswith("_to_silver"))
     every = queries | runs | generated
     print(
@@ -126,6 +146,7 @@ def main() -> None:
                 "bronze_to_silver_rows_per_sec": round(rows / silver),
                 "logged_table_seconds": per_table,
                 "generated_rows": generated_rows,
+                "merge_of_one_percent": hundredth,
                 "generated_bronze_to_silver_rows_per_sec": round(
                     generated_rows / generated["generated_bronze_to_silver"]
                 ),
