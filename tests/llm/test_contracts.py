@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -190,8 +191,6 @@ def test_lm_automaton_is_the_backoff_model(spark):
     c1 = Counter(t for w in train for t in w)
     c2 = {k: n for k, n in Counter(p for w in train for p in zip(w, w[1:])).items() if n >= lm.LEAST}
     c3 = {k: n for k, n in Counter(p for w in train for p in zip(w, w[1:], w[2:])).items() if n >= lm.LEAST}
-    # Words seen once are in no n-gram that counts.
-    assert sum(n >= lm.LEAST for n in c1.values()) < lm.MODEL_WORDS and max(len(c2), len(c3)) < lm.ARCS
     n, v, d = sum(c1.values()), len(c1), lm.DISCOUNT
     rest2, rest3 = Counter(), Counter()
     for (a, _), c in c2.items():
@@ -214,31 +213,39 @@ def test_lm_automaton_is_the_backoff_model(spark):
         assert found[i]["score"] == pytest.approx(want, rel=1e-6)
 
 
-def test_lm_joins_score_as_the_whole_automaton(spark, monkeypatch):
-    """Bounds far below what the table holds change nothing."""
+def test_lm_parts_and_buckets_change_no_score(spark):
+    """Texts cut every 40 tokens, and n-grams spread over many buckets."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60).cache()
     want = {r["id"]: r for r in lm.scored(docs).collect()}
-    monkeypatch.setattr(lm, "ARCS", 50)
-    monkeypatch.setattr(lm, "HEAD", 100)
-    found = {r["id"]: r for r in lm.scored(docs).collect()}
+    found = {r["id"]: r for r in lm.scored(docs, part=40, bucket=500).collect()}
     assert set(found) == set(want) and any(abs(r["score"] - r["base_score"]) > 1 for r in want.values())
     for i, r in want.items():
         assert tuple(found[i])[:5] == tuple(r)[:5]
         assert found[i]["base_score"] == pytest.approx(r["base_score"], rel=1e-9) and found[i]["score"] == pytest.approx(r["score"], rel=1e-9)
 
 
+@pytest.mark.parametrize("order", [1, 2])
+def test_lm_of_lower_orders(spark, order):
+    docs = spark.createDataFrame([(i, "a b a b c " * (i + 1)) for i in range(9)], "doc_id long, text string")
+    rows = lm.scored(docs, order=order).collect()
+    assert len(rows) == 9 and all((r["score"] == pytest.approx(r["base_score"])) == (order == 1) for r in rows)
+
+
+def test_lm_packing():
+    keys = np.array([0, 1, 1 << 20, 1 << 62], np.int64)
+    assert (lm.unpacked_sorted(lm.packed_sorted(keys)) == keys).all() and (lm.unpacked(lm.packed(-keys)) == -keys).all()
+    assert not len(lm.unpacked(lm.packed(keys[:0])))
+
+
 def test_lm_probabilities_add_up_to_one():
-    words = [b"a", b"b", b"c", lm.END]
-    vocabulary = lm.Vocabulary(words, [6, 4, 3, 2], 15, 4)
-    w = lm.MODEL_WORDS
-    automaton = lm.Automaton(vocabulary, {0 * w + 1: 3, 0 * w + 0: 2, 1 * w + 2: 2}, {(0 * w + 1) * w + 2: 2})
-    base = vocabulary.base.tolist()
-    unknown = 0.5 / (15 + 0.5 * 5)
+    ids, shift, none = np.array([0, 1, 2, 3, -1]), lm.BITS, np.zeros(0, np.int64)
+    # Words a b c, the end, and one that is unknown; known are a a, a b, b c and a b c.
+    pairs = [np.array([0, 1, 1 << shift | 2]), np.array([2, 3, 2]), np.array([7, 5, 9]), np.array([0, 2, 0]), np.array([0, 1, 0])]
+    triples = [np.array([5 << shift | 2]), np.array([2]), np.array([0]), none, none]
+    unit = SimpleNamespace(ids=ids, counts=np.array([6, 4, 3, 2, 0]), sums=np.array([5, 2, 0, 0, 0]), kinds=np.array([2, 1, 0, 0, 0]), grams=[pairs, triples])
+    automaton = lm.Automaton(unit, 15, 4)
     for before in ([], [0], [1], [0, 1], [2]):
-        start = automaton.score(before, base)
-        each = [10 ** (automaton.score([*before, i], base) - start) for i in range(4)]
-        # A token outside the head: failure arcs, then its own probability.
-        each.append(10 ** (automaton.score([*before, -1], base) - start) * unknown)
+        each = [10 ** automaton.score([*before, i], len(before)) for i in range(5)]
         assert sum(each) == pytest.approx(1.0)
 
 

@@ -1,16 +1,21 @@
-"""LM scoring with a weighted backoff automaton over the n-grams of the training documents."""
+"""LM scoring with a weighted backoff automaton over the n-grams of the training documents.
+
+Texts are cut into parts of bounded size. Each part sends its distinct n-grams, packed, to buckets that add up the counts of
+all parts and send back those that are known. A part's texts are then read through the automaton of the n-grams that they
+hold, which is all of the whole automaton that they can reach.
+"""
 
 from __future__ import annotations
 
-import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,19 +25,21 @@ from tidemark.llm.common import materialise, table
 FOLDS, HELD_OUT = 5, 1
 #: The token that ends each text. No word holds it.
 END = b"\n"
-#: Tokens that every task has in memory; the counts of all others are joined.
-HEAD = 1 << 18
-#: The automaton has n-grams of so many words, of orders two and three, and so many of each as arcs. Tables with more are
-#: scored by joins, and so many of the most frequent n-grams are then only a cache of the joined table.
-MODEL_WORDS, ARCS, ORDER = 1 << 14, 200_000, 3
+#: Words of the longest n-grams.
+ORDER = 3
 #: n-grams seen less often have no arc, and what an arc gives up for those that have none.
 LEAST, DISCOUNT = 2, 0.5
-#: Tokens, and n-grams, that a task counts before it passes them on.
-COUNTED, GRAMS = 300_000, 1 << 21
+#: Tokens of a part, longer texts are cut, and the training tokens for which there is one bucket of n-grams.
+PART, BUCKET = 1 << 19, 1 << 20
+#: Bits of a word's id; an n-gram is the id of its beginning and that of its last word in one number.
+BITS = 31
 ROWS = 500
 ROOT = 0
-#: Bits of the filter of known n-grams of one order: it lets all of them pass, and fewer others the more bits it has.
-BLOOM = 1 << 24
+#: Kinds of rows that a part is made of, and the row of a bucket with what n-grams that begin alike add up to.
+TEXT, WORDS, PAIRS, TRIPLES, SUMS = range(5)
+ROW = "part long, kind int, row long, held_out boolean, lead int, a binary, b binary, c binary, d binary, e binary"
+FIELDS = [f.split()[0] for f in ROW.split(", ")]
+RUN = "bucket long, part long, keys binary, times binary"
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -45,92 +52,249 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    found: Counter[bytes] = Counter()
-    out = lambda: pd.DataFrame({"word": list(found.keys()), "n": list(found.values())})
-    for batch in batches:
-        for text in batch["text"]:
-            found.update(tokens(text))
-            if len(found) >= COUNTED:
-                yield out()
-                found.clear()
-    yield out()
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers of 64 bits as compressed byte planes: small numbers take little room."""
+    planes = np.ascontiguousarray(numbers, np.int64).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(1).compress(planes.tobytes())
 
 
-def token_counts(texts: DataFrame) -> DataFrame:
-    """(word, c) of all tokens of ``texts`` (column text, binary), added up in each task first."""
-    parts = texts.select("text").mapInPandas(_counted, "word binary, n long")
-    return parts.groupBy("word").agg(F.sum("n").alias("c"))
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
 
 
-def most_frequent(counts: DataFrame, key: str, count: str, most: int) -> DataFrame:
-    """Rows with the highest counts, at most ``most``: those at or above a count that a histogram of counts gives.
+def packed_sorted(keys: np.ndarray) -> bytes:
+    return packed(np.diff(keys, prepend=0))
 
-    The histogram has sixteen bins for each doubling, so it is small whatever the table holds.
-    """
-    step = F.floor(F.log2(count) * 16).cast("int")
-    bins = counts.groupBy(step.alias("bin")).count().collect()
-    total, least = 0, 1 << 30
-    for bin_, n in sorted(((r["bin"], r["count"]) for r in bins), reverse=True):
-        total += n
-        if total > most:
-            break
-        least = bin_
-    return counts.where(step >= least).select(key, count)
 
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data))
 
-class Vocabulary:
-    """Ids of the head of the vocabulary, the most frequent token first, and the smoothed log10 of each."""
 
-    def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int):
-        self.words, self.counts = words, np.array(counts, dtype=np.int64)
-        self.total, self.distinct = total, distinct
-        self.base = np.log10((self.counts + 0.5) / (total + 0.5 * (distinct + 1)))
+def found_in(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of ``wanted`` in the sorted ``keys``, minus one for those that aren't there."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
 
-    @property
-    def ids(self) -> dict[bytes, int]:
-        if "_ids" not in self.__dict__:
-            self._ids = {w: i for i, w in enumerate(self.words)}
-        return self._ids
 
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_ids"}
+def parts(rows: DataFrame, most: int = PART) -> DataFrame:
+    """Cut (id, held_out, text) into parts: rows with the codes of a text, and a row with the words of each part.
 
+    A word's code is its place among the words of its part, whose ``times`` count the training tokens. A text longer than a part
+    goes on in the next one, after a lead: its last tokens before, as context.
+    """
+    schema = T.StructType.fromDDL("part long, row long, held_out boolean, lead int, codes binary, words array<binary>, times array<long>")
+    schema = T.StructType([rows.schema["id"], *schema])
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = row = TaskContext.get().partitionId() << 32
+        ids: defaultdict[bytes, int] = defaultdict()
+        ids.default_factory = ids.__len__
+        trained: list[np.ndarray] = []
+        size, kind = 0, None
+
+        def rows_of(id_: pa.Array, found: list[tuple]) -> pa.RecordBatch:
+            columns = [pa.array(x, t) for x, t in zip(zip(*found), types)]
+            return pa.RecordBatch.from_arrays([id_, *columns], names=schema.names)
+
+        def words_of() -> pa.RecordBatch:
+            codes = np.concatenate([np.zeros(0, np.int64), *trained])
+            times = np.bincount(codes, minlength=len(ids)).tolist()
+            return rows_of(pa.nulls(1, kind), [(part, 0, None, 0, None, list(ids), times)])
 
-def grams(texts: DataFrame, vocabulary: Vocabulary, order: int, lower: np.ndarray | None) -> DataFrame:
-    """(gram, c): counts of runs of ``order`` model words, as numbers with one digit for each word.
+        for whole in batches:
+            kind = whole.column(0).type
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                taken, found = [], []
+                for i, (held, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                    words = tokens(text)
+                    row += 1
+                    for begin in range(0, len(words), most):
+                        lead = min(ORDER - 1, begin)
+                        here = words[begin - lead : begin + most]
+                        if size and size + len(here) > most:
+                            yield words_of()
+                            part, size = part + 1, 0
+                            ids.clear()
+                            trained.clear()
+                        codes = np.fromiter((ids[w] for w in here), np.int64, len(here))
+                        if not held:
+                            trained.append(codes[lead:].copy())
+                        size += len(here)
+                        taken.append(i)
+                        found.append((part, row, held, lead, packed(codes), None, None))
+                yield rows_of(batch.column(0).take(pa.array(taken, pa.int64())), found)
+        if size:
+            yield words_of()
+
+    return rows.select("id", "held_out", "text").mapInArrow(cut, schema)
+
+
+def numbered(df: DataFrame, purpose: str, name: str) -> DataFrame:
+    """Add ``name``: numbers from 0 without gaps. What is broadcast is a row for each partition."""
+    written = materialise(df.withColumn("_m", F.monotonically_increasing_id()), purpose)
+    split = F.shiftright("_m", 33)
+    sizes = written.groupBy(split.alias("_p")).agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
+    return written.withColumn("_p", split).join(F.broadcast(offsets), "_p").withColumn(name, inside + F.col("_before")).drop("_m", "_p", "_before")
+
+
+def _row(part: int, kind: int, **blobs: bytes) -> dict:
+    return {"part": part, "kind": kind, "row": 0, "held_out": False, "lead": 0} | {c: blobs.get(c, b"") for c in "abcde"}
+
+
+def _frame(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=FIELDS)
+
+
+def word_rows(mine: DataFrame, tasks: int) -> DataFrame:
+    """(part, local, id, c, s, k) to a row for each part: columns a to d hold the others in the order of ``local``."""
+
+    def pack(words: pd.DataFrame) -> pd.DataFrame:
+        words = words.sort_values("local")
+        blobs = {to: packed(words[c].to_numpy()) for to, c in zip("abcd", ("id", "c", "s", "k"))}
+        return _frame([_row(int(words["part"].iloc[0]), WORDS, **blobs)])
+
+    return mine.repartition(tasks, "part").groupBy("part").applyInPandas(pack, ROW)
+
+
+class Unit:
+    """A part's rows of all kinds, unpacked: texts, ids and counts of its words, and its known n-grams."""
+
+    def __init__(self, rows: pd.DataFrame):
+        kinds = {kind: frame for kind, frame in rows.groupby("kind")}
+        self.part = int(rows["part"].iloc[0])
+        texts = kinds.get(TEXT, rows.iloc[:0])
+        self.texts = [(r.row, r.held_out, r.lead, unpacked(r.a)) for r in texts.itertuples()]
+        self.ids, self.counts, self.sums, self.kinds = (unpacked(kinds[WORDS][c].iloc[0]) for c in "abcd")
+        self.grams = [self._joined(kinds.get(kind)) for kind in (PAIRS, TRIPLES)]
+
+    @staticmethod
+    def _joined(rows: pd.DataFrame | None) -> list[np.ndarray]:
+        """Keys, counts, ids, sums and numbers of longer n-grams, of all buckets, by key."""
+        if rows is None:
+            return [np.zeros(0, np.int64)] * 5
+        columns = [np.concatenate([unpacked_sorted(x) for x in rows["a"]])]
+        for c in "bcde":
+            columns.append(np.concatenate([unpacked(x) if x else np.zeros(0, np.int64) for x in rows[c]]))
+        if not len(columns[4]):
+            columns[3] = columns[4] = np.zeros_like(columns[0])
+        by_key = np.argsort(columns[0])
+        return [c[by_key] for c in columns]
+
+    def keys(self, codes: np.ndarray, order: int) -> np.ndarray:
+        """The n-grams that end at each token from the second, or third, on; minus one where none can be known."""
+        ids = self.ids[codes]
+        pairs = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] << BITS | ids[1:], -1)
+        if order == 2:
+            return pairs
+        at = found_in(self.grams[0][0], pairs)
+        begin = self.grams[0][2][at] if len(self.grams[0][2]) else at
+        return np.where((at[:-1] >= 0) & (at[1:] >= 0), begin[:-1] << BITS | ids[2:], -1)
+
+
+def gram_runs(units: DataFrame, order: int, buckets: int, tasks: int) -> DataFrame:
+    """(bucket, part, keys, times): the distinct n-grams of each part, and how often its training texts hold them."""
+
+    def runs(rows: pd.DataFrame) -> pd.DataFrame:
+        unit = Unit(rows)
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        for _, held, lead, codes in unit.texts:
+            # n-grams are counted in the text's piece that holds their last word; those of a lead are only known.
+            ends = unit.keys(codes, order)
+            counted = (np.arange(len(ends)) >= lead - order + 1) & (not held)
+            keys.append(ends[ends >= 0])
+            counts.append(counted[ends >= 0])
+        keys, place = np.unique(np.concatenate(keys), return_inverse=True)
+        times = np.bincount(place, weights=np.concatenate(counts), minlength=len(keys)).astype(np.int64)
+        bucket = _bucket(keys, buckets)
+        by_bucket = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
+        each = [at for at in np.split(by_bucket, cuts) if len(at)]
+        found = [(int(bucket[at[0]]), unit.part, packed_sorted(keys[at]), packed(times[at])) for at in each]
+        return pd.DataFrame(found, columns=["bucket", "part", "keys", "times"])
+
+    return units.repartition(tasks, "part").groupBy("part").applyInPandas(runs, RUN)
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(20)).astype(np.int64) % buckets
+
+
+def known_grams(runs: DataFrame, order: int, buckets: int) -> DataFrame:
+    """Add up the runs of all parts. Rows for parts with the keys, counts and ids of the n-grams that are known of theirs,
+    and a row for each bucket with the ids of beginnings, and the counts and numbers of its n-grams that begin so."""
+    kind = PAIRS if order == 2 else TRIPLES
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(rows["bucket"].iloc[0])
+        held = [unpacked_sorted(k) for k in rows["keys"]]
+        keys, place = np.unique(np.concatenate(held), return_inverse=True)
+        times = np.bincount(place, weights=np.concatenate([unpacked(t) for t in rows["times"]])).astype(np.int64)
+        known = times >= LEAST
+        ids = (np.cumsum(known) - 1) * buckets + bucket
+        out, at = [], 0
+        for part, own in zip(rows["part"], held):
+            here = place[at : at + len(own)]
+            here, at = here[known[here]], at + len(own)
+            if len(here):
+                out.append(_row(part, kind, a=packed_sorted(keys[here]), b=packed(times[here]), c=packed(ids[here])))
+        begin, first = np.unique(keys[known] >> BITS, return_index=True)
+        if len(begin):
+            sums = np.add.reduceat(times[known], first)
+            out.append(_row(bucket, SUMS, a=packed_sorted(begin), b=packed(sums), c=packed(np.diff(first, append=int(known.sum())))))
+        return _frame(out)
+
+    return runs.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(merged, ROW)
+
+
+def beginnings(grams: DataFrame) -> DataFrame:
+    """(id, s, k): counts and number of the known n-grams that begin with the n-gram of an id."""
 
-    Of order three only those both of whose parts are in ``lower`` are counted: no other can be as frequent.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, lower))
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples():
+                yield pd.DataFrame({"id": unpacked_sorted(r.a), "s": unpacked(r.b), "k": unpacked(r.c)})
+
+    rows = grams.where(F.col("kind") == SUMS).select("a", "b", "c").mapInPandas(told, "id long, s long, k long")
+    return rows.groupBy("id").agg(F.sum("s").alias("s"), F.sum("k").alias("k"))
 
-    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, lower = shared.value
-        ids, held, count = vocabulary.ids, [], 0
 
-        def out() -> pd.DataFrame:
-            found, n = np.unique(np.concatenate(held or [np.zeros(0, np.int64)]), return_counts=True)
-            return pd.DataFrame({"gram": found, "n": n.astype(np.int64)})
+def with_beginnings(pairs: DataFrame, triples: DataFrame, buckets: int) -> DataFrame:
+    """The parts' rows of pairs with what the triples that begin with each add up to. Pairs know their bucket by their ids."""
+    added = beginnings(triples).select((F.col("id") % buckets).alias("bucket"), "id", "s", "k")
 
+    def pack(sums: pd.DataFrame) -> pd.DataFrame:
+        sums = sums.sort_values("id")
+        return pd.DataFrame([(int(sums["bucket"].iloc[0]), packed_sorted(sums["id"].to_numpy()), packed(sums["s"].to_numpy()), packed(sums["k"].to_numpy()))], columns=["bucket", "ids", "s", "k"])
+
+    packs = added.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(pack, "bucket long, ids binary, s binary, k binary")
+
+    def own_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"bucket": [int(unpacked(c)[0] % buckets) for c in batch["c"]]} | {f: batch[f] for f in FIELDS})
+
+    # One row for each bucket, far smaller than the parts' rows of it: sent to where they are.
+    rows = pairs.where(F.col("kind") == PAIRS).mapInPandas(own_bucket, f"bucket long, {ROW}").join(packs, "bucket", "left")
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for text in batch["text"]:
-                words = tokens(text)
-                found = np.fromiter((ids.get(w, MODEL_WORDS) for w in words), dtype=np.int64, count=len(words))
-                known = found < MODEL_WORDS
-                both, pairs = known[:-1] & known[1:], found[:-1] * MODEL_WORDS + found[1:]
-                if order == 3:
-                    at = np.minimum(np.searchsorted(lower, pairs), max(0, len(lower) - 1))
-                    both = both & (lower[at] == pairs) if len(lower) else both & False
-                    pairs, both = pairs[:-1] * MODEL_WORDS + found[2:], both[:-1] & both[1:]
-                held.append(pairs[both])
-                count += len(held[-1])
-                if count >= GRAMS:
-                    yield out()
-                    held, count = [], 0
-        yield out()
-
-    parts = texts.select("text").mapInPandas(coded, "gram long, n long")
-    return parts.groupBy("gram").agg(F.sum("n").alias("c")).where(F.col("c") >= LEAST)
+            for i, r in enumerate(batch.itertuples(index=False)):
+                own = unpacked(r.c)
+                d = e = np.zeros_like(own)
+                if r.ids is not None:
+                    at = found_in(unpacked_sorted(r.ids), own)
+                    d, e = (np.where(at >= 0, unpacked(x)[at], 0) for x in (r.s, r.k))
+                yield batch.iloc[i : i + 1][FIELDS].assign(d=[packed(d)], e=[packed(e)])
+
+    return rows.mapInPandas(fill, ROW)
 
 
 class Automaton:
@@ -139,303 +303,132 @@ class Automaton:
     Order two: P(w | v) = (c(v w) - D) / c(v) + rest(v) P(w) for arcs, rest(v) P(w) through the failure arc, where
     rest(v) is what the arcs of v leave of one. Order three is built on order two in the same way, so the
     probabilities of all tokens, one of them standing for all unknown ones, add up to one in each state.
+
+    Tokens are codes of a part's words. ``pairs`` and ``triples`` are (keys, counts, ids, sums, numbers), by key.
     """
 
-    def __init__(self, vocabulary: Vocabulary, pairs: dict[int, int], triples: dict[int, int]):
-        w = MODEL_WORDS
-        base = (10.0 ** vocabulary.base[:w]).tolist()
-        contexts = {k // w for k in pairs}
-        state = {v: i for i, v in enumerate(sorted(contexts), 1)}
-        wide = {k: i for i, k in enumerate(sorted({k // w for k in triples}), 1 + len(state))}
-        n = 1 + len(state) + len(wide)
-        rest, self.fail = [1.0] * n, [ROOT] * n
-        counts = vocabulary.counts.tolist()
-        for k, c in pairs.items():
-            rest[state[k // w]] -= (c - DISCOUNT) / counts[k // w]
-        for k, c in triples.items():
-            rest[wide[k // w]] -= (c - DISCOUNT) / pairs[k // w]
-        for k, i in wide.items():
-            self.fail[i] = state.get(k % w, ROOT)
-        rest = [max(r, 1e-12) for r in rest]
-        self.back = [math.log10(r) for r in rest]
-        self.start = [state.get(i, ROOT) for i in range(min(w, len(vocabulary.words)))]
-        second: dict[int, float] = {}
-        keys, to, weight = [], [], []
-        for k, c in pairs.items():
-            v, x = divmod(k, w)
-            second[k] = (c - DISCOUNT) / counts[v] + rest[state[v]] * base[x]
-            keys.append(state[v] << 18 | x)
-            to.append(wide.get(k, self.start[x]))
-            weight.append(math.log10(second[k]))
-        for k, c in triples.items():
-            x, high = k % w, k // w
-            pair = k % (w * w)
-            keys.append(wide[high] << 18 | x)
-            to.append(wide.get(pair, self.start[x]))
-            weight.append(math.log10((c - DISCOUNT) / pairs[high] + rest[wide[high]] * second[pair]))
-        self.keys, self.to, self.weight = np.array(keys, np.int64), np.array(to, np.int32), np.array(weight)
-
-    @property
-    def arcs(self) -> dict[int, tuple[int, float]]:
-        if "_arcs" not in self.__dict__:
-            self._arcs = dict(zip(self.keys.tolist(), zip(self.to.tolist(), self.weight.tolist())))
-        return self._arcs
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_arcs"}
-
-    def score(self, ids: list[int], base: list[float]) -> float:
-        """Read a text's ids from left to right. A token outside the head, minus one, adds its failure arcs only."""
-        get, fail, back, start = self.arcs.get, self.fail, self.back, self.start
-        last, total, state = len(start), 0.0, ROOT
-        for i in ids:
+    def __init__(self, unit: Unit, total: int, distinct: int):
+        (pairs, c2, ids2, s2, k2), (triples, c3, *_) = unit.grams
+        self.base = np.log10((unit.counts + 0.5) / (total + 0.5 * (distinct + 1)))
+        self.width = n = len(unit.ids)
+        one = 10.0**self.base
+        rest1 = self._rest(unit.counts, unit.sums, unit.kinds)
+        rest2 = self._rest(c2, s2, k2)
+        # Words are states 1 to n if something follows them; pairs likewise come behind.
+        start = np.where(unit.kinds > 0, np.arange(1, n + 1), ROOT)
+        by_id = np.argsort(unit.ids, kind="stable")
+        code = lambda ids: by_id[found_in(unit.ids[by_id], ids)]
+        mask = (1 << BITS) - 1
+        a, b = code(pairs >> BITS), code(pairs & mask)
+        second = (c2 - DISCOUNT) / unit.counts[a] + rest1[a] * one[b]
+        wide = np.where(k2 > 0, np.arange(n + 1, n + 1 + len(pairs)), ROOT)
+        to2 = np.where(wide > 0, wide, start[b])
+        by_gram = np.argsort(ids2, kind="stable")
+        high = by_gram[found_in(ids2[by_gram], triples >> BITS)]
+        x = code(triples & mask)
+        low = found_in(pairs, unit.ids[b[high]] << BITS | unit.ids[x])
+        third = (c3 - DISCOUNT) / c2[high] + rest2[high] * second[low]
+        keys = np.concatenate([(a + 1) * n + b, (high + n + 1) * n + x])
+        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
+        self.to = np.concatenate([to2, to2[low]]).tolist()
+        self.weight = np.log10(np.concatenate([second, third])).tolist()
+        self.back = np.log10(np.concatenate([[1.0], rest1, rest2])).tolist()
+        self.fail = np.concatenate([np.zeros(n + 1, np.int64), start[b]]).tolist()
+        self.start, self.first = start.tolist(), self.base.tolist()
+
+    @staticmethod
+    def _rest(counts: np.ndarray, sums: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        return np.maximum(1 - (sums - DISCOUNT * kinds) / np.maximum(counts, 1), 1e-12)
+
+    def score(self, codes: list[int], lead: int = 0) -> float:
+        """Read codes from left to right and add up what they weigh; the first ``lead`` of them only lead to a state."""
+        get, to, weight, fail, back, width = self.arcs.get, self.to, self.weight, self.fail, self.back, self.width
+        total, state, before = 0.0, ROOT, 0.0
+        for at, i in enumerate(codes):
+            if at == lead:
+                before = total
             while state:
-                arc = get(state << 18 | i) if i >= 0 else None
+                arc = get(state * width + i)
                 if arc is not None:
-                    state, weight = arc
-                    total += weight
+                    total += weight[arc]
+                    state = to[arc]
                     break
                 total += back[state]
                 state = fail[state]
             else:
-                if i >= 0:
-                    total += base[i]
-                    state = start[i] if i < last else ROOT
-        return total
-
-
-def scores(texts: DataFrame, vocabulary: Vocabulary, automaton: Automaton) -> DataFrame:
-    """Replace ``text`` by n_tokens, and of its head tokens n_known, base_score and score; the others come as lists."""
-    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, automaton))
-    names = [c for c in texts.columns if c != "text"]
-    schema = texts.select(*names).schema
-    for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
-        schema = schema.add(name, kind)
-    schema = schema.add("rare", T.ArrayType(T.BinaryType())).add("times", T.ArrayType(T.IntegerType()))
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, automaton = shared.value
-        ids, base = vocabulary.ids, vocabulary.base.tolist()
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                figures, rare, times, offsets = [], [], [], [0]
-                for text in batch.column(batch.num_columns - 1).to_pylist():
-                    words = tokens(text)
-                    found = [ids.get(w, -1) for w in words]
-                    head = np.array(found)
-                    head = head[head >= 0]
-                    if len(head) < len(found):
-                        left = Counter(w for w, i in zip(words, found) if i < 0)
-                        rare += left.keys()
-                        times += left.values()
-                    offsets.append(len(rare))
-                    figures.append((len(words), len(head), float(vocabulary.base[head].sum()), automaton.score(found, base)))
-                columns = [pa.array(x, t) for x, t in zip(zip(*figures), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-                ends = pa.array(offsets, pa.int32())
-                lists = [pa.ListArray.from_arrays(ends, pa.array(rare, pa.binary())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))]
-                kept = [batch.column(i) for i in range(len(names))]
-                yield pa.RecordBatch.from_arrays([*kept, *columns, *lists], names=[f.name for f in schema])
+                total += self.first[i]
+                state = self.start[i]
+        return total - before
 
-    return texts.select(*names, "text").mapInArrow(scored, schema)
 
+def part_scores(units: DataFrame, total: int, distinct: int, tasks: int) -> DataFrame:
+    """(row, n_tokens, n_known, base_score, score) of each text, or piece of one, of each part."""
 
-def _collected(rows: DataFrame) -> dict[int, int]:
-    """At most ARCS n-grams and their counts."""
-    return {r["gram"]: r["c"] for r in rows.toLocalIterator()}
+    def scored(rows: pd.DataFrame) -> pd.DataFrame:
+        unit = Unit(rows)
+        automaton = Automaton(unit, total, distinct)
+        out = []
+        for row, _, lead, codes in unit.texts:
+            own = codes[lead:]
+            out.append((row, len(own), int((unit.counts[own] > 0).sum()), float(automaton.base[own].sum()), automaton.score(codes.tolist(), lead)))
+        return pd.DataFrame(out, columns=["row", "n_tokens", "n_known", "base_score", "score"])
 
+    return units.repartition(tasks, "part").groupBy("part").applyInPandas(scored, "row long, n_tokens long, n_known long, base_score double, score double")
 
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of two."""
-    x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ b >> np.uint64(31)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ x >> np.uint64(32)
 
-
-def _keys(text: bytes | None) -> list[np.ndarray]:
-    """Hashes of a text's n-grams of orders one, two and three, at the places where they begin."""
-    words = tokens(text)
-    one = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), dtype=np.uint64, count=len(words))
-    two = _mixed(one[:-1], one[1:])
-    return [one, two, _mixed(two[:-1] + np.uint64(1), one[2:])]
-
-
-def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys & np.uint64(BLOOM - 1)
-    return bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1) > 0
-
-
-def _filter(known: DataFrame) -> np.ndarray:
-    """Bits of the keys of a table, or-ed in Spark: BLOOM / 64 words at most, whatever the table holds."""
-    at = F.col("key").bitwiseAND(F.lit(BLOOM - 1))
-    bit = F.expr("shiftleft(1L, cast(at & 63 AS int))")
-    found = known.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("i")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(BLOOM // 64, dtype=np.uint64)
-    out[found["i"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return out
-
-
-def gram_counts(texts: DataFrame, order: int, bits: np.ndarray | None = None) -> DataFrame:
-    """(key, ctx, low, c) of all n-grams of one order: hashes of it, without its last word, and without its first.
-
-    With ``bits`` only n-grams both of whose parts pass are counted: no other can be as frequent as LEAST.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, count = [], 0
-
-        def out() -> pd.DataFrame:
-            full = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.uint64)
-            key, at, n = np.unique(full[0], return_index=True, return_counts=True)
-            return pd.DataFrame({"key": key.view(np.int64), "ctx": full[1][at].view(np.int64), "low": full[2][at].view(np.int64), "n": n})
-
-        for batch in batches:
-            for text in batch["text"]:
-                keys = _keys(text)
-                here, parts = keys[order - 1], keys[order - 2]
-                full = np.stack([here, here, here] if order == 1 else [here, parts[:-1], parts[1:]])
-                if shared.value is not None:
-                    full = full[:, _passes(shared.value, full[1]) & _passes(shared.value, full[2])]
-                held.append(full)
-                count += full.shape[1]
-                if count >= GRAMS:
-                    yield out()
-                    held, count = [], 0
-        yield out()
-
-    parts = texts.select("text").mapInPandas(counted, "key long, ctx long, low long, n long")
-    return parts.groupBy("key").agg(F.min("ctx").alias("ctx"), F.min("low").alias("low"), F.sum("n").alias("c"))
-
-
-def _joined_scores(rows: DataFrame, order: int, total: int, distinct: int) -> DataFrame:
-    """The scores of the whole model, without a bound on its words and n-grams: what n-grams add is joined to their places.
-
-    With rest and P as in the automaton, a text's score is a sum over its n-grams: log P(w) + log rest(w) for each word,
-    log P(w | v) - log rest(v) - log P(w) + log rest(v w) for each known pair, log P(w | u v) - log rest(u v) - log P(w | v)
-    for each known triple. Unknown ones add nothing. n-grams are told apart by 64-bit hashes.
-    """
-    spark = rows.sparkSession
-    training = rows.where(~F.col("held_out"))
-    whole = float(total + 0.5 * (distinct + 1))
-    unknown = math.log10(0.5 / whole)
-    one = materialise(gram_counts(training, 1).select("key", "c", ((F.col("c") + 0.5) / whole).alias("p")), "lm-known-1")
-    levels, filters = [one], [None]
-    rests = []
-    for n in range(2, order + 1):
-        known = materialise(gram_counts(training, n, filters[-1]).where(F.col("c") >= LEAST), f"lm-known-{n}")
-        sums = known.groupBy("ctx").agg(F.sum(F.col("c") - DISCOUNT).alias("gone"))
-        upper = levels[-1].select(F.col("key").alias("ctx"), F.col("c").alias("all"))
-        left = F.greatest(1 - F.col("gone") / F.col("all"), F.lit(1e-12))
-        rest = materialise(sums.join(upper, "ctx").select("ctx", "all", left.alias("rest")), f"lm-rest-{n}")
-        lower = levels[-1].select(F.col("key").alias("low"), F.col("p").alias("pl"))
-        p = (F.col("c") - DISCOUNT) / F.col("all") + F.col("rest") * F.col("pl")
-        levels.append(materialise(known.join(rest, "ctx").join(lower, "low").select("key", "c", p.alias("p"), "rest", "pl"), f"lm-level-{n}"))
-        filters.append(_filter(known))
-        rests.append(rest.select(F.col("ctx").alias("key"), F.col("rest").alias("own")))
-    values = []
-    for n, level in enumerate(levels):
-        log = F.log10("p") - (F.lit(unknown) if n == 0 else F.log10("rest") + F.log10("pl"))
-        if n < len(rests):
-            level, log = level.join(rests[n], "key", "left"), log + F.log10(F.coalesce("own", F.lit(1.0)))
-        base = F.log10("p") - unknown if n == 0 else F.lit(0.0)
-        values.append(materialise(level.select("key", "c", log.alias("value"), base.alias("base"), F.lit(int(n == 0)).alias("known")), f"lm-values-{n + 1}"))
-
-    cache = []
-    for n, value in enumerate(values):
-        hot = most_frequent(value, "key", "c", ARCS if n else HEAD).select("key")
-        found = value.join(hot, "key").select("key", "value", "base").toArrow()
-        key = found["key"].to_numpy().view(np.uint64)
-        at = np.argsort(key)
-        cache.append((key[at], found["value"].to_numpy()[at], found["base"].to_numpy()[at]))
-    shared = spark.sparkContext.broadcast((cache, filters))
-
-    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, filters = shared.value
-        for full in batches:
-            for start in range(0, len(full), ROWS):
-                batch = full.iloc[start : start + ROWS].copy()
-                figures = []
-                for text in batch.pop("text"):
-                    grams_, score, base, known, rest, times = _keys(text)[: len(cache)], 0.0, 0.0, 0, [], []
-                    for n, (keys, (hot, value, own)) in enumerate(zip(grams_, cache)):
-                        keys, count = np.unique(keys, return_counts=True)
-                        at = np.minimum(np.searchsorted(hot, keys), max(0, len(hot) - 1))
-                        hit = hot[at] == keys if len(hot) else np.zeros(len(keys), dtype=bool)
-                        score += float((value[at[hit]] * count[hit]).sum())
-                        base += float((own[at[hit]] * count[hit]).sum())
-                        known += int(count[hit].sum()) if n == 0 else 0
-                        keys, count = keys[~hit], count[~hit]
-                        if filters[n] is not None:
-                            passing = _passes(filters[n], keys)
-                            keys, count = keys[passing], count[passing]
-                        rest.append(keys)
-                        times.append(count)
-                    size = len(grams_[0])
-                    figures.append((size, known, base + size * unknown, score + size * unknown, np.concatenate(rest).view(np.int64), np.concatenate(times)))
-                names = ("n_tokens", "n_known", "base_score", "score", "keys", "times")
-                yield batch.assign(**{name: [f[i] for f in figures] for i, name in enumerate(names)})
-
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, keys array<long>, times array<long>"
-    out = materialise(rows.mapInPandas(told, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    rare = out.select("row", F.explode(F.arrays_zip("keys", "times")).alias("t")).select("row", F.col("t.keys").alias("key"), F.col("t.times").alias("n"))
-    table_ = materialise(values[0].union(values[1]) if len(values) == 2 else values[0].union(values[1]).union(values[2]), "lm-values")
-    n = F.col("n")
-    added = rare.join(table_, "key").groupBy("row").agg(
-        F.sum(n * F.col("value")).alias("v"), F.sum(n * F.col("base")).alias("b"), F.sum(n * F.col("known")).alias("k")
-    )
-    plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    return out.drop("keys", "times").join(added, "row", "left").select(
-        "id", "held_out", "n_tokens", plus("n_known", "k").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        plus("base_score", "b").alias("base_score"), plus("score", "v").alias("score"),
-    )
-
-
-def scored(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scored(
+    docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text", part: int = PART, bucket: int = BUCKET
+) -> DataFrame:
     """One row for each row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Counts are of all tokens of all training rows, and so are the n-grams seen LEAST times, whatever the table's size.
-    If their words and they themselves are within MODEL_WORDS and ARCS, they are an automaton that is broadcast, and a
-    token outside the head is scored through a join with the full table of counts. Otherwise the same model is a table
-    that is joined.
+    Counts are of all tokens of all training rows, and so are the n-grams of up to ``order`` words (3 at most) that are seen
+    LEAST times, whatever the table's size; ``part`` and ``bucket`` change no result. Words are told apart by their bytes and n-grams by the ids of their words. Ids
+    leave room for 2 ** 31 words seen LEAST times and as many pairs; more are an error.
 
     Null and empty texts are an end only. Rows with a null id are training rows; rows that repeat are counted and
-    scored each. With no training row every token has the probability of an unknown one. Other columns aren't read.
+    scored each. With no training row every token has the probability of an unknown one. An empty table gives no row.
+    Other columns aren't read, whatever their names.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("id"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).cast("binary").alias("text"))
-    training = rows.where(~F.col("held_out"))
-    counts = materialise(token_counts(training), "lm-counts")
+    cut = materialise(parts(rows, part), "lm-parts")
+    tasks = max(1, cut.where("words IS NOT NULL").count())
+    each = cut.where("words IS NOT NULL").select("part", F.posexplode(F.arrays_zip("words", "times")).alias("local", "t"))
+    each = each.select("part", "local", F.col("t.words").alias("word"), F.col("t.times").alias("n"))
+    counts = materialise(each.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    if order > 1 and counts.where(F.col("c") >= LEAST).count() > MODEL_WORDS:
-        return _joined_scores(rows, order, total, distinct)
-    head = sorted(((-r["c"], bytes(r["word"])) for r in most_frequent(counts, "word", "c", HEAD).collect()))
-    vocabulary = Vocabulary([w for _, w in head], [-c for c, _ in head], total, distinct)
-
-    found: list[dict[int, int]] = []
+    ids = numbered(counts.where(F.col("c") >= LEAST), "lm-words", "id").select("word", "c", "id")
+    every = ids.unionByName(counts.where(F.col("c") < LEAST).withColumn("id", F.lit(-1).cast("long")))
+    mine = each.join(every, "word", "left").select("part", "local", F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("c", F.lit(0)).alias("c"))
+    none = F.lit(0).cast("long")
+    mine = materialise(mine, "lm-own-words")
+    words = materialise(word_rows(mine.withColumn("s", none).withColumn("k", none), tasks), "lm-part-words")
+
+    nil = F.lit(b"")
+    texts = cut.where("codes IS NOT NULL").select(
+        "part", F.lit(TEXT).alias("kind"), "row", "held_out", "lead", F.col("codes").alias("a"), *[nil.alias(c) for c in "bcde"]
+    )
+    buckets = int(1 + total // bucket)
+    units, grams = texts.unionByName(words), []
     for n in range(2, order + 1):
-        lower = np.array(sorted(found[-1]), dtype=np.int64) if found else None
-        counted = materialise(grams(training, vocabulary, n, lower), f"lm-grams-{n}")
-        if counted.count() > ARCS:
-            return _joined_scores(rows, order, total, distinct)
-        found.append(_collected(counted))
-    automaton = Automaton(vocabulary, *[*found, {}, {}][:2])
-
-    told = materialise(scores(rows, vocabulary, automaton).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    rare = told.select("row", F.explode(F.arrays_zip("rare", "times")).alias("t")).select("row", F.col("t.rare").alias("word"), F.col("t.times").alias("n"))
-    chance = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(total + 0.5 * (distinct + 1))))
-    by_row = (
-        rare.join(counts, "word", "left")
-        .groupBy("row")
-        .agg(F.sum(F.col("n") * chance).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"))
+        grams.append(materialise(known_grams(gram_runs(units, n, buckets, tasks), n, buckets), f"lm-grams-{n}"))
+        units = units.unionByName(grams[-1].where(F.col("kind") != SUMS))
+    if grams:
+        words = word_rows(
+            mine.join(beginnings(grams[0]), "id", "left").select("part", "local", "id", "c", F.coalesce("s", none).alias("s"), F.coalesce("k", none).alias("k")),
+            tasks,
+        )
+    units = texts.unionByName(words)
+    if len(grams) > 1:
+        units = units.unionByName(with_beginnings(*grams, buckets)).unionByName(grams[1].where(F.col("kind") == TRIPLES))
+    elif grams:
+        units = units.unionByName(grams[0].where(F.col("kind") == PAIRS))
+
+    pieces = part_scores(units, total, distinct, tasks)
+    sums = pieces.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    first = cut.where("codes IS NOT NULL AND lead = 0").select("row", "id", "held_out")
+    return first.join(sums, "row").select(
+        "id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )
-    joined = told.drop("rare", "times").join(by_row, "row", "left")
-    more, known = F.coalesce("more", F.lit(0.0)), F.coalesce("known", F.lit(0))
-    return joined.select(
-        "id", "held_out", "n_tokens", (F.col("n_known") + known).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"),
-    )
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
