@@ -36,7 +36,7 @@ BITS = 31
 ROWS = 500
 ROOT = 0
 #: Kinds of rows that a part is made of, and the row of a bucket with what n-grams that begin alike add up to.
-TEXT, WORDS, PAIRS, TRIPLES, SUMS = range(5)
+TEXT, TIMES, WORDS, CONTEXTS, PAIRS, TRIPLES, SUMS = range(7)
 ROW = "part long, kind int, row long, held_out boolean, lead int, a binary, b binary, c binary, d binary, e binary"
 FIELDS = [f.split()[0] for f in ROW.split(", ")]
 RUN = "bucket long, part long, keys binary, times binary"
@@ -102,8 +102,8 @@ def parts(rows: DataFrame, most: int = PART) -> DataFrame:
 
         def words_of() -> pa.RecordBatch:
             codes = np.concatenate([np.zeros(0, np.int64), *trained])
-            times = np.bincount(codes, minlength=len(ids)).tolist()
-            return rows_of(pa.nulls(1, kind), [(part, 0, None, 0, None, list(ids), times)])
+            times = np.bincount(codes, minlength=len(ids))
+            return rows_of(pa.nulls(1, kind), [(part, 0, False, 0, packed(times), list(ids), times.tolist())])
 
         for whole in batches:
             kind = whole.column(0).type
@@ -153,13 +153,20 @@ def _frame(rows: list[dict]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=FIELDS)
 
 
-def word_rows(mine: DataFrame, tasks: int) -> DataFrame:
-    """(part, local, id, c, s, k) to a row for each part: columns a to d hold the others in the order of ``local``."""
+def word_rows(mine: DataFrame, buckets: int, tasks: int) -> DataFrame:
+    """(part, local, id, c) to a row for each part, and one for each of its buckets of ids with the words that have some."""
 
     def pack(words: pd.DataFrame) -> pd.DataFrame:
         words = words.sort_values("local")
-        blobs = {to: packed(words[c].to_numpy()) for to, c in zip("abcd", ("id", "c", "s", "k"))}
-        return _frame([_row(int(words["part"].iloc[0]), WORDS, **blobs)])
+        part, (local, ids, counts) = int(words["part"].iloc[0]), (words[c].to_numpy() for c in ("local", "id", "c"))
+        out = [_row(part, WORDS, a=packed_sorted(local), b=packed(ids), c=packed(counts))]
+        local, ids = local[ids >= 0], ids[ids >= 0]
+        by_bucket = np.argsort(ids % buckets, kind="stable")
+        cuts = np.flatnonzero(np.diff((ids % buckets)[by_bucket])) + 1
+        for at in np.split(by_bucket, cuts):
+            if len(at):
+                out.append(_row(part, CONTEXTS, a=packed_sorted(local[at]), c=packed(ids[at])))
+        return _frame(out)
 
     return mine.repartition(tasks, "part").groupBy("part").applyInPandas(pack, ROW)
 
@@ -172,7 +179,14 @@ class Unit:
         self.part = int(rows["part"].iloc[0])
         texts = kinds.get(TEXT, rows.iloc[:0])
         self.texts = [(r.row, r.held_out, r.lead, unpacked(r.a)) for r in texts.itertuples()]
-        self.ids, self.counts, self.sums, self.kinds = (unpacked(kinds[WORDS][c].iloc[0]) for c in "abcd")
+        self.counts = unpacked(kinds[TIMES]["a"].iloc[0]).copy()
+        self.ids, self.sums, self.kinds = np.full_like(self.counts, -1), np.zeros_like(self.counts), np.zeros_like(self.counts)
+        for r in kinds.get(WORDS, rows.iloc[:0]).itertuples():
+            at = unpacked_sorted(r.a)
+            self.ids[at], self.counts[at] = unpacked(r.b), unpacked(r.c)
+        for r in kinds.get(CONTEXTS, rows.iloc[:0]).itertuples():
+            at = unpacked_sorted(r.a)
+            self.sums[at], self.kinds[at] = unpacked(r.d), unpacked(r.e)
         self.grams = [self._joined(kinds.get(kind)) for kind in (PAIRS, TRIPLES)]
 
     @staticmethod
@@ -267,9 +281,9 @@ def beginnings(grams: DataFrame) -> DataFrame:
     return rows.groupBy("id").agg(F.sum("s").alias("s"), F.sum("k").alias("k"))
 
 
-def with_beginnings(pairs: DataFrame, triples: DataFrame, buckets: int) -> DataFrame:
-    """The parts' rows of pairs with what the triples that begin with each add up to. Pairs know their bucket by their ids."""
-    added = beginnings(triples).select((F.col("id") % buckets).alias("bucket"), "id", "s", "k")
+def with_beginnings(parts_: DataFrame, kind: int, longer: DataFrame, buckets: int) -> DataFrame:
+    """The parts' rows of a kind with what the longer n-grams that begin with each id add up to. Ids of a row share a bucket."""
+    added = beginnings(longer).select((F.col("id") % buckets).alias("bucket"), "id", "s", "k")
 
     def pack(sums: pd.DataFrame) -> pd.DataFrame:
         sums = sums.sort_values("id")
@@ -281,8 +295,7 @@ def with_beginnings(pairs: DataFrame, triples: DataFrame, buckets: int) -> DataF
         for batch in batches:
             yield pd.DataFrame({"bucket": [int(unpacked(c)[0] % buckets) for c in batch["c"]]} | {f: batch[f] for f in FIELDS})
 
-    # One row for each bucket, far smaller than the parts' rows of it: sent to where they are.
-    rows = pairs.where(F.col("kind") == PAIRS).mapInPandas(own_bucket, f"bucket long, {ROW}").join(packs, "bucket", "left")
+    rows = parts_.where(F.col("kind") == kind).mapInPandas(own_bucket, f"bucket long, {ROW}").join(packs, "bucket", "left")
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -398,34 +411,30 @@ def scored(
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ids = numbered(counts.where(F.col("c") >= LEAST), "lm-words", "id").select("word", "c", "id")
     every = ids.unionByName(counts.where(F.col("c") < LEAST).withColumn("id", F.lit(-1).cast("long")))
-    mine = each.join(every, "word", "left").select("part", "local", F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("c", F.lit(0)).alias("c"))
-    none = F.lit(0).cast("long")
-    mine = materialise(mine, "lm-own-words")
-    words = materialise(word_rows(mine.withColumn("s", none).withColumn("k", none), tasks), "lm-part-words")
+    # A word that the training holds once, if at all, needs no row where its own part has counted it.
+    mine = each.join(every, "word").where("c >= %d OR n = 0" % LEAST).select("part", "local", "id", "c")
+    buckets = int(1 + total // bucket)
+    words = materialise(word_rows(mine, buckets, tasks), "lm-part-words")
 
     nil = F.lit(b"")
-    texts = cut.where("codes IS NOT NULL").select(
-        "part", F.lit(TEXT).alias("kind"), "row", "held_out", "lead", F.col("codes").alias("a"), *[nil.alias(c) for c in "bcde"]
-    )
-    buckets = int(1 + total // bucket)
-    units, grams = texts.unionByName(words), []
+    kind = F.when(F.col("words").isNull(), TEXT).otherwise(TIMES).alias("kind")
+    texts = cut.select("part", kind, "row", "held_out", "lead", F.col("codes").alias("a"), *[nil.alias(c) for c in "bcde"])
+    own = words.where(F.col("kind") == WORDS)
+    units, grams = texts.unionByName(own), []
     for n in range(2, order + 1):
         grams.append(materialise(known_grams(gram_runs(units, n, buckets, tasks), n, buckets), f"lm-grams-{n}"))
         units = units.unionByName(grams[-1].where(F.col("kind") != SUMS))
+    units = texts.unionByName(own)
     if grams:
-        words = word_rows(
-            mine.join(beginnings(grams[0]), "id", "left").select("part", "local", "id", "c", F.coalesce("s", none).alias("s"), F.coalesce("k", none).alias("k")),
-            tasks,
-        )
-    units = texts.unionByName(words)
+        units = units.unionByName(with_beginnings(words, CONTEXTS, grams[0], buckets))
     if len(grams) > 1:
-        units = units.unionByName(with_beginnings(*grams, buckets)).unionByName(grams[1].where(F.col("kind") == TRIPLES))
+        units = units.unionByName(with_beginnings(grams[0], PAIRS, grams[1], buckets)).unionByName(grams[1].where(F.col("kind") == TRIPLES))
     elif grams:
         units = units.unionByName(grams[0].where(F.col("kind") == PAIRS))
 
     pieces = part_scores(units, total, distinct, tasks)
     sums = pieces.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
-    first = cut.where("codes IS NOT NULL AND lead = 0").select("row", "id", "held_out")
+    first = cut.where("words IS NULL AND lead = 0").select("row", "id", "held_out")
     return first.join(sums, "row").select(
         "id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )
