@@ -188,6 +188,8 @@ class Unit:
             at = unpacked_sorted(r.a)
             self.sums[at], self.kinds[at] = unpacked(r.d), unpacked(r.e)
         self.grams = [self._joined(kinds.get(kind)) for kind in (PAIRS, TRIPLES)]
+        if self.ids.max(initial=0) >> BITS or self.grams[0][2].max(initial=0) >> BITS:
+            raise OverflowError("more known words or pairs than ids have bits")
 
     @staticmethod
     def _joined(rows: pd.DataFrame | None) -> list[np.ndarray]:
