@@ -1,10 +1,15 @@
 """Queries whose work must be dealt over tasks, on tables of the tests' own."""
 
+from dataclasses import replace
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from compare import mismatch
 from tidemark.plans import queries as registered
+from tidemark.retail import ORDERS
+from tidemark.sources.landing import route, routed_to
 
 KEYS = 400
 
@@ -71,3 +76,16 @@ def test_files_of_a_table_are_one_row_and_no_file_is_lost_in_it(spark):
         ("1_a_raw_0.csv", "archive", 12), ("1_b_raw_2.csv", "archive", 2), ("1_c_raw_0.csv", "archive", None),
         ("a_raw_1.csv", "landing", None),
     ]
+
+
+def test_a_file_belongs_to_the_table_with_the_longest_name(spark):
+    specs = {name: replace(ORDERS, name=name) for name in ("orders", "orders_old", "orders_old_2", "pay", "a+b")}
+    files = spark.createDataFrame(
+        [(f"{n}{rest}",) for n in specs for rest in ("_1.csv", ".csv", "_old", "_2.csv", "")], "name string"
+    )
+    for name in specs:
+        starting = files.filter(F.col("name").startswith(name))
+        told = starting.select("name", routed_to(F.col("name"), name, specs), route(F.col("name"), specs) == name)
+        assert all(ours == routed for _, ours, routed in told.collect())
+    plan = files.select(routed_to(F.col("name"), "orders"))._jdf.queryExecution().toString()
+    assert "regexp" not in plan.lower()
