@@ -1,0 +1,25 @@
+"""What is shuffled for a written intermediate doesn't stay beside it."""
+
+import os
+import time
+
+from tidemark.llm import common
+
+
+def _shuffled(spark) -> set[str]:
+    folders = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    return {n for folder in folders for _, _, names in os.walk(folder) for n in names if n.startswith("shuffle_")}
+
+
+def test_a_written_frame_leaves_no_shuffle_files(spark):
+    before, setting = _shuffled(spark), spark.conf.get(common.CLEANUP)
+    written = common.materialise(spark.range(1000).repartition(3, "id").groupBy("id").count(), "shuffles")
+    left = True
+    for _ in range(50):
+        left = _shuffled(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(common.CLEANUP) == setting
+    assert written.count() == 1000
