@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import string
 from collections import Counter
 from collections.abc import Iterator
@@ -67,9 +66,14 @@ class Transducer:
         path: list[list[int]] = [[0]]
         last = b""
         for term in [*terms, b""]:
-            fork = len(os.path.commonprefix((last, term)))
+            fork, most = 0, min(len(last), len(term))
+            while fork < most and last[fork] == term[fork]:
+                fork += 1
             for depth in range(len(last), fork, -1):
-                state = close(path.pop())
+                node = path.pop()
+                state = known.get(tuple(node))
+                if state is None:
+                    state = close(node)
                 path[-1].append(state << 8 | last[depth - 1])
             if not term:
                 break
