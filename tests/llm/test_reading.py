@@ -5,10 +5,11 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import lm
+from tidemark.llm import common, lm
 from tidemark.llm.divergence import Transducer
 
 
@@ -44,3 +45,19 @@ def test_transducer_of_terms_that_begin_alike():
     terms = sorted([b"a", b"ab", b"abc", b"abd", b"b", b"bc", "é".encode(), "éa".encode()])
     machine = Transducer(terms)
     assert machine.ordinals(b" ".join(terms)).tolist() and sorted(machine.ordinals(b" ".join(terms))) == list(range(len(terms)))
+
+
+def test_words_in_arrow_are_the_words_of_each_text():
+    texts = pa.array([b"\xff\x85 A\x1c\x1db\x0b\x0cC  \x00 ", b"", None, b" \n ", b"A b", "é Éx".encode()] * 3, pa.binary())
+    for some in (texts, texts.slice(3, 7), texts.slice(2, 0), texts.slice(2, 2)):
+        words, lengths = lm.with_ends(*common.arrow_words(some, lm.LOWER))
+        want = [lm.tokens(text) for text in some.to_pylist()]
+        assert words.to_pylist() == [w for text in want for w in text] and lengths.tolist() == [len(text) for text in want]
+    codes, words = common.coded(pa.array([b"b", b"a", b"b", b"\xff", b"\n"], pa.large_binary()))
+    assert codes.tolist() == [2, 1, 2, 3, 0] and lm.unpacked_words(lm.packed_words(words)) == [b"\n", b"a", b"b", b"\xff"]
+
+
+def test_different_keys_of_a_part_are_found_by_sorting(monkeypatch):
+    monkeypatch.setattr(np, "unique", None)
+    assert common.distinct_of(np.array([3, 1, 3, 0, -2])).tolist() == [-2, 0, 1, 3]
+    assert common.distinct_of(np.zeros(0, np.int64)).tolist() == []

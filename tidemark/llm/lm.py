@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import functools
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +20,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import materialise, table
+from tidemark.llm.common import arrow_words, coded, distinct_of, joined, materialise, table
 
 #: Fold that is held out of the training, of so many.
 FOLDS, HELD_OUT = 5, 1
 #: The token that ends each text. No word holds it.
 END = b"\n"
+#: A-Z in lower case, byte for byte.
+LOWER = bytes(range(256)).lower()
 #: Words of the longest n-grams.
 ORDER = 3
 #: n-grams seen less often have no arc, and what an arc gives up for those that have none.
@@ -54,6 +55,12 @@ def tokens(text: bytes | None) -> list[bytes]:
     return [*(text or b"").lower().split(), END]
 
 
+def with_ends(words: pa.Array, lengths: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts that stand behind each other with the end of each text, and the numbers of tokens."""
+    places = np.insert(np.arange(len(words)), np.cumsum(lengths), len(words))
+    return pa.concat_arrays([words, pa.array([END], words.type)]).take(pa.array(places)), lengths + 1
+
+
 def held_out(doc_id: Column) -> Column:
     """Null ids are no fold and so in the training."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
@@ -88,9 +95,9 @@ def unpacked_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpacked(data))
 
 
-def packed_words(words: list[bytes]) -> bytes:
+def packed_words(words: pa.Array | list[bytes]) -> bytes:
     """No word holds a space."""
-    return _press().compress(b" ".join(words))
+    return _press().compress(joined(words) if isinstance(words, pa.Array) else b" ".join(words))
 
 
 def unpacked_words(data: bytes) -> list[bytes]:
@@ -101,8 +108,12 @@ def found_in(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Places of ``wanted`` in the sorted ``keys``, minus one for those that aren't there."""
     if not len(keys):
         return np.full(len(wanted), -1)
+    # Looked up in order, near places of the keys follow each other.
+    order = np.argsort(wanted)
+    wanted, out = wanted[order], np.empty(len(wanted), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+    out[order] = np.where(keys[at] == wanted, at, -1)
+    return out
 
 
 def by_bucket(bucket: np.ndarray) -> list[np.ndarray]:
@@ -124,9 +135,7 @@ def parts(rows: DataFrame, most: int = PART) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = row = TaskContext.get().partitionId() << 32
-        ids: defaultdict[bytes, int] = defaultdict()
-        ids.default_factory = ids.__len__
-        held_codes: list[np.ndarray] = []
+        held_words: list[pa.Array] = []
         pieces: list[tuple[int, int, int, bool]] = []
         size, kind = 0, None
 
@@ -135,15 +144,13 @@ def parts(rows: DataFrame, most: int = PART) -> DataFrame:
             return pa.RecordBatch.from_arrays([id_, *columns], names=schema.names)
 
         def whole_part() -> pa.RecordBatch:
-            trained = [codes[lead:] for codes, (_, _, lead, held) in zip(held_codes, pieces) if not held]
-            times = np.bincount(np.concatenate([np.zeros(0, np.int64), *trained]), minlength=len(ids))
-            words = sorted(ids)
-            order = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
-            codes = packed(rank[np.concatenate(held_codes)])
-            told = packed(np.array(pieces, np.int64).T.ravel())
-            found = (0, False, part, int(times.sum()), codes, told, packed_words(words), packed(times[order]))
+            codes, words = coded(pa.concat_arrays(held_words))
+            told = np.array(pieces, np.int64).T
+            _, lengths, leads, held = told
+            place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            trained = (place >= np.repeat(leads, lengths)) & (np.repeat(held, lengths) == 0)
+            times = np.bincount(codes[trained], minlength=len(words))
+            found = (0, False, part, int(times.sum()), packed(codes), packed(told.ravel()), packed_words(words), packed(times))
             return rows_of(pa.nulls(1, kind), [found])
 
         for whole in batches:
@@ -151,21 +158,22 @@ def parts(rows: DataFrame, most: int = PART) -> DataFrame:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 found = []
-                for held, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                    words = tokens(text)
+                words, lengths = with_ends(*arrow_words(batch.column(2), LOWER))
+                starts = np.cumsum(lengths) - lengths
+                for held, start, length in zip(batch.column(1).to_pylist(), starts.tolist(), lengths.tolist()):
                     row += 1
                     found.append((row, held, *[None] * 6))
-                    for begin in range(0, len(words), most):
+                    for begin in range(0, length, most):
                         lead = min(ORDER - 1, begin)
-                        here = words[begin - lead : begin + most]
-                        if size and size + len(here) > most:
+                        here = min(begin + most, length) - (begin - lead)
+                        if size and size + here > most:
                             yield whole_part()
                             part, size = part + 1, 0
-                            for held_ones in (ids, held_codes, pieces):
+                            for held_ones in (held_words, pieces):
                                 held_ones.clear()
-                        held_codes.append(np.fromiter((ids[w] for w in here), np.int64, len(here)))
-                        pieces.append((row, len(here), lead, held))
-                        size += len(here)
+                        held_words.append(words.slice(start + begin - lead, here))
+                        pieces.append((row, here, lead, held))
+                        size += here
                 yield rows_of(batch.column(0), found)
         if size:
             yield whole_part()
@@ -208,11 +216,10 @@ def known_words(runs: DataFrame, buckets: int) -> DataFrame:
 
     def merged(rows: pd.DataFrame) -> pd.DataFrame:
         bucket = int(rows["bucket"].iloc[0])
-        held = [unpacked_words(words) for words in rows["words"]]
-        place = {w: i for i, w in enumerate(sorted(set().union(*held)))}
-        held = [np.fromiter(map(place.__getitem__, words), np.int64, len(words)) for words in held]
         own_times = [unpacked(t) for t in rows["times"]]
-        times = np.bincount(np.concatenate(held), weights=np.concatenate(own_times)).astype(np.int64)
+        held = coded(pa.concat_arrays([pa.array(unpacked_words(words), pa.large_binary()) for words in rows["words"]]))[0]
+        times = np.bincount(held, weights=np.concatenate(own_times)).astype(np.int64)
+        held = np.split(held, np.cumsum([len(t) for t in own_times])[:-1])
         known = times >= LEAST
         number = np.cumsum(known) - 1
         out = [_row(0, DISTINCT, bucket, int((times > 0).sum()))]
@@ -257,7 +264,7 @@ class Unit:
     def _known(self, order: int, rows: pd.DataFrame, after: pd.DataFrame, buckets: int) -> list[np.ndarray]:
         """Keys, counts, ids, sums and numbers of the known n-grams, by key. Buckets tell them by their places in the part's run."""
         keys = self.keys(order)[0]
-        keys = np.unique(keys[keys >= 0])
+        keys = distinct_of(keys[keys >= 0])
         runs = dict(_runs(keys, buckets))
         counts, ids, sums, numbers = (np.zeros_like(keys) for _ in range(4))
         after = {r.bucket: r for r in after.itertuples()} if order == 2 else {}
