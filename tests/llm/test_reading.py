@@ -7,9 +7,10 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, lm
+from tidemark.llm import common, divergence, lm
 from tidemark.llm.divergence import Transducer
 
 
@@ -61,3 +62,29 @@ def test_different_keys_of_a_part_are_found_by_sorting(monkeypatch):
     monkeypatch.setattr(np, "unique", None)
     assert common.distinct_of(np.array([3, 1, 3, 0, -2])).tolist() == [-2, 0, 1, 3]
     assert common.distinct_of(np.zeros(0, np.int64)).tolist() == []
+
+
+def test_a_word_that_occurs_often_is_read_once(monkeypatch):
+    read = []
+    was = Transducer.read
+    monkeypatch.setattr(Transducer, "read", lambda self, words: read.append(len(words)) or was(self, words))
+    packets = [zstandard.compress(x) for x in (b"a b a a", b"a zz a", b"b")]
+    packets = pa.table({"part": [0] * 3, "lang": ["l"] * 3, "source": ["s", "s", "t"], "packet": packets})
+    terms = pa.table({"at": [0] * 2, "of": ["l"] * 2, "term": [b"b", b"a"], "ordinal": [8, 7]})
+    told = divergence._recounted(packets, terms).to_pylist()
+    assert read == [2, 2, 1]
+    assert sorted((r["source"], r["ordinal"], r["n"]) for r in told) == [("s", 7, 5), ("s", 8, 1), ("t", 8, 1)]
+
+
+def test_documents_are_counted_once_for_each_of_their_terms(spark):
+    rows = [("a b a", "l", "s"), ("B c", "l", "t"), (None, "l", "t"), ("b", "m", "s")] * 2
+    cut = divergence.parts(spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1), "lang", "source", "text")
+    told = cut.where("terms IS NOT NULL").select("lang", F.explode(F.arrays_zip("terms", "docs")).alias("t"))
+    told = {(r["lang"], bytes(r["t"]["terms"]), r["t"]["docs"]) for r in told.collect()}
+    assert told == {("l", b"a", 2), ("l", b"b", 4), ("l", b"c", 2), ("m", b"b", 2)}
+
+
+def test_shares_of_counts_beyond_64_bits(spark):
+    rows = [(n, 2 * n + 5) for n in (0, 7, (1 << 63) // 10**9 - 2, (1 << 63) // 10**9 - 1, 10**14)]
+    df = spark.createDataFrame(rows, "n long, total long").select("n", "total", divergence.share("n", "total", "3").alias("p"))
+    assert [r["p"] for r in df.collect()] == [1 + 10**9 * (n + 1) // (total + 3) for n, total in rows]

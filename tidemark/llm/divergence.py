@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, running_total, table
+from tidemark.llm.common import arrow_words, distinct_of, joined, materialise, running_total, table
 
 #: A term is kept in a language if so many of its documents have it, and a source's list of terms has so many ranks.
 DOCUMENTS, RANKS = 3, 200
@@ -30,6 +28,7 @@ BLOCK, SLICE, COLUMNS = 64, 1 << 13, 1 << 10
 SPREAD = 16
 
 #: Terms are runs of ASCII letters and of all other characters beyond ASCII, A-Z in lower case; the rest is space.
+_SAME = bytes(range(256))
 _LETTERS = bytes(ord(chr(b).lower()) if chr(b) in string.ascii_letters else b if b > 127 else 32 for b in range(256))
 
 
@@ -114,23 +113,53 @@ class Transducer:
         return found
 
     def ordinals(self, text: bytes) -> np.ndarray:
-        """The ordinals of the terms in a text whose terms stand between spaces; what isn't a term has none.
+        """The ordinals of the terms in a text whose terms stand between spaces; what isn't a term has none."""
+        found = self.read(arrow_words(pa.array([text], pa.binary()), _SAME)[0])
+        return found[found >= 0]
 
-        All words of the text are read side by side, a byte of each at a time; a word without an arc drops out.
+    def read(self, words: pa.Array) -> np.ndarray:
+        """The ordinal of each word, minus one for what isn't a term.
+
+        All words are read side by side, a byte of each at a time; a word without an arc drops out.
         """
-        raw = np.frombuffer(text, dtype=np.uint8)
-        inside = np.r_[False, raw != 32, False]
-        at, stop = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
-        state, sums, told = np.full(len(at), self.root), np.zeros(len(at), dtype=np.int64), []
+        words = words.cast(pa.large_binary())
+        _, offsets, data = words.buffers()
+        raw = np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, np.uint8)
+        offsets = np.frombuffer(offsets, dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+        found = np.full(len(words), -1, dtype=np.int64)
+        which = np.flatnonzero(np.diff(offsets))
+        at, stop = offsets[which], offsets[which + 1]
+        state, sums = np.full(len(at), self.root), np.zeros(len(at), dtype=np.int64)
         while len(at):
             arc = self._arcs(state << 8 | raw[at]) if len(self.keys) else np.full(len(at), -1)
             on = arc >= 0
-            at, stop, arc = at[on] + 1, stop[on], arc[on]
+            at, stop, which, arc = at[on] + 1, stop[on], which[on], arc[on]
             state, sums = self.to[arc], sums[on] + self.out[arc]
             ended = at == stop
-            told.append(sums[ended & self.final[state]])
-            at, stop, state, sums = at[~ended], stop[~ended], state[~ended], sums[~ended]
-        return np.concatenate(told) if told else np.zeros(0, dtype=np.int64)
+            told = ended & self.final[state]
+            found[which[told]] = sums[told]
+            at, stop, which, state, sums = at[~ended], stop[~ended], which[~ended], state[~ended], sums[~ended]
+        return found
+
+
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of stretches, one stretch after the other."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
+def _with_docs(words: pa.Array, lengths: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The different words of texts behind each other, and how many of the texts have each."""
+    found = words.dictionary_encode()
+    most = max(1, len(found.dictionary))
+    pairs = np.repeat(np.arange(len(lengths)), lengths) * most + found.indices.to_numpy()
+    return found.dictionary, np.bincount(distinct_of(pairs) % most, minlength=len(found.dictionary))
+
+
+def _added(some: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Several lists of different words and their counts as one."""
+    found = pa.concat_arrays([words for words, _ in some]).dictionary_encode()
+    counts = np.bincount(found.indices.to_numpy(), np.concatenate([n for _, n in some]), len(found.dictionary))
+    return found.dictionary, counts.astype(np.int64)
 
 
 def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
@@ -150,8 +179,8 @@ def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         press = zstandard.ZstdCompressor(level=3)
         held: dict[tuple[str, str], list[bytes]] = {}
-        seen: dict[str, Counter[bytes]] = {}
-        size = 0
+        seen: dict[str, list[tuple[pa.Array, np.ndarray]]] = {}
+        size, many = 0, False
         types = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
         names = ["part", "lang", "source", "packet", "size", "terms", "docs"]
 
@@ -169,24 +198,42 @@ def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
                     if at >= len(whole):
                         break
             while seen:
-                lang, count = seen.popitem()
-                each = iter(count.items())
-                while some := list(islice(each, LISTED)):
-                    row = (number, lang, None, None, None, [t for t, _ in some], [n for _, n in some])
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
-
-        for batch in batches:
-            langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang, source, text in zip(langs, sources, batch.column(2)):
-                words = text.as_py().translate(_LETTERS).split()
-                count = seen.setdefault(lang, Counter())
-                count.update(set(words))
-                line = b" ".join(words)
-                held.setdefault((lang, source), []).append(line)
-                size += len(line)
-                if size >= PART or len(count) >= TERMS:
+                lang, some = seen.popitem()
+                terms, docs = _added(some)
+                for at in range(0, len(terms), LISTED):
+                    here = np.arange(at, min(at + LISTED, len(terms)))
+                    lists = [terms.take(pa.array(here)).cast(pa.binary()), pa.array(docs[here])]
+                    row = [pa.array([v], t) for v, t in zip((number, lang, None, None, None), types)]
+                    row += [pa.ListArray.from_arrays(pa.array([0, len(here)], pa.int32()), x) for x in lists]
+                    yield pa.RecordBatch.from_arrays(row, names=names)
+
+        for whole in batches:
+            filled = np.cumsum(pc.binary_length(whole.column(2)).to_numpy()) // PACKET
+            # About a packet's bytes of texts at once.
+            for rows in np.split(np.arange(whole.num_rows), np.flatnonzero(np.diff(filled)) + 1):
+                if not len(rows):
+                    continue
+                batch = whole.slice(rows[0], len(rows))
+                langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                words, lengths = arrow_words(batch.column(2), _LETTERS)
+                starts = np.cumsum(lengths) - lengths
+                lists = pa.LargeListArray.from_arrays(pa.array(np.append(starts, len(words))), words)
+                lines = pc.binary_join(lists, pa.scalar(b" ", words.type)).to_pylist()
+                for lang, source, line in zip(langs, sources, lines):
+                    held.setdefault((lang, source), []).append(line)
+                    size += len(line)
+                kinds = np.array(pa.array(langs).dictionary_encode().indices)
+                for kind in range(kinds.max() + 1):
+                    at = np.flatnonzero(kinds == kind)
+                    some = seen.setdefault(langs[at[0]], [])
+                    some.append(_with_docs(words.take(pa.array(_spans(starts[at], lengths[at]))), lengths[at]))
+                    # The lists of a part are added up when they hold too many terms together.
+                    if sum(len(terms) for terms, _ in some) >= TERMS:
+                        some[:] = [_added(some)]
+                        many = many or len(some[0][0]) >= TERMS // 2
+                if size >= PART or many:
                     yield from out()
-                    size, number = 0, number + 1
+                    size, many, number = 0, False, number + 1
         if held:
             yield from out()
 
@@ -200,11 +247,15 @@ def _recounted(packets: pa.Table, terms: pa.Table) -> pa.Table:
     # One language after the other, so one transducer is held at once.
     for lang in terms.column("of").unique().to_pylist():
         mine = terms.filter(pc.equal(terms.column("of"), lang)).sort_by("term")
-        machine, ordinals = Transducer(mine.column("term").to_pylist()), mine.column("ordinal").to_numpy()
+        listed = joined(mine.column("term").combine_chunks().cast(pa.large_binary()))
+        machine, ordinals = Transducer(listed.split(b" ")), mine.column("ordinal").to_numpy()
         texts = packets.filter(pc.equal(packets.column("lang"), lang))
         told: dict[str, np.ndarray] = {}
         for source, packet in zip(texts.column("source").to_pylist(), texts.column("packet")):
-            counts = np.bincount(machine.ordinals(unpress.decompress(packet.as_py())), minlength=machine.size)
+            words = arrow_words(pa.array([unpress.decompress(packet.as_py())], pa.binary()), _SAME)[0].dictionary_encode()
+            # A word that occurs often in a packet is read once.
+            found = machine.read(words.dictionary)[words.indices.to_numpy()]
+            counts = np.bincount(found[found >= 0], minlength=machine.size)
             told[source] = told.get(source, 0) + counts
         for source, counts in told.items():
             some = np.flatnonzero(counts)
@@ -217,8 +268,9 @@ COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ordinal",
 
 
 def share(n: str, total: str, kept: str) -> Column:
-    """1 + floor(SCALE * (n + 1) / (total + kept)), exactly."""
-    return F.expr(f"1 + (cast({SCALE} AS decimal(18,0)) * cast({n} + 1 AS decimal(20,0))) div cast({total} + {kept} AS decimal(20,0))")
+    """1 + floor(SCALE * (n + 1) / (total + kept)), exactly: in whole numbers of 64 bits where they hold the product."""
+    wide = f"(cast({SCALE} AS decimal(18,0)) * cast({n} + 1 AS decimal(20,0))) div cast({total} + {kept} AS decimal(20,0))"
+    return F.expr(f"1 + CASE WHEN {n} < {(1 << 63) // SCALE - 1} THEN ({SCALE} * cast({n} + 1 AS bigint)) div ({total} + {kept}) ELSE {wide} END")
 
 
 def _distance(p: str, q: str) -> Column:
@@ -288,7 +340,8 @@ def audited(
         texts.where("size > 0").select("part", "lang", "source", "packet").groupBy("part")
         .cogroup(known.groupBy("at"))
         .applyInArrow(_recounted, "lang string, source string, ordinal long, n long")
-        .groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+        # A part has a source's term once, so there is nothing to add up before the shuffle.
+        .repartition("lang", "source", "ordinal").groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
     )
     counts = materialise(counts, "audit-counts")
 
@@ -309,7 +362,7 @@ def audited(
         ),
         "audit-shares",
     )
-    return _terms(counts, shares, vocabulary, sizes, ranks).unionByName(_pairs(groups, shares))
+    return _terms(counts, groups, shares, vocabulary, ranks).unionByName(_pairs(groups, shares))
 
 
 def _with_figures(rows: DataFrame, figures: DataFrame, key: list[str]) -> DataFrame:
@@ -321,9 +374,9 @@ def _with_figures(rows: DataFrame, figures: DataFrame, key: list[str]) -> DataFr
     return rows.withColumn("_salt", F.pmod(F.col("ordinal"), F.lit(SPREAD)).cast("int")).join(salts, [*key, "_salt"])
 
 
-def _terms(counts: DataFrame, shares: DataFrame, vocabulary: DataFrame, sizes: DataFrame, ranks: int) -> DataFrame:
+def _terms(counts: DataFrame, groups: DataFrame, shares: DataFrame, vocabulary: DataFrame, ranks: int) -> DataFrame:
     whole = counts.groupBy("lang", "ordinal").agg(F.sum("n").alias("n"))
-    sums = whole.groupBy("lang").agg(F.sum("n").alias("total")).join(sizes, "lang")
+    sums = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("kept").alias("kept"))
     usual = _with_figures(whole, sums, ["lang"]).select("ordinal", share("n", "total", "kept").alias("q"))
     more = shares.join(usual, "ordinal").where("p > q").select("lang", "source", "ordinal", _distance("p", "q").alias("value"))
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "ordinal")
