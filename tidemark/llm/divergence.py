@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_words, distinct_of, joined, materialise, running_total, table
+from tidemark.llm.common import arrow_words, joined, materialise, running_total, table
 
 #: A term is kept in a language if so many of its documents have it, and a source's list of terms has so many ranks.
 DOCUMENTS, RANKS = 3, 200
@@ -142,26 +144,6 @@ class Transducer:
         return found
 
 
-def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places of stretches, one stretch after the other."""
-    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-
-
-def _with_docs(words: pa.Array, lengths: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The different words of texts behind each other, and how many of the texts have each."""
-    found = words.dictionary_encode()
-    most = max(1, len(found.dictionary))
-    pairs = np.repeat(np.arange(len(lengths)), lengths) * most + found.indices.to_numpy()
-    return found.dictionary, np.bincount(distinct_of(pairs) % most, minlength=len(found.dictionary))
-
-
-def _added(some: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
-    """Several lists of different words and their counts as one."""
-    found = pa.concat_arrays([words for words, _ in some]).dictionary_encode()
-    counts = np.bincount(found.indices.to_numpy(), np.concatenate([n for _, n in some]), len(found.dictionary))
-    return found.dictionary, counts.astype(np.int64)
-
-
 def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
     """Texts in parts of bounded size. A row is a packet of one source's text in a part, or a part's terms of a language.
 
@@ -179,8 +161,8 @@ def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         press = zstandard.ZstdCompressor(level=3)
         held: dict[tuple[str, str], list[bytes]] = {}
-        seen: dict[str, list[tuple[pa.Array, np.ndarray]]] = {}
-        size, many = 0, False
+        seen: dict[str, Counter[bytes]] = {}
+        size = 0
         types = [pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
         names = ["part", "lang", "source", "packet", "size", "terms", "docs"]
 
@@ -198,42 +180,24 @@ def parts(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
                     if at >= len(whole):
                         break
             while seen:
-                lang, some = seen.popitem()
-                terms, docs = _added(some)
-                for at in range(0, len(terms), LISTED):
-                    here = np.arange(at, min(at + LISTED, len(terms)))
-                    lists = [terms.take(pa.array(here)).cast(pa.binary()), pa.array(docs[here])]
-                    row = [pa.array([v], t) for v, t in zip((number, lang, None, None, None), types)]
-                    row += [pa.ListArray.from_arrays(pa.array([0, len(here)], pa.int32()), x) for x in lists]
-                    yield pa.RecordBatch.from_arrays(row, names=names)
-
-        for whole in batches:
-            filled = np.cumsum(pc.binary_length(whole.column(2)).to_numpy()) // PACKET
-            # About a packet's bytes of texts at once.
-            for rows in np.split(np.arange(whole.num_rows), np.flatnonzero(np.diff(filled)) + 1):
-                if not len(rows):
-                    continue
-                batch = whole.slice(rows[0], len(rows))
-                langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                words, lengths = arrow_words(batch.column(2), _LETTERS)
-                starts = np.cumsum(lengths) - lengths
-                lists = pa.LargeListArray.from_arrays(pa.array(np.append(starts, len(words))), words)
-                lines = pc.binary_join(lists, pa.scalar(b" ", words.type)).to_pylist()
-                for lang, source, line in zip(langs, sources, lines):
-                    held.setdefault((lang, source), []).append(line)
-                    size += len(line)
-                kinds = np.array(pa.array(langs).dictionary_encode().indices)
-                for kind in range(kinds.max() + 1):
-                    at = np.flatnonzero(kinds == kind)
-                    some = seen.setdefault(langs[at[0]], [])
-                    some.append(_with_docs(words.take(pa.array(_spans(starts[at], lengths[at]))), lengths[at]))
-                    # The lists of a part are added up when they hold too many terms together.
-                    if sum(len(terms) for terms, _ in some) >= TERMS:
-                        some[:] = [_added(some)]
-                        many = many or len(some[0][0]) >= TERMS // 2
-                if size >= PART or many:
+                lang, count = seen.popitem()
+                each = iter(count.items())
+                while some := list(islice(each, LISTED)):
+                    row = (number, lang, None, None, None, [t for t, _ in some], [n for _, n in some])
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
+
+        for batch in batches:
+            langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lang, source, text in zip(langs, sources, batch.column(2)):
+                words = text.as_py().translate(_LETTERS).split()
+                count = seen.setdefault(lang, Counter())
+                count.update(set(words))
+                line = b" ".join(words)
+                held.setdefault((lang, source), []).append(line)
+                size += len(line)
+                if size >= PART or len(count) >= TERMS:
                     yield from out()
-                    size, many, number = 0, False, number + 1
+                    size, number = 0, number + 1
         if held:
             yield from out()
 
